@@ -1,0 +1,19 @@
+"""Join helpers with an explicit size rule for broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when its row count is bounded by construction
+# (a top-k, a literal table) and the bound is at most this many rows.
+# Beyond it the join is left to the planner (shuffle join, with AQE able
+# to switch to broadcast at runtime from measured sizes).
+BROADCAST_ROW_LIMIT = 100_000
+
+
+def bounded_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
+    """Mark ``df`` for broadcast when ``row_bound`` proves it small."""
+    if row_bound is not None and row_bound <= BROADCAST_ROW_LIMIT:
+        return F.broadcast(df)
+    return df
