@@ -1,8 +1,7 @@
 """Profiling: samples, shape, period coverage, column and NULL statistics.
 
-Statistics are gathered in one aggregation over the table and reshaped
-afterwards (explode of a one-row result), so profiling N columns is one
-scan, not N jobs, and nothing is collected to the driver.
+Statistics over N columns are gathered in one scan and one aggregation,
+not N jobs, and nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -56,45 +55,62 @@ def _is_text(dt: T.DataType) -> bool:
 
 
 def column_profile(
-    df: DataFrame, columns: Sequence[str] | None = None, exact_distinct: bool = True, rsd: float = 0.01
+    df: DataFrame, columns: Sequence[str] | None = None, exact_distinct: bool = True, rsd: float = 0.05
 ) -> DataFrame:
     """Per column: NULLs, distinct values, min, max, text length stats.
 
-    Min and max are taken on the typed column and rendered as text after
-    aggregation. ``exact_distinct=False`` swaps the exact distinct count
-    (one expanded aggregation) for a HyperLogLog++ estimate.
+    One row per column with ``column_name, data_type, num_nulls,
+    distinct_count, min_value, max_value, avg_len, max_len`` (min and max
+    compared in the column's own type, then shown as text; lengths for
+    text columns only).
+
+    NULLs, min, max and lengths come from one global aggregation (partial
+    per task, one merge). Exact distinct counts are a second aggregation
+    of only ``count(DISTINCT c)`` terms, attached as one struct-valued
+    scalar subquery: kept apart because a text min/max next to the
+    distinct terms would force a sort-based aggregation of the expanded
+    rows. ``exact_distinct=False`` puts a HyperLogLog++ estimate (relative
+    error ``rsd``) into the single aggregation instead: one scan, no
+    shuffle of values.
     """
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    columns = list(columns) if columns else df.columns
+    wanted = set(columns) if columns else None
+    fields = [f for f in df.schema.fields if wanted is None or f.name in wanted]
     aggs = []
-    for i, c in enumerate(columns):
-        col = F.col(c)
-        distinct = F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col, rsd)
+    for i, f in enumerate(fields):
+        c = F.col(f.name)
         aggs += [
-            F.count_if(col.isNull()).alias(f"n{i}"),
-            distinct.alias(f"d{i}"),
-            F.min(col).alias(f"lo{i}"),
-            F.max(col).alias(f"hi{i}"),
+            F.count_if(c.isNull()).alias(f"n{i}"),
+            F.min(c).cast("string").alias(f"lo{i}"),
+            F.max(c).cast("string").alias(f"hi{i}"),
         ]
-        if _is_text(types[c]):
-            aggs += [F.avg(F.length(col)).alias(f"al{i}"), F.max(F.length(col)).alias(f"ml{i}")]
-    wide = df.agg(*aggs)
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(c, rsd).alias(f"d{i}"))
+        if _is_text(f.dataType):
+            aggs += [F.avg(F.length(c)).alias(f"al{i}"), F.max(F.length(c)).alias(f"ml{i}")]
+    stats = df.agg(*aggs)
+    if exact_distinct:
+        counts = df.agg(F.struct(*[F.count_distinct(F.col(f.name)).alias(f"d{i}") for i, f in enumerate(fields)]))
+        # Referenced once as a column, so the subquery runs once.
+        stats = stats.withColumn("_distinct", counts.scalar())
+        distinct_of = [F.col("_distinct").getField(f"d{i}") for i in range(len(fields))]
+    else:
+        distinct_of = [F.col(f"d{i}") for i in range(len(fields))]
     rows = []
-    for i, c in enumerate(columns):
-        text = _is_text(types[c])
+    for i, f in enumerate(fields):
+        text = _is_text(f.dataType)
         rows.append(
             F.struct(
-                F.lit(c).alias("column_name"),
-                F.lit(types[c].simpleString()).alias("data_type"),
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("data_type"),
                 F.col(f"n{i}").alias("num_nulls"),
-                F.col(f"d{i}").alias("distinct_count"),
-                F.col(f"lo{i}").cast("string").alias("min_value"),
-                F.col(f"hi{i}").cast("string").alias("max_value"),
+                distinct_of[i].alias("distinct_count"),
+                F.col(f"lo{i}").alias("min_value"),
+                F.col(f"hi{i}").alias("max_value"),
                 (F.col(f"al{i}") if text else F.lit(None).cast("double")).alias("avg_len"),
                 (F.col(f"ml{i}") if text else F.lit(None).cast("int")).alias("max_len"),
             )
         )
-    return wide.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+    return stats.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
 
 
 def null_profile(
