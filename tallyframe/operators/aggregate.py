@@ -112,15 +112,17 @@ def share_of_total(
     """
     k = _named(key, key_alias)
     name = key_alias or (key if isinstance(key, str) else None)
-    grouped = df.groupBy(k).agg(
-        F.count(F.col(name)).alias("_n"), F.count(F.lit(1)).alias("_rows")
-    )
+    # One aggregate, count(*), serves both the shares and the total, so the
+    # total's subquery reuses the same exchange; count(key) differs from
+    # count(*) only in the NULL group, where it is 0.
+    grouped = df.groupBy(k).agg(F.count(F.lit(1)).alias("_rows"))
     total = grouped.agg(F.sum("_rows")).scalar()
+    non_null = F.when(F.col(name).isNull(), F.lit(0)).otherwise(F.col("_rows"))
     if labels is not None:
         out_cols = [decode(name, labels, label_default).alias(name), F.col(name).alias(f"{name}_code")]
     else:
         out_cols = [F.col(name)]
-    return grouped.select(*out_cols, pct("_n", total, digits).alias(pct_col))
+    return grouped.select(*out_cols, pct(non_null, total, digits).alias(pct_col))
 
 
 def band_share(

@@ -199,11 +199,13 @@ def k18_top_codes(spark, folder):
 
 
 def k19_top_bins_per_top_code(spark, folder):
-    """Top bins of the most frequent codes, from one aggregation.
+    """Top bins of the most frequent codes.
 
-    (code, bin) counts are computed once; code totals, the top codes and
-    the ranking all derive from them, so the ticket rows are scanned and
-    shuffled once.
+    Code totals and the top codes are summed from the (code, bin) counts,
+    not from the rows; the top codes (3 rows) are broadcast to those
+    counts, and only the chosen codes' counts are ranked. The join drops
+    NULL codes as the original equality join does, while a NULL code still
+    competes for a top slot.
     """
     pairs = _binned(spark, folder).groupBy("ViolationCode", "TimeOfDay").agg(
         F.count(F.lit(1)).alias("TicketCount")
