@@ -1,0 +1,12 @@
+"""Incremental forms of the landing and counting steps (Structured Streaming).
+
+The analyses themselves are batch; these jobs let the landing folder be
+processed as files arrive: the clean-up rules run on each new file and the
+kept rows are appended to the month-partitioned ORC folder through the
+exactly-once file sink, and running frequencies are kept as streaming
+state. Checkpoints live under the shared folder (``spark.checkpoint.dir``).
+"""
+
+from tallyframe.streaming.landing import running_frequency, stream_clean_load, stream_delimited
+
+__all__ = ["running_frequency", "stream_clean_load", "stream_delimited"]
