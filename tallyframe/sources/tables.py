@@ -66,9 +66,18 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: str, bucket_by
     groups and merges small ones, so each written file has a sensible
     size however skewed the partition values are.
     """
-    columns = df.sparkSession.table(table).columns
+    spark = df.sparkSession
+    columns = spark.table(table).columns
     out = df.select(*columns).hint("rebalance", partition_by, bucket_by)
-    out.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    # insertInto follows the session's overwrite mode, not a writer option:
+    # switch it to dynamic for this write only.
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        out.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, previous)
 
 
 def load_table(

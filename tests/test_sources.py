@@ -74,6 +74,19 @@ def test_normalise_names_on_frame(spark):
 
 
 def test_load_table_layout_and_dynamic_overwrite(spark):
+    # The session default must not matter: a static default would wipe
+    # the untouched partitions on reload.
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        _check_load_table(spark)
+    finally:
+        spark.conf.set(key, before)
+    assert spark.conf.get(key) == before
+
+
+def _check_load_table(spark):
     rows = [
         (1, dt.date(2017, 11, d), 11, float(d)) for d in range(1, 11)
     ] + [(2, dt.date(2017, 12, d), 12, float(d)) for d in range(1, 6)]
