@@ -111,18 +111,22 @@ def _column_profile() -> str:
     return _with_trips("\nUNION ALL\n".join(parts))
 
 
-TIP_BANDS_HALF_OPEN_SQL = """CASE WHEN tip_amount >= 0 AND tip_amount < 5 THEN '[0-5)'
-            WHEN tip_amount >= 5 AND tip_amount < 10 THEN '[5-10)'
-            WHEN tip_amount >= 10 AND tip_amount < 15 THEN '[10-15)'
-            WHEN tip_amount >= 15 AND tip_amount < 20 THEN '[15-20)'
+TIP_BANDS_HALF_OPEN_SQL = """CASE
+            WHEN tip_amount IS NULL OR tip_amount < 0 THEN 'Other amount'
             WHEN tip_amount >= 20 THEN '>=20'
-            ELSE 'Other amount' END"""
-
-TIP_BANDS_AS_WRITTEN_SQL = """CASE WHEN tip_amount BETWEEN 0.00 AND 5.00 THEN 'Tip between $0.00 - $5.00'
-            WHEN tip_amount BETWEEN 5.01 AND 10.00 THEN 'Tip between $5.01 - $10.00'
-            WHEN tip_amount BETWEEN 10.01 AND 15.00 THEN 'Tip between $0.00 - $5.00'
-            WHEN tip_amount BETWEEN 15.01 AND 20.00 THEN 'Tip between $15.01 - $20.00'
+            WHEN tip_amount >= 15 THEN '[15-20)'
+            WHEN tip_amount >= 10 THEN '[10-15)'
+            WHEN tip_amount >= 5 THEN '[5-10)'
+            ELSE '[0-5)' END"""
+
+# Inclusive cent ranges; 10.01-15.00 carries the 0-5 label; gaps and
+# negatives fall to 'Other amount'.
+TIP_BANDS_AS_WRITTEN_SQL = """CASE
             WHEN tip_amount > 20.00 THEN 'Tip greater than $20'
+            WHEN tip_amount >= 15.01 AND tip_amount <= 20.00 THEN 'Tip between $15.01 - $20.00'
+            WHEN (tip_amount >= 0.00 AND tip_amount <= 5.00) OR (tip_amount >= 10.01 AND tip_amount <= 15.00)
+              THEN 'Tip between $0.00 - $5.00'
+            WHEN tip_amount >= 5.01 AND tip_amount <= 10.00 THEN 'Tip between $5.01 - $10.00'
             ELSE 'Other amount' END"""
 
 
@@ -158,8 +162,8 @@ TRIP_ORACLE = {
     ),
     "t07_any_negative_by_vendor": _with_trips(
         'SELECT VendorID, count(*) AS "count" FROM trips '
-        "WHERE (fare_amount < 0.00 OR extra < 0.00 OR mta_tax < 0.00 OR tip_amount < 0.00 "
-        "OR improvement_surcharge < 0.00 OR total_amount < 0.00) GROUP BY VendorID"
+        "WHERE least(fare_amount, extra, mta_tax, tip_amount, improvement_surcharge, total_amount) < 0 "
+        "GROUP BY VendorID"
     ),
     "t08_zero_total_by_vendor_payment": _with_trips(
         'SELECT VendorID, payment_type, count(*) AS "count" FROM trips '
@@ -198,12 +202,12 @@ TRIP_ORACLE = {
     "t17a_passenger_share": _with_clean(_share("passenger_count")),
     "t17b_extra_share": _with_clean(_share("extra")),
     "t18_payment_share": _with_clean(
-        "SELECT CASE WHEN code = 1 THEN 'Credit Card' WHEN code = 2 THEN 'Cash' "
-        "WHEN code = 3 THEN 'No charge' WHEN code = 4 THEN 'Dispute' WHEN code = 5 THEN 'Unknown' "
-        "WHEN code = 6 THEN 'Voided trip' ELSE 'Unknown' END AS payment_type, "
-        f"code AS payment_type_code, {R('n / total * 100.0')} AS Percentage_of_Total "
+        "SELECT coalesce(l.label, 'Unknown') AS payment_type, "
+        f"g.code AS payment_type_code, {R('n / total * 100.0')} AS Percentage_of_Total "
         "FROM (SELECT payment_type AS code, count(payment_type) AS n, "
-        "(SELECT count(*) FROM clean) AS total FROM clean GROUP BY payment_type) g"
+        "(SELECT count(*) FROM clean) AS total FROM clean GROUP BY payment_type) g "
+        "LEFT JOIN (VALUES (1, 'Credit Card'), (2, 'Cash'), (3, 'No charge'), (4, 'Dispute'), "
+        "(5, 'Unknown'), (6, 'Voided trip')) l(code, label) ON g.code = l.code"
     ),
     "t19_tip_mean_vs_percentiles": _with_clean(
         f"SELECT {R('avg(tip_amount)')} AS average_tip, "
@@ -212,7 +216,7 @@ TRIP_ORACLE = {
     ),
     "t20_extra_flag_share": _with_clean(
         f"SELECT extra, {R('count(extra) / (SELECT count(*) FROM clean) * 100.0')} AS Percentage_of_Total "
-        "FROM (SELECT CASE WHEN extra = 0.00 THEN 'No Extra Charged' ELSE 'Extra Charged' END AS extra "
+        "FROM (SELECT CASE WHEN extra <> 0 OR extra IS NULL THEN 'Extra Charged' ELSE 'No Extra Charged' END AS extra "
         "FROM clean) f GROUP BY extra"
     ),
     "t21_correlation": _with_clean(f"SELECT {R('corr(passenger_count, tip_amount)', 6)} AS correlation FROM clean"),
@@ -285,18 +289,14 @@ VALID_TIME = (
 BIN_CTE = f"""
 ticket_bin AS (
   SELECT *,
-         CASE WHEN ((ViolationHour = '03' OR ViolationHour = '04' OR ViolationHour = '05' OR ViolationHour = '06')
-                    AND ViolationPeriod = 'AM') THEN 'Dawn'
-              WHEN ((ViolationHour = '07' OR ViolationHour = '08' OR ViolationHour = '09' OR ViolationHour = '10')
-                    AND ViolationPeriod = 'AM') THEN 'Morning'
-              WHEN ((ViolationHour = '11' AND ViolationPeriod = 'AM')
-                    OR ((ViolationHour = '12' OR ViolationHour = '01' OR ViolationHour = '02')
-                        AND ViolationPeriod = 'PM')) THEN 'Afternoon'
-              WHEN ((ViolationHour = '03' OR ViolationHour = '04' OR ViolationHour = '05' OR ViolationHour = '06')
-                    AND ViolationPeriod = 'PM') THEN 'Evening'
-              WHEN ((ViolationHour = '07' OR ViolationHour = '08' OR ViolationHour = '09' OR ViolationHour = '10')
-                    AND ViolationPeriod = 'PM') THEN 'Night'
-              ELSE 'Midnight' END AS TimeOfDay
+         CASE
+           WHEN ViolationPeriod = 'AM' AND ViolationHour IN ('03', '04', '05', '06') THEN 'Dawn'
+           WHEN ViolationPeriod = 'AM' AND ViolationHour IN ('07', '08', '09', '10') THEN 'Morning'
+           WHEN ViolationPeriod || ViolationHour IN ('AM11', 'PM12', 'PM01', 'PM02') THEN 'Afternoon'
+           WHEN ViolationPeriod = 'PM' AND ViolationHour IN ('03', '04', '05', '06') THEN 'Evening'
+           WHEN ViolationPeriod = 'PM' AND ViolationHour IN ('07', '08', '09', '10') THEN 'Night'
+           ELSE 'Midnight'
+         END AS TimeOfDay
   FROM ticket_time
   WHERE {VALID_TIME}
 )"""
@@ -304,10 +304,13 @@ ticket_bin AS (
 SEASON_CTE = """
 ticket_season AS (
   SELECT *,
-         CASE WHEN (IssueMonth = 12 OR IssueMonth = 1 OR IssueMonth = 2) THEN 'Winter'
-              WHEN (IssueMonth = 3 OR IssueMonth = 4 OR IssueMonth = 5) THEN 'Spring'
-              WHEN (IssueMonth = 6 OR IssueMonth = 7 OR IssueMonth = 8) THEN 'Summer'
-              WHEN IssueMonth IS NOT NULL THEN 'Fall' END AS Season
+         CASE
+           WHEN IssueMonth IS NULL THEN NULL
+           WHEN IssueMonth IN (3, 4, 5) THEN 'Spring'
+           WHEN IssueMonth IN (6, 7, 8) THEN 'Summer'
+           WHEN IssueMonth IN (9, 10, 11) THEN 'Fall'
+           ELSE 'Winter'
+         END AS Season
   FROM ticket_bin
 )"""
 

@@ -86,3 +86,26 @@ def test_plan_shapes(spark):
     # The pickup-period rule reaches the orders scan as a range.
     t13 = plan("t13_valid_count")
     assert "GreaterThanOrEqual(o_orderdate" in t13 and "LessThan(o_orderdate" in t13
+
+
+def test_sql_over_views_matches_operators(spark):
+    from tallyframe.plans.views import register_ticket_views, register_trip_views
+
+    register_trip_views(spark, SMALL)
+    register_ticket_views(spark, SMALL)
+    q = contract.queries()
+    ranked = spark.sql(
+        """
+        SELECT TimeOfDay, ViolationCode, TicketCount, Rank FROM (
+          SELECT TimeOfDay, ViolationCode, TicketCount,
+                 dense_rank() OVER (PARTITION BY TimeOfDay ORDER BY TicketCount DESC) AS Rank
+          FROM (SELECT TimeOfDay, ViolationCode, count(*) AS TicketCount
+                FROM tickets_bin GROUP BY TimeOfDay, ViolationCode))
+        WHERE Rank <= 3
+        """
+    )
+    assert sorted(ranked.collect()) == sorted(q["k17_top_codes_per_bin"](spark, SMALL).collect())
+    fares = spark.sql(
+        "SELECT year, month, round(avg(fare_amount), 2) AS avg_fare FROM trips_clean GROUP BY year, month"
+    )
+    assert sorted(fares.collect()) == sorted(q["t16_avg_fare_by_period"](spark, SMALL).collect())
