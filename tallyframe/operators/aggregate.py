@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions.bins import Band, band, decode
 from tallyframe.functions.numeric import (
@@ -139,27 +140,59 @@ def band_share(
     return share_of_total(banded, band_col, digits=digits, pct_col=pct_col)
 
 
+def _kll(dtype: T.DataType) -> tuple:
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint, F.kll_sketch_get_quantile_bigint, "bigint"
+    if isinstance(dtype, T.FloatType):
+        return F.kll_sketch_agg_float, F.kll_merge_agg_float, F.kll_sketch_get_quantile_float, "float"
+    return F.kll_sketch_agg_double, F.kll_merge_agg_double, F.kll_sketch_get_quantile_double, "double"
+
+
 def mean_vs_percentiles(
     df: DataFrame,
     value: str,
     percentiles: Sequence[float] = (0.25, 0.5, 0.75),
-    accuracy: int = 10_000,
+    accuracy: int = 4096,
     digits: int = 2,
     name: str | None = None,
+    method: str = "sketch",
+    fan_in: int = 1024,
 ) -> DataFrame:
     """Mean and percentiles of ``value`` in one pass.
 
-    ``percentile_approx`` keeps a mergeable quantile sketch per task
-    (relative rank error ``1/accuracy``); with fewer rows than
-    ``accuracy`` it returns exact order statistics.
+    ``method="sketch"`` builds a mergeable KLL quantile sketch (``k =
+    accuracy``) per task and reduces the sketches as a two-level tree:
+    tasks are folded into ``fan_in`` buckets in parallel, and only those
+    bucket sketches meet in the final merge -- so the last task never
+    receives one summary per input split. Percentiles are the smallest
+    values whose rank reaches ``p`` (exact while the data fits the sketch).
+
+    ``method="gk"`` is the single-level ``percentile_approx`` form
+    (relative rank error ``1/accuracy``).
     """
     name = name or value
-    q = F.percentile_approx(value, list(percentiles), accuracy)
-    stats = df.agg(round_half_up(F.avg(value), digits).alias(f"average_{name}"), q.alias("_q"))
-    cols = [F.col(f"average_{name}")]
-    for i, p in enumerate(percentiles):
-        cols.append(F.col("_q")[i].alias(f"p{round(p * 100):d}_{name}"))
-    return stats.select(*cols)
+    mean_col = f"average_{name}"
+    if method == "gk":
+        q = F.percentile_approx(value, list(percentiles), accuracy)
+        stats = df.agg(round_half_up(F.avg(value), digits).alias(mean_col), q.alias("_q"))
+        cols = [F.col(mean_col)] + [
+            F.col("_q")[i].alias(f"p{round(p * 100):d}_{name}") for i, p in enumerate(percentiles)
+        ]
+        return stats.select(*cols)
+    sketch_agg, merge_agg, quantile, cast_to = _kll(df.schema[value].dataType)
+    v = F.col(value).cast(cast_to)
+    bucket = F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("_bucket")
+    level1 = df.groupBy(bucket).agg(
+        sketch_agg(v, F.lit(accuracy)).alias("_s"),
+        F.sum(F.col(value).cast("double")).alias("_sum"),
+        F.count(F.col(value)).alias("_n"),
+    )
+    level2 = level1.agg(merge_agg("_s").alias("_s"), F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
+    cols = [round_half_up(F.try_divide(F.col("_sum"), F.col("_n")), digits).alias(mean_col)]
+    for p in percentiles:
+        q = F.when(F.col("_n") > 0, quantile(F.col("_s"), F.lit(float(p))))
+        cols.append(q.cast(df.schema[value].dataType).alias(f"p{round(p * 100):d}_{name}"))
+    return level2.select(*cols)
 
 
 def correlation(df: DataFrame, x: str, y: str, alias: str = "correlation", digits: int | None = 6) -> DataFrame:

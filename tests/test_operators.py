@@ -183,3 +183,15 @@ def test_shape_sample_period(spark):
     ]
     assert _rows(period_profile(df, "ts", "v"), "year", "month", "count") == [(2017, 1, 1), (2017, 11, 1), (2017, 12, 1)]
     assert [r.v for r in sample_rows(df, 2, ["v"]).collect()] == [None, 1]
+
+
+def test_mean_vs_percentiles_empty_and_methods(spark):
+    empty = spark.createDataFrame([], "tip double")
+    row = mean_vs_percentiles(empty, "tip", name="tip").first()
+    assert (row.average_tip, row.p25_tip, row.p50_tip, row.p75_tip) == (None, None, None, None)
+    df = spark.range(0, 2001).select((F.col("id") / 10.0).alias("tip")).repartition(7)
+    kll = mean_vs_percentiles(df, "tip", name="tip", fan_in=3).first()
+    gk = mean_vs_percentiles(df, "tip", name="tip", method="gk").first()
+    assert tuple(kll) == tuple(gk) == (100.0, 50.0, 100.0, 150.0)
+    ints = spark.range(1, 101).select(F.col("id").cast("int").alias("n"))
+    assert tuple(mean_vs_percentiles(ints, "n").first()) == (50.5, 25, 50, 75)
