@@ -62,7 +62,8 @@ def column_profile(
     One row per column with ``column_name, data_type, num_nulls,
     distinct_count, min_value, max_value, avg_len, max_len`` (min and max
     compared in the column's own type, then shown as text; lengths for
-    text columns only).
+    text columns only, as doubles so that the NULLs of other columns never
+    turn the column into a nullable integer).
 
     NULLs, min, max and lengths come from one global aggregation (partial
     per task, one merge). Exact distinct counts are a second aggregation
@@ -86,7 +87,7 @@ def column_profile(
         if not exact_distinct:
             aggs.append(F.approx_count_distinct(c, rsd).alias(f"d{i}"))
         if _is_text(f.dataType):
-            aggs += [F.avg(F.length(c)).alias(f"al{i}"), F.max(F.length(c)).alias(f"ml{i}")]
+            aggs += [F.avg(F.length(c)).alias(f"al{i}"), F.max(F.length(c)).cast("double").alias(f"ml{i}")]
     stats = df.agg(*aggs)
     if exact_distinct:
         counts = df.agg(F.struct(*[F.count_distinct(F.col(f.name)).alias(f"d{i}") for i, f in enumerate(fields)]))
@@ -107,7 +108,7 @@ def column_profile(
                 F.col(f"lo{i}").alias("min_value"),
                 F.col(f"hi{i}").alias("max_value"),
                 (F.col(f"al{i}") if text else F.lit(None).cast("double")).alias("avg_len"),
-                (F.col(f"ml{i}") if text else F.lit(None).cast("int")).alias("max_len"),
+                (F.col(f"ml{i}") if text else F.lit(None).cast("double")).alias("max_len"),
             )
         )
     return stats.select(F.explode(F.array(*rows)).alias("p")).select("p.*")

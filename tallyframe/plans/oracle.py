@@ -101,7 +101,7 @@ def _column_profile() -> str:
     for c in TRIP_COLUMNS:
         text = types[c] == "string"
         avg_len = f"avg(length({c}))" if text else "CAST(NULL AS DOUBLE)"
-        max_len = f"CAST(max(length({c})) AS INTEGER)" if text else "CAST(NULL AS INTEGER)"
+        max_len = f"CAST(max(length({c})) AS DOUBLE)" if text else "CAST(NULL AS DOUBLE)"
         parts.append(
             f"SELECT '{c}' AS column_name, '{types[c]}' AS data_type, "
             f"count(*) - count({c}) AS num_nulls, count(DISTINCT {c}) AS distinct_count, "
