@@ -21,6 +21,7 @@ from tallyframe.functions.clock import (
     clock_minute,
     clock_period,
     month_range,
+    on_dates,
     valid_clock,
 )
 from tallyframe.functions.numeric import (
@@ -51,6 +52,7 @@ __all__ = [
     "decode",
     "duration_seconds",
     "month_range",
+    "on_dates",
     "pct",
     "pct_change",
     "rate_per_hour",

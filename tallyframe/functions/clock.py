@@ -7,6 +7,9 @@ stay visible as odd hours or periods instead of turning into NULL.
 
 from __future__ import annotations
 
+import datetime as _dt
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,3 +58,15 @@ def month_range(ts: ColumnOrName, year: int, months: list[int] | tuple[int, ...]
         # String bounds are cast to the column's own timestamp type.
         return (t >= F.lit(lo)) & (t < F.lit(hi))
     return (F.year(t) == F.lit(year)) & F.month(t).isin(*months)
+
+
+def on_dates(ts: ColumnOrName, dates: list[str] | tuple[str, ...]) -> Column:
+    """``to_date(ts) IN (dates)`` written so it pushes down: one half-open
+    day range per date, OR-ed (string bounds take the column's type)."""
+    t = col_of(ts)
+    ranges = []
+    for d in dates:
+        day = _dt.date.fromisoformat(d)
+        nxt = day + _dt.timedelta(days=1)
+        ranges.append((t >= F.lit(f"{day.isoformat()} 00:00:00")) & (t < F.lit(f"{nxt.isoformat()} 00:00:00")))
+    return reduce(lambda a, b: a | b, ranges)

@@ -18,7 +18,7 @@ from tallyframe.functions.bins import (
     TIP_BANDS_AS_WRITTEN,
     TIP_BANDS_HALF_OPEN,
 )
-from tallyframe.functions.clock import month_range
+from tallyframe.functions.clock import month_range, on_dates
 from tallyframe.operators import aggregate as agg
 from tallyframe.operators import profile, quality
 from tallyframe.plans.bindings import trips
@@ -249,7 +249,8 @@ def t24_speed_overall(spark, folder):
 
 
 def _on_dates(rules: TripRules) -> Column:
-    return F.to_date("date").isin(*[F.lit(d).cast("date") for d in rules.dates])
+    # to_date(pickup) IN (dates), as day ranges on the pickup so it reaches the scan.
+    return on_dates(PICKUP, rules.dates)
 
 
 def t25_speed_on_dates(spark, folder):

@@ -150,3 +150,18 @@ def test_month_range_matches_parts_and_pushes_down(spark, tmp_path):
     assert "PushedFilters" in plan and "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
     # Non-contiguous months fall back to the part test.
     assert df.filter(month_range("ts", 2017, [10, 12])).count() == 2
+
+
+def test_on_dates_matches_to_date_and_pushes_down(spark, tmp_path):
+    from tallyframe.functions import on_dates
+
+    stamps = [dt.datetime(1997, 12, 24, 23, 59, 59), dt.datetime(1997, 12, 25), dt.datetime(1997, 12, 25, 23, 59),
+              dt.datetime(1997, 12, 26), dt.datetime(1997, 12, 31, 12), dt.datetime(1998, 1, 1)]
+    path = str(tmp_path / "days")
+    spark.createDataFrame([(s,) for s in stamps], "ts timestamp_ntz").write.parquet(path)
+    df = spark.read.parquet(path)
+    days = ["1997-12-31", "1997-12-25"]
+    got = df.filter(on_dates("ts", days))
+    want = df.filter(F.to_date("ts").isin(*[F.lit(d).cast("date") for d in days]))
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 3
+    assert "Or(And(GreaterThanOrEqual(ts" in got._jdf.queryExecution().executedPlan().toString()
