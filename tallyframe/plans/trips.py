@@ -195,57 +195,56 @@ def t15_load_reconciliation(spark, folder):
 
 
 # ---- analyses over the clean rows --------------------------------------------
+# Each takes the clean rows -- the lazily derived frame, or the loaded ORC
+# table read back (``spark.table``), which cuts the lineage at the load.
 
-
-def t16_avg_fare_by_period(spark, folder):
-    return agg.avg_by(_clean(spark, folder), "fare_amount", "year", "month", alias="avg_fare")
+# Labels of the extra-charge flag.
+EXTRA_FLAG_LABELS = ("No Extra Charged", "Extra Charged")
 
 
-def t17a_passenger_share(spark, folder):
-    return agg.share_of_total(_clean(spark, folder), "passenger_count")
+def fare_by_period(clean: DataFrame) -> DataFrame:
+    return agg.avg_by(clean, "fare_amount", "year", "month", alias="avg_fare")
 
 
-def t17b_extra_share(spark, folder):
-    return agg.share_of_total(_clean(spark, folder), "extra")
+def passenger_share(clean: DataFrame) -> DataFrame:
+    return agg.share_of_total(clean, "passenger_count")
 
 
-def t18_payment_share(spark, folder):
-    return agg.share_of_total(
-        _clean(spark, folder), "payment_type", labels=PAYMENT_TYPE_LABELS, label_default=PAYMENT_TYPE_DEFAULT
-    )
+def extra_share(clean: DataFrame) -> DataFrame:
+    return agg.share_of_total(clean, "extra")
 
 
-# Labels of the extra-charge flag.
-EXTRA_FLAG_LABELS = ("No Extra Charged", "Extra Charged")
+def payment_share(clean: DataFrame) -> DataFrame:
+    return agg.share_of_total(clean, "payment_type", labels=PAYMENT_TYPE_LABELS, label_default=PAYMENT_TYPE_DEFAULT)
 
 
-def t20_extra_flag_share(spark, folder):
-    flag = F.when(F.col("extra") == 0.0, F.lit(EXTRA_FLAG_LABELS[0])).otherwise(F.lit(EXTRA_FLAG_LABELS[1]))
-    return agg.share_of_total(_clean(spark, folder).select(flag.alias("extra")), "extra")
+def tip_mean_vs_percentiles(clean: DataFrame, rules: TripRules = BOUND_RULES) -> DataFrame:
+    return agg.mean_vs_percentiles(clean, "tip_amount", rules.percentiles, name="tip")
 
 
-def t19_tip_mean_vs_percentiles(spark, folder):
-    return agg.mean_vs_percentiles(_clean(spark, folder), "tip_amount", BOUND_RULES.percentiles, name="tip")
+def extra_flag_share(clean: DataFrame) -> DataFrame:
+    flag = F.when(F.col("extra") == 0.0, F.lit(EXTRA_FLAG_LABELS[0])).otherwise(F.lit(EXTRA_FLAG_LABELS[1]))
+    return agg.share_of_total(clean.select(flag.alias("extra")), "extra")
 
 
-def t21_correlation(spark, folder):
-    return agg.correlation(_clean(spark, folder), "passenger_count", "tip_amount")
+def passenger_tip_correlation(clean: DataFrame) -> DataFrame:
+    return agg.correlation(clean, "passenger_count", "tip_amount")
 
 
-def t22a_tip_band_share(spark, folder):
-    return agg.band_share(_clean(spark, folder), "tip_amount", TIP_BANDS_HALF_OPEN, "Range_of_tip_amount")
+def tip_band_share(clean: DataFrame) -> DataFrame:
+    return agg.band_share(clean, "tip_amount", TIP_BANDS_HALF_OPEN, "Range_of_tip_amount")
 
 
-def t22b_tip_band_share_as_written(spark, folder):
-    return agg.band_share(_clean(spark, folder), "tip_amount", TIP_BANDS_AS_WRITTEN, "Range_of_tip_amount")
+def tip_band_share_as_written(clean: DataFrame) -> DataFrame:
+    return agg.band_share(clean, "tip_amount", TIP_BANDS_AS_WRITTEN, "Range_of_tip_amount")
 
 
-def t23_speed_by_month(spark, folder):
-    return agg.avg_rate_by(_clean(spark, folder), "trip_distance", PICKUP, DROPOFF, "month")
+def speed_by_month(clean: DataFrame) -> DataFrame:
+    return agg.avg_rate_by(clean, "trip_distance", PICKUP, DROPOFF, "month")
 
 
-def t24_speed_overall(spark, folder):
-    return agg.avg_rate_by(_clean(spark, folder), "trip_distance", PICKUP, DROPOFF, alias="average_total_mph")
+def speed_overall(clean: DataFrame) -> DataFrame:
+    return agg.avg_rate_by(clean, "trip_distance", PICKUP, DROPOFF, alias="average_total_mph")
 
 
 def _on_dates(rules: TripRules) -> Column:
@@ -253,17 +252,45 @@ def _on_dates(rules: TripRules) -> Column:
     return on_dates(PICKUP, rules.dates)
 
 
-def t25_speed_on_dates(spark, folder):
+def speed_on_dates(clean: DataFrame, rules: TripRules = BOUND_RULES) -> DataFrame:
     return agg.avg_rate_by(
-        _clean(spark, folder), "trip_distance", PICKUP, DROPOFF, "date",
-        alias="average_daily_mph", where=_on_dates(BOUND_RULES),
+        clean, "trip_distance", PICKUP, DROPOFF, "date", alias="average_daily_mph", where=_on_dates(rules)
     )
 
 
-def t26_speed_vs_overall(spark, folder):
-    return agg.rate_vs_overall(
-        _clean(spark, folder), "trip_distance", PICKUP, DROPOFF, "date", where=_on_dates(BOUND_RULES)
-    )
+def speed_vs_overall(clean: DataFrame, rules: TripRules = BOUND_RULES) -> DataFrame:
+    return agg.rate_vs_overall(clean, "trip_distance", PICKUP, DROPOFF, "date", where=_on_dates(rules))
+
+
+CLEAN_ANALYSES = {
+    "t16_avg_fare_by_period": fare_by_period,
+    "t17a_passenger_share": passenger_share,
+    "t17b_extra_share": extra_share,
+    "t18_payment_share": payment_share,
+    "t19_tip_mean_vs_percentiles": tip_mean_vs_percentiles,
+    "t20_extra_flag_share": extra_flag_share,
+    "t21_correlation": passenger_tip_correlation,
+    "t22a_tip_band_share": tip_band_share,
+    "t22b_tip_band_share_as_written": tip_band_share_as_written,
+    "t23_speed_by_month": speed_by_month,
+    "t24_speed_overall": speed_overall,
+    "t25_speed_on_dates": speed_on_dates,
+    "t26_speed_vs_overall": speed_vs_overall,
+}
+
+
+def analyses_over(clean: DataFrame) -> dict[str, DataFrame]:
+    """Every clean-row analysis over ``clean`` (e.g. the loaded table)."""
+    return {key: fn(clean) for key, fn in CLEAN_ANALYSES.items()}
+
+
+def _on_clean(key: str):
+    def query(spark, folder):
+        return CLEAN_ANALYSES[key](_clean(spark, folder))
+
+    query.__name__ = key
+    query.__doc__ = CLEAN_ANALYSES[key].__doc__
+    return query
 
 
 QUERIES = {
@@ -285,17 +312,17 @@ QUERIES = {
     "t14a_csv_landing_scan": t14a_csv_landing_scan,
     "t14_clean_load": t14_clean_load,
     "t15_load_reconciliation": t15_load_reconciliation,
-    "t16_avg_fare_by_period": t16_avg_fare_by_period,
-    "t17a_passenger_share": t17a_passenger_share,
-    "t17b_extra_share": t17b_extra_share,
-    "t18_payment_share": t18_payment_share,
-    "t19_tip_mean_vs_percentiles": t19_tip_mean_vs_percentiles,
-    "t20_extra_flag_share": t20_extra_flag_share,
-    "t21_correlation": t21_correlation,
-    "t22a_tip_band_share": t22a_tip_band_share,
-    "t22b_tip_band_share_as_written": t22b_tip_band_share_as_written,
-    "t23_speed_by_month": t23_speed_by_month,
-    "t24_speed_overall": t24_speed_overall,
-    "t25_speed_on_dates": t25_speed_on_dates,
-    "t26_speed_vs_overall": t26_speed_vs_overall,
+    "t16_avg_fare_by_period": _on_clean("t16_avg_fare_by_period"),
+    "t17a_passenger_share": _on_clean("t17a_passenger_share"),
+    "t17b_extra_share": _on_clean("t17b_extra_share"),
+    "t18_payment_share": _on_clean("t18_payment_share"),
+    "t19_tip_mean_vs_percentiles": _on_clean("t19_tip_mean_vs_percentiles"),
+    "t20_extra_flag_share": _on_clean("t20_extra_flag_share"),
+    "t21_correlation": _on_clean("t21_correlation"),
+    "t22a_tip_band_share": _on_clean("t22a_tip_band_share"),
+    "t22b_tip_band_share_as_written": _on_clean("t22b_tip_band_share_as_written"),
+    "t23_speed_by_month": _on_clean("t23_speed_by_month"),
+    "t24_speed_overall": _on_clean("t24_speed_overall"),
+    "t25_speed_on_dates": _on_clean("t25_speed_on_dates"),
+    "t26_speed_vs_overall": _on_clean("t26_speed_vs_overall"),
 }

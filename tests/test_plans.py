@@ -109,3 +109,14 @@ def test_sql_over_views_matches_operators(spark):
         "SELECT year, month, round(avg(fare_amount), 2) AS avg_fare FROM trips_clean GROUP BY year, month"
     )
     assert sorted(fares.collect()) == sorted(q["t16_avg_fare_by_period"](spark, SMALL).collect())
+
+
+def test_analyses_over_loaded_table_match(spark):
+    """Load once, analyse the ORC table read back: same answers as the
+    lazily derived clean rows."""
+    from tallyframe.plans.trips import analyses_over
+
+    loaded = contract.queries()["t14_clean_load"](spark, SMALL)
+    for key, df in analyses_over(loaded).items():
+        want = contract.queries()[key](spark, SMALL)
+        assert sorted(df.collect()) == sorted(want.collect()), key
