@@ -66,8 +66,15 @@ def summarise(plan: str) -> dict[str, object]:
     final = _final_only(plan)
     return {
         "scans": final.count("FileScan") + final.count("Scan ExistingRDD") + final.count("LocalTableScan"),
-        "shuffles": len(re.findall(r"(?<!Reused)Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning|rebalance)", final)),
-        "broadcasts": len(re.findall(r"(?<!Reused)BroadcastExchange", final)),
+        "shuffles": sum(
+            1
+            for line in final.splitlines()
+            if "ReusedExchange" not in line
+            and re.search(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning|rebalance)", line)
+        ),
+        "broadcasts": sum(
+            1 for line in final.splitlines() if "ReusedExchange" not in line and "BroadcastExchange" in line
+        ),
         "reused": final.count("ReusedExchange"),
         "sort_agg": final.count("SortAggregate"),
         "wgl_partial": final.count(", Partial") if "WindowGroupLimit" in final else 0,
