@@ -89,7 +89,7 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(
-        "local[8]", shuffle_partitions=8, extra={"spark.sql.maxMetadataStringLength": "1000"}
+        "local[8]", shuffle_partitions=8, extra={"spark.sql.maxMetadataStringLength": "10000"}
     )
     print("# Plan audit\n")
     print(f"Generated by `tools/plan_audit.py` from the final adaptive plans at `{sf_dir}`.")
