@@ -10,6 +10,7 @@ no join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -77,15 +78,22 @@ def top_n(
 
 
 def distinct_count(
-    df: DataFrame, column: str, alias: str, approx: bool = False, rsd: float = 0.01
+    df: DataFrame, column: str, alias: str, approx: bool = False, rsd: float = 0.01, fan_in: int = 1024
 ) -> DataFrame:
     """One row: the number of distinct non-NULL values.
 
-    ``approx=True`` uses a HyperLogLog++ sketch (bounded memory, no
-    shuffle of values) for very large inputs.
+    Exact: values are de-duplicated per task, shuffled once, counted.
+    ``approx=True``: a mergeable HLL sketch per task (relative error about
+    ``rsd``), folded into ``fan_in`` buckets in parallel and then unioned
+    once, so the final task never receives one sketch per input split.
     """
-    agg = F.approx_count_distinct(column, rsd) if approx else F.count_distinct(F.col(column))
-    return df.agg(agg.alias(alias))
+    if not approx:
+        return df.agg(F.count_distinct(F.col(column)).alias(alias))
+    lg_k = min(21, max(4, math.ceil(math.log2((1.04 / rsd) ** 2))))
+    bucket = F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("_bucket")
+    level1 = df.groupBy(bucket).agg(F.hll_sketch_agg(F.col(column), lg_k).alias("_s"))
+    level2 = level1.agg(F.hll_union_agg("_s").alias("_s"))
+    return level2.select(F.coalesce(F.hll_sketch_estimate("_s"), F.lit(0).cast("bigint")).alias(alias))
 
 
 def avg_by(

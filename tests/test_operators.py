@@ -195,3 +195,11 @@ def test_mean_vs_percentiles_empty_and_methods(spark):
     assert tuple(kll) == tuple(gk) == (100.0, 50.0, 100.0, 150.0)
     ints = spark.range(1, 101).select(F.col("id").cast("int").alias("n"))
     assert tuple(mean_vs_percentiles(ints, "n").first()) == (50.5, 25, 50, 75)
+
+
+def test_distinct_count_sketch_tree(spark):
+    df = spark.range(0, 20000, numPartitions=9).select((F.col("id") % 5000).alias("v"))
+    approx = distinct_count(df, "v", "n", approx=True, rsd=0.02, fan_in=4).first()[0]
+    assert abs(approx - 5000) / 5000 < 0.06
+    empty = spark.createDataFrame([], "v long")
+    assert distinct_count(empty, "v", "n", approx=True).first()[0] == 0
