@@ -16,7 +16,7 @@ from tallyframe.operators import aggregate as agg
 from tallyframe.operators import profile, quality, rank
 from tallyframe.operators.joins import bounded_broadcast
 from tallyframe.operators.recode import recode_to_mode
-from tallyframe.plans.bindings import BOUND_FINE_CODES, bound_fines, tickets, tickets_by_shipment
+from tallyframe.plans.bindings import BOUND_FINE_CODES, bound_fines, per_session, tickets, tickets_by_shipment
 from tallyframe.sources import delimited, tables
 from tallyframe.sources.schema import TICKET_RAW_SCHEMA
 
@@ -58,14 +58,17 @@ def with_season(df: DataFrame) -> DataFrame:
     return df.withColumn("Season", season("IssueMonth"))
 
 
+@per_session
 def _time(spark: SparkSession, folder: str) -> DataFrame:
     return derive_ticket_time(tickets(spark, folder))
 
 
+@per_session
 def _binned(spark: SparkSession, folder: str) -> DataFrame:
     return with_time_of_day(valid_time(_time(spark, folder)))
 
 
+@per_session
 def _seasonal(spark: SparkSession, folder: str) -> DataFrame:
     return with_season(with_time_of_day(valid_time(derive_ticket_time(tickets_by_shipment(spark, folder)))))
 

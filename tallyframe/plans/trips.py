@@ -21,7 +21,7 @@ from tallyframe.functions.bins import (
 from tallyframe.functions.clock import month_range, on_dates
 from tallyframe.operators import aggregate as agg
 from tallyframe.operators import profile, quality
-from tallyframe.plans.bindings import trips
+from tallyframe.plans.bindings import per_session, trips
 from tallyframe.sources import delimited, tables
 from tallyframe.sources.schema import TRIP_RAW_SCHEMA, subset
 
@@ -93,8 +93,9 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
     return trips(spark, folder)
 
 
-def _clean(spark: SparkSession, folder: str, rules: TripRules = BOUND_RULES) -> DataFrame:
-    return clean_trips(trips(spark, folder), rules)
+@per_session
+def _clean(spark: SparkSession, folder: str) -> DataFrame:
+    return clean_trips(trips(spark, folder), BOUND_RULES)
 
 
 # ---- data-quality profile over the raw rows ---------------------------------
