@@ -1,11 +1,12 @@
 """Counting and descriptive aggregates.
 
-Each operator is a single ``groupBy``/``agg`` (two-phase: partial
-aggregation before the shuffle), so a hot key costs one partial row per
-task, never a whole group in one task. Totals used for shares are taken
-from the already-aggregated rows through a scalar subquery, which reuses
-the aggregation's exchange instead of scanning the input again and needs
-no join.
+Every aggregation combines map-side before it shuffles, so a hot key costs
+one partial row per task, never a whole group in one task. Totals used for
+shares are taken from the already-aggregated rows through a scalar
+subquery, which reuses the aggregation's exchange instead of scanning the
+input again and needs no join. Sketch-based global aggregates (approximate
+distinct counts, percentiles) reduce their per-task sketches in two levels
+so the final merge has a bounded fan-in.
 """
 
 from __future__ import annotations
