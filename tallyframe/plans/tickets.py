@@ -76,132 +76,137 @@ def _seasonal(spark: SparkSession, folder: str) -> DataFrame:
 # ---- ingest and shape --------------------------------------------------------
 
 
-def k01_ingest_renamed(spark, folder):
-    """Land the tickets as CSV under the original spaced header, scan it
+def ingest_renamed(tickets_spaced: DataFrame, path: str) -> DataFrame:
+    """Land tickets (original spaced header) as CSV at ``path``, scan them
     back with the declared schema and strip the spaces from the names."""
-    bound = tickets(spark, folder)
-    spaced = bound.toDF(*[f.name for f in TICKET_RAW_SCHEMA.fields])
+    delimited.write_delimited(tickets_spaced, path)
+    return delimited.normalise_names(delimited.read_delimited(tickets_spaced.sparkSession, path, TICKET_RAW_SCHEMA))
+
+
+def k01_ingest_renamed(spark, folder):
+    spaced = tickets(spark, folder).toDF(*[f.name for f in TICKET_RAW_SCHEMA.fields])
     _, path = tables.table_location(spark, "ticket_landing")
-    delimited.write_delimited(spaced, path)
-    return delimited.normalise_names(delimited.read_delimited(spark, path, TICKET_RAW_SCHEMA))
+    return ingest_renamed(spaced, path)
 
 
-def k02_shape(spark, folder):
-    return profile.describe_shape(tickets(spark, folder))
+def shape(raw: DataFrame) -> DataFrame:
+    return profile.describe_shape(raw)
 
 
-def k03_time_parts(spark, folder):
-    return _time(spark, folder).select(
-        "SummonsNumber", "IssueYear", "IssueMonth", "IssueDt", "ViolationHour", "ViolationMinute", "ViolationPeriod"
-    )
+# ---- counts over the timed rows ------------------------------------------------
+# Each takes the tickets with their time parts (``derive_ticket_time``).
 
 
-# ---- counts ------------------------------------------------------------------
+def time_parts(timed: DataFrame) -> DataFrame:
+    return timed.select(
+        "SummonsNumber", "IssueYear", "IssueMonth", "IssueDt", "ViolationHour", "ViolationMinute", "ViolationPeriod"
+    )
 
 
-def k04a_distinct_summons(spark, folder):
-    return agg.distinct_count(_time(spark, folder), "SummonsNumber", "CountSummons")
+def distinct_summons(timed: DataFrame) -> DataFrame:
+    return agg.distinct_count(timed, "SummonsNumber", "CountSummons")
 
 
-def k04b_distinct_states(spark, folder):
-    return agg.distinct_count(_time(spark, folder), "RegistrationState", "CountStates")
+def distinct_states(timed: DataFrame) -> DataFrame:
+    return agg.distinct_count(timed, "RegistrationState", "CountStates")
 
 
-def k05_state_frequency(spark, folder):
-    return agg.frequency(_time(spark, folder), "RegistrationState", order=True)
+def state_frequency(timed: DataFrame) -> DataFrame:
+    return agg.frequency(timed, "RegistrationState", order=True)
 
 
-def k06_recode_to_mode(spark, folder):
-    recoded = recode_to_mode(_time(spark, folder), "RegistrationState", STATE_SENTINELS)
+def state_frequency_recoded(timed: DataFrame) -> DataFrame:
+    recoded = recode_to_mode(timed, "RegistrationState", STATE_SENTINELS)
     return agg.frequency(recoded, "RegistrationState", order=True)
 
 
-def k06b_distinct_after_recode(spark, folder):
-    recoded = recode_to_mode(_time(spark, folder), "RegistrationState", STATE_SENTINELS)
+def distinct_states_recoded(timed: DataFrame) -> DataFrame:
+    recoded = recode_to_mode(timed, "RegistrationState", STATE_SENTINELS)
     return agg.distinct_count(recoded, "RegistrationState", "CountStates")
 
 
-def k07a_top_codes(spark, folder):
-    return agg.top_n(_time(spark, folder), "ViolationCode", TOP_FIVE)
-
-
-def k07b_top_body_types(spark, folder):
-    return agg.top_n(_time(spark, folder), "VehicleBodyType", TOP_FIVE)
+def _top(key: str, n: int, exclude=None):
+    def analysis(timed: DataFrame) -> DataFrame:
+        return agg.top_n(timed, key, n, exclude=exclude)
 
+    return analysis
 
-def k07c_top_makes(spark, folder):
-    return agg.top_n(_time(spark, folder), "VehicleMake", TOP_FIVE)
 
+def code_mix_in_top_precincts(timed: DataFrame) -> DataFrame:
+    return rank.mix_within_top(timed, "IssuerPrecinct", "ViolationCode", TOP_THREE, exclude=PRECINCT_SENTINELS)
 
-def k07d_top_violation_precincts(spark, folder):
-    return agg.top_n(_time(spark, folder), "ViolationPrecinct", TOP_FIVE)
 
-
-def k08a_top_violation_precincts_valid(spark, folder):
-    return agg.top_n(_time(spark, folder), "ViolationPrecinct", TOP_FIVE, exclude=PRECINCT_SENTINELS)
-
-
-def k08b_top_issuer_precincts_valid(spark, folder):
-    return agg.top_n(_time(spark, folder), "IssuerPrecinct", TOP_FIVE, exclude=PRECINCT_SENTINELS)
-
-
-def k09_top_issuer_precincts(spark, folder):
-    return agg.top_n(_time(spark, folder), "IssuerPrecinct", TOP_THREE, exclude=PRECINCT_SENTINELS)
-
-
-def k10_code_mix_in_top_precincts(spark, folder):
+def code_mix_filtered(timed: DataFrame) -> DataFrame:
     return rank.mix_within_top(
-        _time(spark, folder), "IssuerPrecinct", "ViolationCode", TOP_THREE, exclude=PRECINCT_SENTINELS
+        timed, "IssuerPrecinct", "ViolationCode", TOP_THREE, exclude=PRECINCT_SENTINELS, items=FOLLOWED_CODES
     )
 
 
-def k11_code_mix_filtered(spark, folder):
-    return rank.mix_within_top(
-        _time(spark, folder), "IssuerPrecinct", "ViolationCode", TOP_THREE,
-        exclude=PRECINCT_SENTINELS, items=FOLLOWED_CODES,
-    )
+def nulls(timed: DataFrame) -> DataFrame:
+    return profile.null_profile(timed)
 
 
-def k12_null_profile(spark, folder):
-    return profile.null_profile(_time(spark, folder))
+def period_frequency(timed: DataFrame) -> DataFrame:
+    return agg.frequency(timed, "ViolationPeriod")
 
 
-def k13_period_frequency(spark, folder):
-    return agg.frequency(_time(spark, folder), "ViolationPeriod")
+def hour_frequency(timed: DataFrame) -> DataFrame:
+    return agg.frequency(timed, "ViolationHour", where=F.col("ViolationPeriod").isin("AM", "PM"))
 
 
-def k14a_hour_frequency(spark, folder):
-    return agg.frequency(
-        _time(spark, folder), "ViolationHour", where=F.col("ViolationPeriod").isin("AM", "PM")
-    )
+def hour_frequency_min10(timed: DataFrame) -> DataFrame:
+    return agg.frequency(timed, "ViolationHour", where=F.col("ViolationPeriod").isin("AM", "PM"), min_count=10)
 
 
-def k14b_hour_frequency_min10(spark, folder):
-    return agg.frequency(
-        _time(spark, folder), "ViolationHour", where=F.col("ViolationPeriod").isin("AM", "PM"), min_count=10
-    )
+def valid_time_counts(timed: DataFrame) -> DataFrame:
+    return quality.reconcile(timed, [valid_clock("ViolationHour", "ViolationPeriod")])
+
 
+def month_frequency(timed: DataFrame) -> DataFrame:
+    return agg.frequency(timed, "IssueMonth")
 
-def k15_valid_time_filter(spark, folder):
-    return quality.reconcile(_time(spark, folder), [valid_clock("ViolationHour", "ViolationPeriod")])
+
+TIME_ANALYSES = {
+    "k03_time_parts": time_parts,
+    "k04a_distinct_summons": distinct_summons,
+    "k04b_distinct_states": distinct_states,
+    "k05_state_frequency": state_frequency,
+    "k06_recode_to_mode": state_frequency_recoded,
+    "k06b_distinct_after_recode": distinct_states_recoded,
+    "k07a_top_codes": _top("ViolationCode", TOP_FIVE),
+    "k07b_top_body_types": _top("VehicleBodyType", TOP_FIVE),
+    "k07c_top_makes": _top("VehicleMake", TOP_FIVE),
+    "k07d_top_violation_precincts": _top("ViolationPrecinct", TOP_FIVE),
+    "k08a_top_violation_precincts_valid": _top("ViolationPrecinct", TOP_FIVE, PRECINCT_SENTINELS),
+    "k08b_top_issuer_precincts_valid": _top("IssuerPrecinct", TOP_FIVE, PRECINCT_SENTINELS),
+    "k09_top_issuer_precincts": _top("IssuerPrecinct", TOP_THREE, PRECINCT_SENTINELS),
+    "k10_code_mix_in_top_precincts": code_mix_in_top_precincts,
+    "k11_code_mix_filtered": code_mix_filtered,
+    "k12_null_profile": nulls,
+    "k13_period_frequency": period_frequency,
+    "k14a_hour_frequency": hour_frequency,
+    "k14b_hour_frequency_min10": hour_frequency_min10,
+    "k15_valid_time_filter": valid_time_counts,
+    "k20_month_frequency": month_frequency,
+}
 
 
-# ---- time of day -------------------------------------------------------------
+# ---- time of day (valid clock codes only) ----------------------------------------
 
 
-def k16_time_of_day_bin(spark, folder):
-    return _binned(spark, folder).select("SummonsNumber", "ViolationHour", "ViolationPeriod", "TimeOfDay")
+def time_of_day_rows(binned: DataFrame) -> DataFrame:
+    return binned.select("SummonsNumber", "ViolationHour", "ViolationPeriod", "TimeOfDay")
 
 
-def k17_top_codes_per_bin(spark, folder):
-    return rank.top_k_per_group(_binned(spark, folder), "TimeOfDay", "ViolationCode", TOP_THREE)
+def top_codes_per_bin(binned: DataFrame) -> DataFrame:
+    return rank.top_k_per_group(binned, "TimeOfDay", "ViolationCode", TOP_THREE)
 
 
-def k18_top_codes(spark, folder):
-    return agg.top_n(_binned(spark, folder), "ViolationCode", TOP_THREE, count_col="TicketCount")
+def top_codes(binned: DataFrame) -> DataFrame:
+    return agg.top_n(binned, "ViolationCode", TOP_THREE, count_col="TicketCount")
 
 
-def k19_top_bins_per_top_code(spark, folder):
+def top_bins_per_top_code(binned: DataFrame) -> DataFrame:
     """Top bins of the most frequent codes.
 
     Code totals and the top codes are summed from the (code, bin) counts,
@@ -210,35 +215,44 @@ def k19_top_bins_per_top_code(spark, folder):
     NULL codes as the original equality join does, while a NULL code still
     competes for a top slot.
     """
-    pairs = _binned(spark, folder).groupBy("ViolationCode", "TimeOfDay").agg(
-        F.count(F.lit(1)).alias("TicketCount")
-    )
+    pairs = binned.groupBy("ViolationCode", "TimeOfDay").agg(F.count(F.lit(1)).alias("TicketCount"))
     totals = pairs.groupBy("ViolationCode").agg(F.sum("TicketCount").alias("_total"))
     top = totals.orderBy(F.col("_total").desc(), F.col("ViolationCode").asc()).limit(TOP_THREE)
     chosen = pairs.join(bounded_broadcast(top.select("ViolationCode"), TOP_THREE), "ViolationCode")
     return rank.rank_counted(chosen, "ViolationCode", "TicketCount", TOP_THREE)
 
 
-# ---- seasons -----------------------------------------------------------------
+BIN_ANALYSES = {
+    "k16_time_of_day_bin": time_of_day_rows,
+    "k17_top_codes_per_bin": top_codes_per_bin,
+    "k18_top_codes": top_codes,
+    "k19_top_bins_per_top_code": top_bins_per_top_code,
+}
+
+
+# ---- seasons -------------------------------------------------------------------
 
 
-def k20_month_frequency(spark, folder):
-    return agg.frequency(derive_ticket_time(tickets_by_shipment(spark, folder)), "IssueMonth")
+def season_rows(seasonal: DataFrame) -> DataFrame:
+    return seasonal.select("SummonsNumber", "IssueMonth", "Season")
 
 
-def k21_season_bin(spark, folder):
-    return _seasonal(spark, folder).select("SummonsNumber", "IssueMonth", "Season")
+def top_codes_per_season(seasonal: DataFrame) -> DataFrame:
+    return rank.top_k_per_group(seasonal, "Season", "ViolationCode", TOP_THREE)
 
 
-def k22_top_codes_per_season(spark, folder):
-    return rank.top_k_per_group(_seasonal(spark, folder), "Season", "ViolationCode", TOP_THREE)
+SEASON_ANALYSES = {
+    "k21_season_bin": season_rows,
+    "k22_top_codes_per_season": top_codes_per_season,
+}
 
 
-# ---- revenue -----------------------------------------------------------------
+# ---- revenue -------------------------------------------------------------------
 
 
 def revenue(top: DataFrame, fines: DataFrame, fine_rows: int) -> DataFrame:
-    """Ticket count times fine for each code of ``top``."""
+    """Ticket count times fine for each code of ``top`` (the fine table has
+    ``fine_rows`` rows and is broadcast only within the size rule)."""
     joined = top.join(bounded_broadcast(fines, fine_rows), "ViolationCode")
     return joined.select(
         "ViolationCode",
@@ -248,40 +262,49 @@ def revenue(top: DataFrame, fines: DataFrame, fine_rows: int) -> DataFrame:
     )
 
 
+def ticket_report(
+    raw: DataFrame, fines: DataFrame | None = None, fine_rows: int | None = None
+) -> dict[str, DataFrame]:
+    """Every ticket analysis for a ticket table whose names are free of
+    spaces (``normalise_names``): shape, time parts, counts, top lists,
+    mixes, time-of-day and season rankings, and -- given a fine table with
+    ``ViolationCode, FineAmount`` -- the revenue estimate. Lazy."""
+    timed = derive_ticket_time(raw)
+    binned = with_time_of_day(valid_time(timed))
+    seasonal = with_season(binned)
+    report = {"k02_shape": shape(raw)}
+    report.update({k: fn(timed) for k, fn in TIME_ANALYSES.items()})
+    report.update({k: fn(binned) for k, fn in BIN_ANALYSES.items()})
+    report.update({k: fn(seasonal) for k, fn in SEASON_ANALYSES.items()})
+    if fines is not None:
+        report["k23_revenue_estimate"] = revenue(top_codes(binned), fines, fine_rows)
+    return report
+
+
 def k23_revenue_estimate(spark, folder):
-    top = k18_top_codes(spark, folder)
-    return revenue(top, bound_fines(spark), len(BOUND_FINE_CODES))
+    return revenue(top_codes(_binned(spark, folder)), bound_fines(spark), len(BOUND_FINE_CODES))
+
+
+@per_session
+def _shipment_time(spark: SparkSession, folder: str) -> DataFrame:
+    return derive_ticket_time(tickets_by_shipment(spark, folder))
+
+
+def _bound(key: str, analysis, stage):
+    def query(spark, folder):
+        return analysis(stage(spark, folder))
+
+    query.__name__ = key
+    return query
 
 
+# Months and seasons run on the shipment binding (events cover one month).
 QUERIES = {
     "k01_ingest_renamed": k01_ingest_renamed,
-    "k02_shape": k02_shape,
-    "k03_time_parts": k03_time_parts,
-    "k04a_distinct_summons": k04a_distinct_summons,
-    "k04b_distinct_states": k04b_distinct_states,
-    "k05_state_frequency": k05_state_frequency,
-    "k06_recode_to_mode": k06_recode_to_mode,
-    "k06b_distinct_after_recode": k06b_distinct_after_recode,
-    "k07a_top_codes": k07a_top_codes,
-    "k07b_top_body_types": k07b_top_body_types,
-    "k07c_top_makes": k07c_top_makes,
-    "k07d_top_violation_precincts": k07d_top_violation_precincts,
-    "k08a_top_violation_precincts_valid": k08a_top_violation_precincts_valid,
-    "k08b_top_issuer_precincts_valid": k08b_top_issuer_precincts_valid,
-    "k09_top_issuer_precincts": k09_top_issuer_precincts,
-    "k10_code_mix_in_top_precincts": k10_code_mix_in_top_precincts,
-    "k11_code_mix_filtered": k11_code_mix_filtered,
-    "k12_null_profile": k12_null_profile,
-    "k13_period_frequency": k13_period_frequency,
-    "k14a_hour_frequency": k14a_hour_frequency,
-    "k14b_hour_frequency_min10": k14b_hour_frequency_min10,
-    "k15_valid_time_filter": k15_valid_time_filter,
-    "k16_time_of_day_bin": k16_time_of_day_bin,
-    "k17_top_codes_per_bin": k17_top_codes_per_bin,
-    "k18_top_codes": k18_top_codes,
-    "k19_top_bins_per_top_code": k19_top_bins_per_top_code,
-    "k20_month_frequency": k20_month_frequency,
-    "k21_season_bin": k21_season_bin,
-    "k22_top_codes_per_season": k22_top_codes_per_season,
+    "k02_shape": _bound("k02_shape", shape, tickets),
+    **{k: _bound(k, fn, _time) for k, fn in TIME_ANALYSES.items() if k != "k20_month_frequency"},
+    **{k: _bound(k, fn, _binned) for k, fn in BIN_ANALYSES.items()},
+    "k20_month_frequency": _bound("k20_month_frequency", month_frequency, _shipment_time),
+    **{k: _bound(k, fn, _seasonal) for k, fn in SEASON_ANALYSES.items()},
     "k23_revenue_estimate": k23_revenue_estimate,
 }

@@ -99,152 +99,174 @@ def _clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # ---- data-quality profile over the raw rows ---------------------------------
+# Each takes the raw trip rows and the rule parameters.
 
 
-def t01_raw_sample(spark, folder):
-    return profile.sample_rows(_raw(spark, folder), BOUND_RULES.sample_rows)
+def raw_sample(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return profile.sample_rows(raw, rules.sample_rows)
 
 
-def t02_row_count(spark, folder):
-    return agg.row_count(_raw(spark, folder))
+def count_rows(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return agg.row_count(raw)
 
 
-def t03_period_profile(spark, folder):
-    return profile.period_profile(_raw(spark, folder), PICKUP, "VendorID")
+def pickup_periods(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return profile.period_profile(raw, PICKUP, "VendorID")
 
 
-def t04_column_profile(spark, folder):
-    return profile.column_profile(_raw(spark, folder))
+def columns_profile(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return profile.column_profile(raw)
 
 
-def t05a_passenger_frequency(spark, folder):
-    return agg.frequency(_raw(spark, folder), "passenger_count")
+def passenger_frequency(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return agg.frequency(raw, "passenger_count")
 
 
-def t05b_payment_frequency(spark, folder):
-    return agg.frequency(_raw(spark, folder), "payment_type")
+def payment_frequency(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return agg.frequency(raw, "payment_type")
 
 
-def t06_zero_passengers_by_vendor(spark, folder):
-    return quality.violations_by(_raw(spark, folder), F.col("passenger_count") <= 0, "VendorID")
+def zero_passengers_by_vendor(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return quality.violations_by(raw, F.col("passenger_count") <= 0, "VendorID")
 
 
-def t07_any_negative_by_vendor(spark, folder):
-    raw = _raw(spark, folder)
+def any_negative_by_vendor(raw: DataFrame, rules: TripRules) -> DataFrame:
     present = [c for c in AMOUNT_COLUMNS if c in raw.columns]
     return quality.any_negative_by(raw, present, "VendorID")
 
 
-def t08_zero_total_by_vendor_payment(spark, folder):
-    return quality.violations_by(_raw(spark, folder), F.col("total_amount") == 0.0, "VendorID", "payment_type")
+def zero_total_by_vendor_payment(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return quality.violations_by(raw, F.col("total_amount") == 0.0, "VendorID", "payment_type")
 
 
-def t09_zero_total_by_vendor_distance(spark, folder):
+def zero_total_by_vendor_distance(raw: DataFrame, rules: TripRules) -> DataFrame:
+    # The HAVING on the distance key is applied as the row filter it means.
     return quality.violations_by(
-        _raw(spark, folder),
-        F.col("total_amount") == 0.0,
-        "VendorID",
-        "trip_distance",
-        where=F.col("trip_distance") != 0.0,
+        raw, F.col("total_amount") == 0.0, "VendorID", "trip_distance", where=F.col("trip_distance") != 0.0
     )
 
 
-def t10_zero_distance_by_vendor_payment(spark, folder):
-    return quality.violations_by(_raw(spark, folder), F.col("trip_distance") == 0.0, "VendorID", "payment_type")
+def zero_distance_by_vendor_payment(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return quality.violations_by(raw, F.col("trip_distance") == 0.0, "VendorID", "payment_type")
 
 
-def t11a_extra_by_vendor(spark, folder):
-    return agg.frequency(_raw(spark, folder), "VendorID", "extra")
+def extra_by_vendor(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return agg.frequency(raw, "VendorID", "extra")
 
 
-def t11b_surcharge_by_vendor(spark, folder):
-    return agg.frequency(_raw(spark, folder), "VendorID", "improvement_surcharge")
+def surcharge_by_vendor(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return agg.frequency(raw, "VendorID", "improvement_surcharge")
 
 
-def t12_extra_out_of_domain(spark, folder):
-    return quality.out_of_domain(_raw(spark, folder), "extra", BOUND_RULES.extra_allowed, "VendorID")
+def extra_out_of_domain(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return quality.out_of_domain(raw, "extra", rules.extra_allowed, "VendorID")
 
 
-def t13_valid_count(spark, folder):
-    return agg.row_count(quality.apply_rules(_raw(spark, folder), trip_rules(BOUND_RULES)))
+def valid_count(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return agg.row_count(quality.apply_rules(raw, trip_rules(rules)))
+
+
+def load_reconciliation(raw: DataFrame, rules: TripRules) -> DataFrame:
+    return quality.reconcile(raw, trip_rules(rules))
+
+
+RAW_ANALYSES = {
+    "t01_raw_sample": raw_sample,
+    "t02_row_count": count_rows,
+    "t03_period_profile": pickup_periods,
+    "t04_column_profile": columns_profile,
+    "t05a_passenger_frequency": passenger_frequency,
+    "t05b_payment_frequency": payment_frequency,
+    "t06_zero_passengers_by_vendor": zero_passengers_by_vendor,
+    "t07_any_negative_by_vendor": any_negative_by_vendor,
+    "t08_zero_total_by_vendor_payment": zero_total_by_vendor_payment,
+    "t09_zero_total_by_vendor_distance": zero_total_by_vendor_distance,
+    "t10_zero_distance_by_vendor_payment": zero_distance_by_vendor_payment,
+    "t11a_extra_by_vendor": extra_by_vendor,
+    "t11b_surcharge_by_vendor": surcharge_by_vendor,
+    "t12_extra_out_of_domain": extra_out_of_domain,
+    "t13_valid_count": valid_count,
+    "t15_load_reconciliation": load_reconciliation,
+}
 
 
 # ---- landing, clean-up and load ---------------------------------------------
 
 
-def t14a_csv_landing_scan(spark, folder):
-    """Land the raw rows as headed CSV, then scan the folder back with the
-    declared schema (header names checked against it)."""
-    raw = _raw(spark, folder)
-    _, path = tables.table_location(spark, "trip_landing")
+def land_and_scan(raw: DataFrame, path: str) -> DataFrame:
+    """Land rows as headed CSV at ``path``, then scan the folder back with
+    the declared schema (header names checked against it)."""
     delimited.write_delimited(raw, path)
-    return delimited.read_delimited(spark, path, subset(TRIP_RAW_SCHEMA, raw.columns))
+    return delimited.read_delimited(raw.sparkSession, path, subset(TRIP_RAW_SCHEMA, raw.columns))
 
 
-def t14_clean_load(spark, folder):
-    """Clean rows into a month-partitioned ORC table, 5 buckets on date,
+def load_clean(clean: DataFrame, table: str, path: str, rules: TripRules) -> DataFrame:
+    """Clean rows into a month-partitioned ORC table, bucketed on date,
     Snappy-compressed; returns the table as read back."""
-    clean = _clean(spark, folder)
-    name, path = tables.table_location(spark, "trip_clean")
-    return tables.load_table(
-        clean, name, path, partition_by="month", bucket_by="date", buckets=BOUND_RULES.buckets
-    )
+    return tables.load_table(clean, table, path, partition_by="month", bucket_by="date", buckets=rules.buckets)
 
 
-def t15_load_reconciliation(spark, folder):
-    return quality.reconcile(_raw(spark, folder), trip_rules(BOUND_RULES))
+def t14a_csv_landing_scan(spark, folder):
+    _, path = tables.table_location(spark, "trip_landing")
+    return land_and_scan(_raw(spark, folder), path)
+
+
+def t14_clean_load(spark, folder):
+    name, path = tables.table_location(spark, "trip_clean")
+    return load_clean(_clean(spark, folder), name, path, BOUND_RULES)
 
 
 # ---- analyses over the clean rows --------------------------------------------
 # Each takes the clean rows -- the lazily derived frame, or the loaded ORC
-# table read back (``spark.table``), which cuts the lineage at the load.
+# table read back (``spark.table``), which cuts the lineage at the load --
+# and the rule parameters.
 
 # Labels of the extra-charge flag.
 EXTRA_FLAG_LABELS = ("No Extra Charged", "Extra Charged")
 
 
-def fare_by_period(clean: DataFrame) -> DataFrame:
+def fare_by_period(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.avg_by(clean, "fare_amount", "year", "month", alias="avg_fare")
 
 
-def passenger_share(clean: DataFrame) -> DataFrame:
+def passenger_share(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.share_of_total(clean, "passenger_count")
 
 
-def extra_share(clean: DataFrame) -> DataFrame:
+def extra_share(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.share_of_total(clean, "extra")
 
 
-def payment_share(clean: DataFrame) -> DataFrame:
+def payment_share(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.share_of_total(clean, "payment_type", labels=PAYMENT_TYPE_LABELS, label_default=PAYMENT_TYPE_DEFAULT)
 
 
-def tip_mean_vs_percentiles(clean: DataFrame, rules: TripRules = BOUND_RULES) -> DataFrame:
+def tip_mean_vs_percentiles(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.mean_vs_percentiles(clean, "tip_amount", rules.percentiles, name="tip")
 
 
-def extra_flag_share(clean: DataFrame) -> DataFrame:
+def extra_flag_share(clean: DataFrame, rules: TripRules) -> DataFrame:
     flag = F.when(F.col("extra") == 0.0, F.lit(EXTRA_FLAG_LABELS[0])).otherwise(F.lit(EXTRA_FLAG_LABELS[1]))
     return agg.share_of_total(clean.select(flag.alias("extra")), "extra")
 
 
-def passenger_tip_correlation(clean: DataFrame) -> DataFrame:
+def passenger_tip_correlation(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.correlation(clean, "passenger_count", "tip_amount")
 
 
-def tip_band_share(clean: DataFrame) -> DataFrame:
+def tip_band_share(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.band_share(clean, "tip_amount", TIP_BANDS_HALF_OPEN, "Range_of_tip_amount")
 
 
-def tip_band_share_as_written(clean: DataFrame) -> DataFrame:
+def tip_band_share_as_written(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.band_share(clean, "tip_amount", TIP_BANDS_AS_WRITTEN, "Range_of_tip_amount")
 
 
-def speed_by_month(clean: DataFrame) -> DataFrame:
+def speed_by_month(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.avg_rate_by(clean, "trip_distance", PICKUP, DROPOFF, "month")
 
 
-def speed_overall(clean: DataFrame) -> DataFrame:
+def speed_overall(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.avg_rate_by(clean, "trip_distance", PICKUP, DROPOFF, alias="average_total_mph")
 
 
@@ -253,13 +275,13 @@ def _on_dates(rules: TripRules) -> Column:
     return on_dates(PICKUP, rules.dates)
 
 
-def speed_on_dates(clean: DataFrame, rules: TripRules = BOUND_RULES) -> DataFrame:
+def speed_on_dates(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.avg_rate_by(
         clean, "trip_distance", PICKUP, DROPOFF, "date", alias="average_daily_mph", where=_on_dates(rules)
     )
 
 
-def speed_vs_overall(clean: DataFrame, rules: TripRules = BOUND_RULES) -> DataFrame:
+def speed_vs_overall(clean: DataFrame, rules: TripRules) -> DataFrame:
     return agg.rate_vs_overall(clean, "trip_distance", PICKUP, DROPOFF, "date", where=_on_dates(rules))
 
 
@@ -280,50 +302,34 @@ CLEAN_ANALYSES = {
 }
 
 
-def analyses_over(clean: DataFrame) -> dict[str, DataFrame]:
+def analyses_over(clean: DataFrame, rules: TripRules = BOUND_RULES) -> dict[str, DataFrame]:
     """Every clean-row analysis over ``clean`` (e.g. the loaded table)."""
-    return {key: fn(clean) for key, fn in CLEAN_ANALYSES.items()}
+    return {key: fn(clean, rules) for key, fn in CLEAN_ANALYSES.items()}
+
+
+def trip_report(raw: DataFrame, rules: TripRules = REFERENCE_RULES) -> dict[str, DataFrame]:
+    """Every trip analysis for a raw trip table with the original column
+    names (e.g. read with ``read_delimited(spark, path, TRIP_RAW_SCHEMA)``):
+    the quality profile over ``raw`` and the statistics over its clean
+    rows. Lazy: nothing runs until a result is used; the load step
+    (``load_clean``) is left to the caller."""
+    report = {key: fn(raw, rules) for key, fn in RAW_ANALYSES.items()}
+    report.update(analyses_over(clean_trips(raw, rules), rules))
+    return report
 
 
-def _on_clean(key: str):
+def _bound(key: str, analyses: dict, stage):
     def query(spark, folder):
-        return CLEAN_ANALYSES[key](_clean(spark, folder))
+        return analyses[key](stage(spark, folder), BOUND_RULES)
 
     query.__name__ = key
-    query.__doc__ = CLEAN_ANALYSES[key].__doc__
     return query
 
 
 QUERIES = {
-    "t01_raw_sample": t01_raw_sample,
-    "t02_row_count": t02_row_count,
-    "t03_period_profile": t03_period_profile,
-    "t04_column_profile": t04_column_profile,
-    "t05a_passenger_frequency": t05a_passenger_frequency,
-    "t05b_payment_frequency": t05b_payment_frequency,
-    "t06_zero_passengers_by_vendor": t06_zero_passengers_by_vendor,
-    "t07_any_negative_by_vendor": t07_any_negative_by_vendor,
-    "t08_zero_total_by_vendor_payment": t08_zero_total_by_vendor_payment,
-    "t09_zero_total_by_vendor_distance": t09_zero_total_by_vendor_distance,
-    "t10_zero_distance_by_vendor_payment": t10_zero_distance_by_vendor_payment,
-    "t11a_extra_by_vendor": t11a_extra_by_vendor,
-    "t11b_surcharge_by_vendor": t11b_surcharge_by_vendor,
-    "t12_extra_out_of_domain": t12_extra_out_of_domain,
-    "t13_valid_count": t13_valid_count,
+    **{k: _bound(k, RAW_ANALYSES, _raw) for k in RAW_ANALYSES if k != "t15_load_reconciliation"},
     "t14a_csv_landing_scan": t14a_csv_landing_scan,
     "t14_clean_load": t14_clean_load,
-    "t15_load_reconciliation": t15_load_reconciliation,
-    "t16_avg_fare_by_period": _on_clean("t16_avg_fare_by_period"),
-    "t17a_passenger_share": _on_clean("t17a_passenger_share"),
-    "t17b_extra_share": _on_clean("t17b_extra_share"),
-    "t18_payment_share": _on_clean("t18_payment_share"),
-    "t19_tip_mean_vs_percentiles": _on_clean("t19_tip_mean_vs_percentiles"),
-    "t20_extra_flag_share": _on_clean("t20_extra_flag_share"),
-    "t21_correlation": _on_clean("t21_correlation"),
-    "t22a_tip_band_share": _on_clean("t22a_tip_band_share"),
-    "t22b_tip_band_share_as_written": _on_clean("t22b_tip_band_share_as_written"),
-    "t23_speed_by_month": _on_clean("t23_speed_by_month"),
-    "t24_speed_overall": _on_clean("t24_speed_overall"),
-    "t25_speed_on_dates": _on_clean("t25_speed_on_dates"),
-    "t26_speed_vs_overall": _on_clean("t26_speed_vs_overall"),
+    "t15_load_reconciliation": _bound("t15_load_reconciliation", RAW_ANALYSES, _raw),
+    **{k: _bound(k, CLEAN_ANALYSES, _clean) for k in CLEAN_ANALYSES},
 }

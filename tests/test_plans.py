@@ -120,3 +120,21 @@ def test_analyses_over_loaded_table_match(spark):
     for key, df in analyses_over(loaded).items():
         want = contract.queries()[key](spark, SMALL)
         assert sorted(df.collect()) == sorted(want.collect()), key
+
+
+def test_reports_on_any_input_match_registered_queries(spark):
+    """trip_report / ticket_report take any input table; on the bindings
+    they give the registered answers."""
+    from tallyframe.plans.bindings import BOUND_FINE_CODES, bound_fines, tickets, trips
+    from tallyframe.plans.tickets import ticket_report
+    from tallyframe.plans.trips import BOUND_RULES, trip_report
+
+    q = contract.queries()
+    trips_report = trip_report(trips(spark, SMALL), BOUND_RULES)
+    assert len(trips_report) == 29
+    for key in ["t03_period_profile", "t07_any_negative_by_vendor", "t17a_passenger_share", "t26_speed_vs_overall"]:
+        assert sorted(trips_report[key].collect()) == sorted(q[key](spark, SMALL).collect()), key
+    report = ticket_report(tickets(spark, SMALL), bound_fines(spark), len(BOUND_FINE_CODES))
+    for key in ["k02_shape", "k06_recode_to_mode", "k10_code_mix_in_top_precincts", "k19_top_bins_per_top_code",
+                "k23_revenue_estimate"]:
+        assert sorted(report[key].collect()) == sorted(q[key](spark, SMALL).collect()), key
