@@ -138,3 +138,38 @@ def test_reports_on_any_input_match_registered_queries(spark):
     for key in ["k02_shape", "k06_recode_to_mode", "k10_code_mix_in_top_precincts", "k19_top_bins_per_top_code",
                 "k23_revenue_estimate"]:
         assert sorted(report[key].collect()) == sorted(q[key](spark, SMALL).collect()), key
+
+
+def test_full_file_layout_flow(spark):
+    """The documented flow on a 17-column trip landing file and a spaced
+    ticket file: declared-schema scan, report, load, analyses over the table."""
+    from pyspark.sql import functions as F
+
+    from tallyframe.plans.bindings import BOUND_FINE_CODES, bound_fines, tickets, trips
+    from tallyframe.plans.tickets import ticket_report
+    from tallyframe.plans.trips import BOUND_RULES, analyses_over, clean_trips, load_clean, trip_report
+    from tallyframe.sources import (
+        TICKET_RAW_SCHEMA, TRIP_RAW_SCHEMA, normalise_names, read_delimited, read_inferred, table_location,
+        write_delimited,
+    )
+
+    q = contract.queries()
+    full = trips(spark, SMALL).withColumns({"RatecodeID": F.lit(1), "tolls_amount": F.lit(0.0)})
+    _, landing = table_location(spark, "full_layout")
+    write_delimited(full.select(*[f.name for f in TRIP_RAW_SCHEMA.fields]), landing)
+    raw = read_delimited(spark, landing, TRIP_RAW_SCHEMA)
+    assert raw.columns == [f.name for f in TRIP_RAW_SCHEMA.fields]
+    report = trip_report(raw, BOUND_RULES)
+    for key in ["t02_row_count", "t07_any_negative_by_vendor", "t13_valid_count", "t19_tip_mean_vs_percentiles"]:
+        assert sorted(report[key].collect()) == sorted(q[key](spark, SMALL).collect()), key
+    name, path = table_location(spark, "full_clean")
+    loaded = load_clean(clean_trips(raw, BOUND_RULES), name, path, BOUND_RULES)
+    stats = analyses_over(loaded, BOUND_RULES)
+    assert sorted(stats["t23_speed_by_month"].collect()) == sorted(q["t23_speed_by_month"](spark, SMALL).collect())
+
+    spaced = tickets(spark, SMALL).toDF(*[f.name for f in TICKET_RAW_SCHEMA.fields])
+    _, ticket_landing = table_location(spark, "ticket_full")
+    write_delimited(spaced, ticket_landing)
+    inferred = normalise_names(read_inferred(spark, ticket_landing))
+    k = ticket_report(inferred, bound_fines(spark), len(BOUND_FINE_CODES))
+    assert sorted(k["k17_top_codes_per_bin"].collect()) == sorted(q["k17_top_codes_per_bin"](spark, SMALL).collect())
