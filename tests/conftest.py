@@ -16,7 +16,11 @@ def spark():
         "local[4]",
         app_name="tallyframe-tests",
         shuffle_partitions=8,
-        extra={"spark.checkpoint.dir": os.path.join(scratch, "shared")},
+        extra={
+            "spark.checkpoint.dir": os.path.join(scratch, "shared"),
+            # Print pushed filters in full in plan strings the tests read.
+            "spark.sql.maxMetadataStringLength": "10000",
+        },
     )
     yield session
     session.stop()
