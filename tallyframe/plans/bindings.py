@@ -50,9 +50,15 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     range reach its row groups -- instead of repeating the join. The write
     also cuts the lineage: a lost executor costs a re-read, not a re-join.
     """
-    name, path = table_location(spark, "trips_landed")
-    trips_join(spark, folder).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return land(trips_join(spark, folder), "trips_landed")
+
+
+def land(rows: DataFrame, name: str) -> DataFrame:
+    """Write ``rows`` once as parquet under the shared folder; return the
+    table read back (a lineage cut: later work starts from the files)."""
+    _, path = table_location(rows.sparkSession, name)
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 def trips_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,6 +116,13 @@ def _ticket_columns(
 
 @per_session
 def tickets(spark: SparkSession, folder: str) -> DataFrame:
+    """The ticket table (events binding), landed once per session and
+    folder like the trip table: the clock code is then a stored column, as
+    in the original ticket file."""
+    return land(tickets_projection(spark, folder), "tickets_landed")
+
+
+def tickets_projection(spark: SparkSession, folder: str) -> DataFrame:
     """tickets = events, with names already free of spaces.
 
     The clock code is the event time as ``hhmmA``; every 500th event has
@@ -138,6 +151,11 @@ def tickets(spark: SparkSession, folder: str) -> DataFrame:
 
 @per_session
 def tickets_by_shipment(spark: SparkSession, folder: str) -> DataFrame:
+    """The shipment ticket table, landed once per session and folder."""
+    return land(shipment_projection(spark, folder), "shipment_tickets_landed")
+
+
+def shipment_projection(spark: SparkSession, folder: str) -> DataFrame:
     """A second ticket binding over lineitem, whose ship dates span all
     months (events cover one month only): used for months and seasons."""
     li = read_parquet(spark, folder, "lineitem")
