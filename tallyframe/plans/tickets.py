@@ -1,8 +1,12 @@
 """Ticket analysis: ingest, time parts, frequencies, top-N lists, ranked
 mixes, time-of-day bins, seasons and a revenue estimate.
 
-Each ``kNN_*`` function takes ``(spark, folder)`` and returns a lazy
-DataFrame; nothing is collected.
+Each analysis is a function of a ticket DataFrame at one stage -- with
+time parts (``TIME_ANALYSES``), valid clock codes with the time of day
+(``BIN_ANALYSES``), or with seasons (``SEASON_ANALYSES``).
+``ticket_report`` runs them all for any ticket table; ``QUERIES`` binds
+them to the test-data bindings as ``(spark, folder)`` callables. All
+results are lazy DataFrames; nothing is collected.
 """
 
 from __future__ import annotations

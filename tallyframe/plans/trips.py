@@ -1,8 +1,12 @@
 """Trip analysis: quality profile, rule-based clean-up, partitioned load,
 and descriptive statistics over the clean rows.
 
-Each ``tNN_*`` function takes ``(spark, folder)`` and returns a lazy
-DataFrame; nothing is collected.
+Each analysis is a function of the raw rows (``RAW_ANALYSES``) or of the
+clean rows (``CLEAN_ANALYSES``) and the rule parameters. ``trip_report``
+runs them all for any raw trip table, ``analyses_over`` runs the clean-row
+ones over e.g. the loaded ORC table, and ``QUERIES`` binds them to the
+test-data binding as ``(spark, folder)`` callables. All results are lazy
+DataFrames; nothing is collected.
 """
 
 from __future__ import annotations
