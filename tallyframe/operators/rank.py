@@ -55,10 +55,11 @@ def mix_within_top(
     """Per item, its count and share within each of the ``k`` largest groups.
 
     One aggregation to (group, item) counts feeds both the group totals
-    (summed from the pair counts, reusing the same exchange) and the
-    result; the top-``k`` groups, at most ``k`` rows, are broadcast to the
-    pair counts. ``items`` restricts the output rows only: shares stay
-    relative to the whole group.
+    (summed from the pair counts; AQE reuses that exchange unless an
+    ``items`` filter is pushed into the result branch) and the result; the
+    top-``k`` groups, at most ``k`` rows, are broadcast to the pair counts.
+    ``items`` restricts the output rows only: shares stay relative to the
+    whole group. As in an equality join, a NULL group never matches.
     """
     if exclude:
         df = df.filter(~F.col(group).isin(*exclude))
