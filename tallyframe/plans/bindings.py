@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.functions.clock import clock_code
+from tallyframe.session import session_key
 from tallyframe.sources.tables import literal_table, read_parquet, table_location
 
 # Plans (not data) of the bindings and derived stages, built once per
@@ -27,7 +28,7 @@ _PLANS: dict[tuple, DataFrame] = {}
 def per_session(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(build)
     def cached(spark: SparkSession, folder: str) -> DataFrame:
-        key = (build.__module__, build.__qualname__, id(spark), spark.sparkContext.applicationId, folder)
+        key = (build.__module__, build.__qualname__, id(spark), session_key(spark), folder)
         if key not in _PLANS:
             _PLANS[key] = build(spark, folder)
         return _PLANS[key]

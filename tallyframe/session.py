@@ -46,6 +46,15 @@ def build_session(
 _LOCAL_FALLBACK: dict[str, str] = {}
 
 
+def session_key(spark: SparkSession) -> str:
+    """An identifier of the running application (or of the session object
+    where no context is exposed, as with a remote session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote sessions expose no context
+        return f"session-{id(spark)}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written tables.
 
@@ -54,18 +63,23 @@ def shared_dir(spark: SparkSession) -> str:
     tests -- a fresh scratch folder is created once per application and
     installed as the checkpoint folder.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions expose no context
+        sc = None
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc else spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
     if configured:
         return configured.rstrip("/")
-    app = sc.applicationId
+    app = session_key(spark)
     if app in _LOCAL_FALLBACK:
         return _LOCAL_FALLBACK[app]
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc else None
     if current:
         return current.rstrip("/")
-    if app not in _LOCAL_FALLBACK:
-        local = tempfile.mkdtemp(prefix="tallyframe-")
+    local = tempfile.mkdtemp(prefix="tallyframe-")
+    if sc:
         sc.setCheckpointDir(os.path.join(local, "checkpoints"))
-        _LOCAL_FALLBACK[app] = local
-    return _LOCAL_FALLBACK[app]
+    _LOCAL_FALLBACK[app] = local
+    return local
