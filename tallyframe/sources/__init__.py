@@ -8,8 +8,10 @@ from tallyframe.sources.delimited import (
 )
 from tallyframe.sources.schema import TICKET_RAW_SCHEMA, TRIP_RAW_SCHEMA, subset, without_spaces
 from tallyframe.sources.tables import (
+    column_statistics,
     create_table_if_absent,
     drop_table,
+    gather_statistics,
     literal_table,
     load_table,
     overwrite_partitions,
@@ -20,8 +22,10 @@ from tallyframe.sources.tables import (
 __all__ = [
     "TICKET_RAW_SCHEMA",
     "TRIP_RAW_SCHEMA",
+    "column_statistics",
     "create_table_if_absent",
     "drop_table",
+    "gather_statistics",
     "literal_table",
     "load_table",
     "normalise_names",

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.session import shared_dir
@@ -99,3 +101,31 @@ def load_table(
     create_table_if_absent(spark, table, schema, location, partition_by, bucket_by, buckets, fmt, compression)
     overwrite_partitions(df, table, partition_by, bucket_by)
     return spark.table(table)
+
+
+def gather_statistics(spark: SparkSession, table: str) -> None:
+    """``ANALYZE TABLE ... COMPUTE STATISTICS FOR ALL COLUMNS``: row count,
+    size and per-column min, max, NULL count, distinct count and lengths
+    are stored in the catalog, where the cost-based optimiser reads them."""
+    spark.sql(f"ANALYZE TABLE `{table}` COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
+def column_statistics(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
+    """The stored column statistics, one row per column (as
+    ``DESCRIBE EXTENDED t col`` reports them): ``column_name, min, max,
+    num_nulls, distinct_count, avg_col_len, max_col_len`` as text.
+
+    Catalog metadata only (a few rows per column); run
+    ``gather_statistics`` first.
+    """
+    names = columns or spark.table(table).columns
+    wanted = ["min", "max", "num_nulls", "distinct_count", "avg_col_len", "max_col_len"]
+    parts = [
+        spark.sql(f"DESCRIBE EXTENDED `{table}` `{name}`")
+        .groupBy()
+        .pivot("info_name", wanted)
+        .agg(F.first(F.when(F.col("info_value") != "NULL", F.col("info_value"))))
+        .select(F.lit(name).alias("column_name"), *wanted)
+        for name in names
+    ]
+    return reduce(DataFrame.unionByName, parts)
