@@ -91,15 +91,19 @@ def load_table(
     buckets: int,
     fmt: str = "orc",
     compression: str = "snappy",
+    analyze: bool = False,
 ) -> DataFrame:
     """Create the table if needed, overwrite the partitions in ``df`` and
-    return the table as read back."""
+    return the table as read back. ``analyze=True`` also stores column
+    statistics in the catalog (one more pass) for the cost-based optimiser."""
     spark = df.sparkSession
     data_fields = [f for f in df.schema.fields if f.name != partition_by]
     part_field = [f for f in df.schema.fields if f.name == partition_by]
     schema = T.StructType(data_fields + part_field)
     create_table_if_absent(spark, table, schema, location, partition_by, bucket_by, buckets, fmt, compression)
     overwrite_partitions(df, table, partition_by, bucket_by)
+    if analyze:
+        gather_statistics(spark, table)
     return spark.table(table)
 
 

@@ -122,13 +122,12 @@ def _check_load_table(spark):
 
 def test_catalog_statistics_match_profile(spark):
     from tallyframe.operators import column_profile
-    from tallyframe.sources import column_statistics, gather_statistics
+    from tallyframe.sources import column_statistics
 
     rows = [(1, dt.date(2017, 11, d % 28 + 1), 11, float(d % 7), "ab"[d % 2]) for d in range(40)]
     df = spark.createDataFrame(rows, "id int, date date, month int, v double, s string")
     name, path = table_location(spark, "stats")
-    load_table(df, name, path, partition_by="month", bucket_by="date", buckets=5)
-    gather_statistics(spark, name)
+    load_table(df, name, path, partition_by="month", bucket_by="date", buckets=5, analyze=True)
     stats = {r.column_name: r for r in column_statistics(spark, name, ["v", "s"]).collect()}
     prof = {r.column_name: r for r in column_profile(df.select("v", "s")).collect()}
     assert stats["v"].min == "0.0" and stats["v"].max == "6.0" and stats["v"].num_nulls == "0"
