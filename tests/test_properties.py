@@ -60,3 +60,31 @@ def test_mix_within_top_brute_force(spark, rows, k):
         (i, g, n, _round2(n / totals[g] * 100.0)) for (g, i), n in pair_counts.items() if g in top
     )
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.decimals(min_value=-10_000, max_value=10_000, places=4, allow_nan=False), min_size=1, max_size=40))
+def test_round_half_up_matches_decimal(spark, values):
+    from tallyframe.functions import round_half_up
+
+    floats = [float(v) for v in values]
+    df = spark.createDataFrame([(x,) for x in floats], "x double")
+    got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
+    want = [float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for x in floats]
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.floats(min_value=-5, max_value=60, allow_nan=False)), min_size=1, max_size=60))
+def test_band_labels_every_row_once(spark, values):
+    from tallyframe.functions import TIP_BANDS_HALF_OPEN, band
+
+    df = spark.createDataFrame([(v,) for v in values], "tip double")
+    labels = [r[0] for r in df.select(band("tip", TIP_BANDS_HALF_OPEN)).collect()]
+    assert len(labels) == len(values) and all(lbl is not None for lbl in labels)
+    for v, lbl in zip(values, labels):
+        if v is None or v < 0:
+            assert lbl == "Other amount"
+        else:
+            lo = min(int(v // 5) * 5, 20)
+            assert lbl == (">=20" if lo == 20 else f"[{lo}-{lo + 5})")
