@@ -1,8 +1,9 @@
 """Role bindings: the trip and ticket tables derived from the test tables.
 
 The original trip and ticket files are not available, so each role is a
-projection (and for trips a join) of the generated star-schema tables.
-Every binding reads whole tables; work grows with the data.
+projection (and for trips a join) of the generated star-schema tables,
+landed once per session as parquet under the shared folder. Every binding
+reads whole tables and keeps all rows; work grows with the data.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ from tallyframe.functions.clock import clock_code
 from tallyframe.session import session_key
 from tallyframe.sources.tables import literal_table, read_parquet, table_location
 
-# Plans (not data) of the bindings and derived stages, built once per
-# session and folder: the test tables are read-only snapshots, and reusing
-# an analysed plan spares every query the file listing, footer reads and
-# re-analysis of the same projection. Nothing is cached in memory; each
-# query still scans its tables in full.
+# The bindings and derived stages are built once per session and folder:
+# the test tables are read-only snapshots, the bindings are landed as
+# parquet (``land``), and reusing an analysed plan spares every query the
+# file listing, footer reads and re-analysis. Nothing is held in memory;
+# each query scans its (landed) tables in full.
 _PLANS: dict[tuple, DataFrame] = {}
 
 
