@@ -31,7 +31,7 @@ from tallyframe.operators.quality import (
     violations_by,
 )
 from tallyframe.operators.rank import mix_within_top, rank_counted, top_k_per_group
-from tallyframe.operators.recode import mode_of, recode_to_mode
+from tallyframe.operators.recode import mode_of, recode_to_mode, recoded_frequency
 
 __all__ = [
     "BROADCAST_ROW_LIMIT",
@@ -58,6 +58,7 @@ __all__ = [
     "rate_vs_overall",
     "reconcile",
     "recode_to_mode",
+    "recoded_frequency",
     "row_count",
     "sample_rows",
     "share_of_total",

@@ -19,7 +19,7 @@ from tallyframe.functions.clock import clock_hour, clock_minute, clock_period, v
 from tallyframe.operators import aggregate as agg
 from tallyframe.operators import profile, quality, rank
 from tallyframe.operators.joins import bounded_broadcast
-from tallyframe.operators.recode import recode_to_mode
+from tallyframe.operators.recode import recoded_frequency
 from tallyframe.plans.bindings import BOUND_FINE_CODES, bound_fines, per_session, tickets, tickets_by_shipment
 from tallyframe.sources import delimited, tables
 from tallyframe.sources.schema import TICKET_RAW_SCHEMA
@@ -120,13 +120,16 @@ def state_frequency(timed: DataFrame) -> DataFrame:
 
 
 def state_frequency_recoded(timed: DataFrame) -> DataFrame:
-    recoded = recode_to_mode(timed, "RegistrationState", STATE_SENTINELS)
-    return agg.frequency(recoded, "RegistrationState", order=True)
+    counts = recoded_frequency(timed, "RegistrationState", STATE_SENTINELS)
+    return counts.orderBy(F.col("count").desc(), F.col("RegistrationState").asc())
 
 
 def distinct_states_recoded(timed: DataFrame) -> DataFrame:
-    recoded = recode_to_mode(timed, "RegistrationState", STATE_SENTINELS)
-    return agg.distinct_count(recoded, "RegistrationState", "CountStates")
+    counts = recoded_frequency(timed, "RegistrationState", STATE_SENTINELS)
+    # Non-NULL values with rows; reading the counts keeps this branch's
+    # aggregation identical to the mode's, so they share one exchange.
+    present = F.when(F.col("count") > 0, F.col("RegistrationState"))
+    return counts.agg(F.count(present).alias("CountStates"))
 
 
 def _top(key: str, n: int, exclude=None):

@@ -203,3 +203,22 @@ def test_distinct_count_sketch_tree(spark):
     assert abs(approx - 5000) / 5000 < 0.06
     empty = spark.createDataFrame([], "v long")
     assert distinct_count(empty, "v", "n", approx=True).first()[0] == 0
+
+
+@pytest.mark.parametrize(
+    "states",
+    [
+        ["99", "99", "99", "NY", "NY", "NJ"],
+        ["99", "CA", "NJ", "NJ", "CA"],
+        ["NY", "NJ", "NY", None],
+        ["99", "99", None],
+    ],
+)
+def test_recoded_frequency_equals_row_recode(spark, states):
+    from tallyframe.operators import recoded_frequency
+
+    df = spark.createDataFrame([(s,) for s in states], "RegistrationState string")
+    one_pass = _rows(recoded_frequency(df, "RegistrationState", ["99"]), "RegistrationState", "count")
+    rows = _rows(frequency(recode_to_mode(df, "RegistrationState", ["99"]), "RegistrationState"),
+                 "RegistrationState", "count")
+    assert one_pass == rows
