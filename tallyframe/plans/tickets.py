@@ -214,19 +214,21 @@ def top_codes(binned: DataFrame) -> DataFrame:
 
 
 def top_bins_per_top_code(binned: DataFrame) -> DataFrame:
-    """Top bins of the most frequent codes.
-
-    Code totals and the top codes are summed from the (code, bin) counts,
-    not from the rows; the top codes (3 rows) are broadcast to those
-    counts, and only the chosen codes' counts are ranked. The join drops
-    NULL codes as the original equality join does, while a NULL code still
-    competes for a top slot.
+    """Top bins of the most frequent codes, from one aggregation.
+
+    Code totals and the top codes are summed from the (code, bin) counts.
+    The chosen codes (at most 3, a scalar array) select their counts with a
+    filter that also reads the count, so it stays above the aggregation and
+    both branches share one exchange: the rows are scanned and shuffled
+    once. As in the original equality join, a NULL code may take a top slot
+    but never matches.
     """
     pairs = binned.groupBy("ViolationCode", "TimeOfDay").agg(F.count(F.lit(1)).alias("TicketCount"))
     totals = pairs.groupBy("ViolationCode").agg(F.sum("TicketCount").alias("_total"))
     top = totals.orderBy(F.col("_total").desc(), F.col("ViolationCode").asc()).limit(TOP_THREE)
-    chosen = pairs.join(bounded_broadcast(top.select("ViolationCode"), TOP_THREE), "ViolationCode")
-    return rank.rank_counted(chosen, "ViolationCode", "TicketCount", TOP_THREE)
+    chosen_codes = top.agg(F.collect_list("ViolationCode")).scalar()
+    keep = F.when(F.col("TicketCount") > 0, F.array_contains(chosen_codes, F.col("ViolationCode")))
+    return rank.rank_counted(pairs.filter(keep), "ViolationCode", "TicketCount", TOP_THREE)
 
 
 BIN_ANALYSES = {

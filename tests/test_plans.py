@@ -173,3 +173,13 @@ def test_full_file_layout_flow(spark):
     inferred = normalise_names(read_inferred(spark, ticket_landing))
     k = ticket_report(inferred, bound_fines(spark), len(BOUND_FINE_CODES))
     assert sorted(k["k17_top_codes_per_bin"].collect()) == sorted(q["k17_top_codes_per_bin"](spark, SMALL).collect())
+
+
+def test_top_bins_null_code_takes_a_slot(spark):
+    from tallyframe.plans.tickets import top_bins_per_top_code
+
+    rows = [(None, "Dawn")] * 9 + [(1, "Dawn")] * 5 + [(1, "Night")] * 2 + [(2, "Night")] * 4 + [(3, "Dawn")] * 3
+    df = spark.createDataFrame(rows, "ViolationCode int, TimeOfDay string")
+    got = sorted(tuple(r) for r in top_bins_per_top_code(df).collect())
+    # Top 3 totals: NULL (9), 1 (7), 2 (4); NULL never matches, code 3 is out.
+    assert got == [(1, "Dawn", 5, 1), (1, "Night", 2, 2), (2, "Night", 4, 1)]
