@@ -55,9 +55,9 @@ def mix_within_top(
     """Per item, its count and share within each of the ``k`` largest groups.
 
     One aggregation to (group, item) counts feeds both the group totals
-    (summed from the pair counts; AQE reuses that exchange unless an
-    ``items`` filter is pushed into the result branch) and the result; the
-    top-``k`` groups, at most ``k`` rows, are broadcast to the pair counts.
+    (summed from the pair counts; AQE reuses that exchange) and the result;
+    the top-``k`` groups, at most ``k`` rows, are broadcast to the pair
+    counts.
     ``items`` restricts the output rows only: shares stay relative to the
     whole group. As in an equality join, a NULL group never matches.
     """
@@ -68,7 +68,9 @@ def mix_within_top(
     top = totals.orderBy(F.col("_group_total").desc(), F.col(group).asc()).limit(k)
     mixed = pairs.join(bounded_broadcast(top, k), group)
     if items is not None:
-        mixed = mixed.filter(F.col(item).isin(*items))
+        # Reads the count too, so it stays above the join and both branches
+        # keep sharing the (group, item) aggregation.
+        mixed = mixed.filter(F.when(F.col(count_col) > 0, F.col(item).isin(*items)))
     return mixed.select(
         F.col(item),
         F.col(group),
