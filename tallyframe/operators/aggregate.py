@@ -243,17 +243,29 @@ def rate_vs_overall(
     amount: str,
     start: str,
     end: str,
-    key: ColumnOrName,
+    key: str,
     where: Column | None = None,
     alias: str = "pct_vs_overall",
     digits: int = 2,
+    key_values: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Percent by which each key's mean rate is above the overall mean.
 
     The overall mean (over all rows, rounded as reported) is a scalar
-    subquery; the per-key means are taken over the rows ``where`` keeps.
+    subquery. With ``key_values`` the rows are aggregated once per key
+    (sum and count of the rates): the overall mean is summed from those
+    per-key totals, reusing the exchange, and the listed keys are picked
+    from the same totals -- one pass. With a row predicate ``where``
+    instead, the per-key means are taken over the rows it keeps (the
+    predicate can reach the scan, the overall mean is a second pass).
     """
     rate = rate_per_hour(amount, start, end, digits)
-    overall = df.agg(round_half_up(F.avg(rate), digits)).scalar()
-    subset = df.filter(where) if where is not None else df
-    return subset.groupBy(key).agg(pct_change(F.avg(rate), overall, digits).alias(alias))
+    if key_values is None:
+        overall = df.agg(round_half_up(F.avg(rate), digits)).scalar()
+        subset = df.filter(where) if where is not None else df
+        return subset.groupBy(key).agg(pct_change(F.avg(rate), overall, digits).alias(alias))
+    per_key = df.groupBy(key).agg(F.sum(rate).alias("_s"), F.count(rate).alias("_n"))
+    overall = per_key.agg(round_half_up(F.try_divide(F.sum("_s"), F.sum("_n")), digits)).scalar()
+    # Reads the totals too, so the pick stays above the shared aggregation.
+    picked = per_key.filter(F.when(F.col("_n") >= 0, F.col(key).isin(*key_values)))
+    return picked.select(F.col(key), pct_change(F.try_divide(F.col("_s"), F.col("_n")), overall, digits).alias(alias))

@@ -286,7 +286,8 @@ def speed_on_dates(clean: DataFrame, rules: TripRules) -> DataFrame:
 
 
 def speed_vs_overall(clean: DataFrame, rules: TripRules) -> DataFrame:
-    return agg.rate_vs_overall(clean, "trip_distance", PICKUP, DROPOFF, "date", where=_on_dates(rules))
+    days = [F.lit(d).cast("date") for d in rules.dates]
+    return agg.rate_vs_overall(clean, "trip_distance", PICKUP, DROPOFF, "date", key_values=days)
 
 
 CLEAN_ANALYSES = {
