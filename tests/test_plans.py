@@ -183,3 +183,14 @@ def test_top_bins_null_code_takes_a_slot(spark):
     got = sorted(tuple(r) for r in top_bins_per_top_code(df).collect())
     # Top 3 totals: NULL (9), 1 (7), 2 (4); NULL never matches, code 3 is out.
     assert got == [(1, "Dawn", 5, 1), (1, "Night", 2, 2), (2, "Night", 4, 1)]
+
+
+@pytest.mark.parametrize(
+    "key",
+    ["t17a_passenger_share", "t26_speed_vs_overall", "k06_recode_to_mode", "k06b_distinct_after_recode",
+     "k10_code_mix_in_top_precincts", "k11_code_mix_filtered", "k19_top_bins_per_top_code"],
+)
+def test_one_pass_plans_share_their_aggregation(spark, key):
+    df = contract.queries()[key](spark, SMALL)
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
