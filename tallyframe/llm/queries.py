@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import exact_dedup
-from tallyframe.llm.common import read_table
+from tallyframe.llm import byte_bpe, exact_dedup, simhash
+from tallyframe.llm.common import read_table, unsigned_hex
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +19,38 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, bits=2)
+    return labels.select(
+        F.col("id").alias("doc_id"), unsigned_hex("fp").alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = byte_bpe.encode_documents(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    return bpe_digest(coded)
+
+
+def bpe_digest(coded: DataFrame) -> DataFrame:
+    """Digest columns of encoded documents (id, ids, decoded)."""
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_simhash": op2_simhash,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 LLM_ORACLE: dict[str, str] = {
