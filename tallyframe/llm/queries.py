@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import byte_bpe, exact_dedup, simhash
+from tallyframe.llm import byte_bpe, decontaminate, exact_dedup, quality_mil, simhash
 from tallyframe.llm.common import read_table, unsigned_hex
 
 
@@ -26,6 +26,25 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_mil.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality_mil.with_score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        quality_mil.in_fold("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality_mil.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = decontaminate.contaminated_windows(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    return decontaminate.contaminated_documents(windows).withColumnRenamed("id", "doc_id")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,6 +69,8 @@ def bpe_digest(coded: DataFrame) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
+    "op5_quality_mil": op5_quality,
+    "op10_decontaminate": op10_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
 }
 

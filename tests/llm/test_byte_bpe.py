@@ -1,0 +1,68 @@
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallyframe.llm import byte_bpe
+from tallyframe.llm.queries import LLM_QUERIES
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def tokens():
+    return byte_bpe.read_ranks(RANKS)
+
+
+@pytest.fixture(scope="module")
+def reference(tokens):
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={}
+    )
+
+
+def test_codec_equals_the_library(tokens, reference, documents):
+    codec = byte_bpe.Codec(tokens, public_tokenizers.PATTERN)
+    texts = [r.text or "" for r in documents.select("text").collect()]
+    texts += ["", " \n\n  x\t", "é\x00\x01 <unk> <s> </s>", "a" * 20_000, " " * 3000, "▁▁ hello ▁", "日本語 🙂" * 40]
+    for text in texts:
+        ids = codec.encode(text).tolist()
+        assert ids == reference.encode_ordinary(text)
+        assert codec.decode(ids) == text.encode()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=80))
+def test_any_text(text):
+    tokens = byte_bpe.read_ranks(RANKS)
+    codec = byte_bpe.codec_for(RANKS, tokens, public_tokenizers.PATTERN)
+    text = text.encode("utf-8", "ignore").decode()
+    assert codec.decode(codec.encode(text).tolist()) == text.encode()
+
+
+def test_forgetting_the_memo_changes_nothing(tokens, reference, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "MEMO_TOKENS", 5)
+    codec = byte_bpe.Codec(tokens, public_tokenizers.PATTERN)
+    for text in ("one two three four five six", "two seven eight nine ten eleven two", "one"):
+        assert codec.encode(text).tolist() == reference.encode_ordinary(text)
+
+
+def test_query(spark, sample_dir, documents, reference):
+    got = {r.doc_id: r for r in LLM_QUERIES["op9_byte_bpe"](spark, sample_dir).collect()}
+    assert len(got) == documents.count()
+    for r in documents.collect():
+        ids = reference.encode_ordinary(r.text or "")
+        row = got[r.doc_id]
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def test_odd_rows(spark, odd_documents):
+    coded = byte_bpe.encode_documents(odd_documents, RANKS, public_tokenizers.PATTERN).collect()
+    assert len(coded) == odd_documents.count()
+    assert [r.ids for r in coded if r.id in (3, 4)] == [[], []]
+    assert byte_bpe.encode_documents(odd_documents.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
