@@ -3,13 +3,24 @@ to its whole table and derives the digest columns from the result."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import byte_bpe, decontaminate, exact_dedup, quality_mil, simhash
+from tallyframe.llm import (
+    byte_bpe,
+    decontaminate,
+    exact_dedup,
+    quality_mil,
+    secret_scan,
+    simhash,
+    token_counts,
+    token_files,
+)
 from tallyframe.llm.common import read_table, unsigned_hex
+from tallyframe.session import shared_dir
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +49,37 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counts = token_counts.count_tokens(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return counts.withColumnRenamed("id", "doc_id")
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+    base = secret_scan.KINDS[:3]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
+        secret_scan.joined(secret_scan.KINDS).alias("spans"),
+    )
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    encoded = token_files.encode_sorted(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    token_files.write_tokens(encoded, path)
+    return token_files.token_index(spark, path)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = decontaminate.contaminated_windows(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
@@ -69,6 +111,9 @@ def bpe_digest(coded: DataFrame) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
+    "op4_token_counts": op4_token_counts,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_token_files": op8_token_files,
     "op5_quality_mil": op5_quality,
     "op10_decontaminate": op10_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
