@@ -16,6 +16,7 @@ from tallyframe.llm import (
     quality_mil,
     secret_scan,
     simhash,
+    style_tree,
     token_counts,
     token_files,
 )
@@ -49,6 +50,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = style_tree.extract(read_table(spark, sf_dir, "pages"))
+    return texts.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -111,6 +117,7 @@ def bpe_digest(coded: DataFrame) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
+    "op3_style_tree": op3_style_tree,
     "op4_token_counts": op4_token_counts,
     "op7_secret_scan": op7_secret_scan,
     "op8_token_files": op8_token_files,
