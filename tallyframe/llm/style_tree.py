@@ -42,11 +42,13 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from functools import lru_cache
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from tallyframe.llm.common import prepare
 from tallyframe.session import shared_dir
@@ -96,31 +98,70 @@ def host_of(url: str | None) -> str:
     return found.group(1).lower() if found else ""
 
 
+# Comments and declarations; a tag, with quoted values or without; a tag that the page ends in.
+_MARK = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*))""")
+# Their content is text without markup, and never main text.
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])|\Z", re.I) for t in ("script", "style", "title", "textarea", "noscript", "iframe")}
+
+
 def _mix(*parts: object) -> int:
     """A 63-bit hash of the parts."""
-    from xxhash import xxh64_intdigest
-
     return xxh64_intdigest("\x1f".join(map(str, parts)).encode("utf-8", "replace"), 11) >> 1
 
 
-class Page(HTMLParser):
+@lru_cache(maxsize=20_000)
+def _label(tag: str, classes: str, name: str, role: str) -> tuple[str, bool, bool]:
+    """Presentation label of an element, whether it is a landmark, and
+    whether its tag (True) or its names say that it is furniture."""
+    words = set(_WORD.findall(f"{classes} {name} {role}".lower()))
+    label = f"{tag}.{'.'.join(sorted(set(classes.split())))}#{name}"
+    furniture = tag not in ("html", "body") and (tag in FURNITURE_TAGS or bool(words & FURNITURE_WORDS))
+    if tag == "header" and not words & FURNITURE_WORDS:
+        furniture = None  # only outside of an article
+    return label, tag in LANDMARK_TAGS or role == "main", furniture
+
+
+@lru_cache(maxsize=50_000)
+def _path(parent: int, label: str) -> int:
+    """The style path of a child."""
+    return _mix(parent, label)
+
+
+class Page:
     """The DOM of one page as lists: per element its parent, style path and
     prior; per text block its element and text."""
 
     def __init__(self, html: str | None):
-        super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.paths, self.labels = ["#page"], [-1], [_mix("#page")], ["#page"]
+        self.tags, self.parents, self.paths = ["#page"], [-1], [_path(0, "#page")]
         self.prior: list[int | None] = [None]  # 0 furniture, 1 landmark, None undecided
         self.children: list[list[str]] = [[]]
         self.open = [0]
         self.blocks: list[tuple[int, str]] = []
         self._text: list[str] = []
         self._at = 0
-        try:
-            self.feed(html or "")
-            self.close()
-        except AssertionError:  # the parser's own check on broken declarations
-            pass
+        html = html or ""
+        done = 0
+        while (mark := _MARK.search(html, done)) is not None:
+            if mark.start() > done:
+                self._data(html[done : mark.start()])
+            done = mark.end()
+            closing, tag, rest, loose_closing, loose_tag, loose_rest = mark.groups()
+            tag = (tag or loose_tag or "").lower()
+            if not tag:
+                continue
+            if closing or loose_closing:
+                self._end_tag(tag)
+                continue
+            self._start_tag(tag, rest if rest is not None else loose_rest)
+            if tag in _RAW:
+                done = _RAW[tag].search(html, done).start()
+        self._data(html[done:])
         self._end_block()
 
     def _end_block(self) -> None:
@@ -130,7 +171,11 @@ class Page(HTMLParser):
         self._text = []
 
     def _block_of(self) -> int:
-        return next(n for n in reversed(self.open) if self.tags[n] not in INLINE_TAGS)
+        """The nearest open element that is not inline."""
+        for node in reversed(self.open):
+            if self.tags[node] not in INLINE_TAGS:
+                return node
+        return 0
 
     def _close(self, names: set[str], until: set[str]) -> None:
         """Close the nearest open element of ``names``, if no element of
@@ -143,7 +188,7 @@ class Page(HTMLParser):
             if tag in until:
                 return
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def _start_tag(self, tag: str, rest: str) -> None:
         if tag not in INLINE_TAGS:
             self._end_block()
         elif tag == "br":
@@ -154,25 +199,22 @@ class Page(HTMLParser):
             self._close(CLOSES_ITSELF[tag], {"ul", "ol", "dl", "table", "select"})
         if tag in VOID_TAGS or len(self.open) > MAX_DEPTH:
             return
-        values = {k: v or "" for k, v in attrs}
-        names = " ".join(values.get(k, "") for k in ("class", "id", "role")).lower()
+        classes = name = role = ""
+        if "class" in rest or "id" in rest or "role" in rest or not rest.islower():
+            found = {k.lower(): unescape(a or b or c) for k, a, b, c in reversed(_ATTRIBUTE.findall(rest))}
+            classes, name, role = found.get("class", ""), found.get("id", ""), found.get("role", "")
         parent = self.open[-1]
-        label = f"{tag}.{'.'.join(sorted(set(values.get('class', '').split())))}#{values.get('id', '')}"
+        label, landmark, furniture = _label(tag, classes, name, role)
         prior = self.prior[parent]
         if prior != 0:
-            words = set(_WORD.findall(names))
-            inside = prior == 1
-            if tag in LANDMARK_TAGS or values.get("role") == "main":
+            if landmark:
                 prior = 1
-            elif tag not in ("html", "body") and (
-                (tag in FURNITURE_TAGS and not (tag == "header" and inside)) or words & FURNITURE_WORDS
-            ):
+            elif furniture or furniture is None and prior != 1:
                 prior = 0
         node = len(self.tags)
         self.tags.append(tag)
         self.parents.append(parent)
-        self.labels.append(label)
-        self.paths.append(_mix(self.paths[parent], label))
+        self.paths.append(_path(self.paths[parent], label))
         self.prior.append(prior)
         self.children.append([])
         if not self.children[parent] or self.children[parent][-1] != label:
@@ -181,25 +223,25 @@ class Page(HTMLParser):
         if tag not in INLINE_TAGS:
             self._at = node
 
-    def handle_endtag(self, tag: str) -> None:
+    def _end_tag(self, tag: str) -> None:
         if tag in VOID_TAGS:
             if tag == "br":
                 self._text.append(" ")
             return
-        if not any(self.tags[n] == tag for n in self.open):
-            return
         if tag not in INLINE_TAGS:
+            if not any(self.tags[n] == tag for n in self.open):
+                return
             self._end_block()
             self._close({tag}, set())
         else:
             self._close({tag}, BLOCK_CLOSES_P | {"td", "li"})
         self._at = self._block_of()
 
-    def handle_data(self, data: str) -> None:
+    def _data(self, data: str) -> None:
         if self._text or not data.isspace():
             if not self._text:
                 self._at = self._block_of()
-            self._text.append(data)
+            self._text.append(unescape(data) if "&" in data else data)
 
     def facts(self) -> Iterator[tuple[int, int, int, int]]:
         """(path, parent path, kind, value) of every element (kind 0: its
@@ -312,7 +354,7 @@ def host_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         (1 - F.col("nlogn") / F.col("total") / F.ln("total")).alias("entropy"),
         F.when(F.col("top.n") > F.col("total") * REPEATED, F.col("top.value")).alias("repeated"),
     )
-    sizes = nodes.where((F.col("path") == _mix("#page")) & (F.col("kind") == 0)).select("host", F.col("n").alias("pages"))
+    sizes = nodes.where((F.col("path") == _path(0, "#page")) & (F.col("kind") == 0)).select("host", F.col("n").alias("pages"))
     return (
         nodes.join(sizes, "host")
         .where(F.col("n") >= F.col("pages") * SHARE)
