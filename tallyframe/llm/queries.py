@@ -17,6 +17,7 @@ from tallyframe.llm import (
     secret_scan,
     simhash,
     style_tree,
+    suffix_dedup,
     token_counts,
     token_files,
 )
@@ -64,6 +65,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumnRenamed("id", "doc_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeated(read_table(spark, sf_dir, "documents"), length=200)
+    total = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        total.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
     base = secret_scan.KINDS[:3]
@@ -119,6 +132,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_style_tree": op3_style_tree,
     "op4_token_counts": op4_token_counts,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_secret_scan": op7_secret_scan,
     "op8_token_files": op8_token_files,
     "op5_quality_mil": op5_quality,

@@ -5,6 +5,7 @@ import tiktoken
 
 import corpus_pipeline
 from tallyframe.llm import byte_bpe
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
 def test_every_stage_against_its_input(spark, tmp_path):
@@ -34,7 +35,11 @@ def test_every_stage_against_its_input(spark, tmp_path):
     for doc, text in before.text.items():
         assert after.n_tokens[doc] == len(library.encode_ordinary(text))
         assert after.decoded_sha256[doc] == hashlib.sha256(text.encode()).hexdigest()
-    for name in ("quality_classifier", "exact_dedup", "simhash_near_dedup", "benchmark_decontamination"):
+    before, after = by_name["simhash_near_dedup"]
+    prints = [plain_fingerprint(t) for t in before.text]
+    component = plain_components(list(before.index), prints, 2)
+    assert set(after.index) == set(component.values())
+    for name in ("quality_classifier", "exact_dedup", "benchmark_decontamination"):
         assert len(by_name[name][1]) < len(by_name[name][0])
 
 
