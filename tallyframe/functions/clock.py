@@ -44,20 +44,27 @@ def valid_clock(hour: ColumnOrName, period: ColumnOrName) -> Column:
 
 
 def month_range(ts: ColumnOrName, year: int, months: list[int] | tuple[int, ...]) -> Column:
-    """``year(ts) = year and month(ts) in months`` written so it pushes down.
-
-    Contiguous months become one half-open timestamp range (a scan-level
-    filter); other month sets fall back to the part test.
-    """
+    """``year(ts) = year and month(ts) in months`` written so it pushes down:
+    one half-open timestamp range per run of months, OR-ed."""
     t = col_of(ts)
-    months = sorted(set(months))
-    if months and months == list(range(months[0], months[-1] + 1)):
-        lo = f"{year:04d}-{months[0]:02d}-01 00:00:00"
-        end_year, end_month = (year + 1, 1) if months[-1] == 12 else (year, months[-1] + 1)
-        hi = f"{end_year:04d}-{end_month:02d}-01 00:00:00"
+    wanted = sorted(set(months))
+    runs: list[list[int]] = []
+    for m in wanted:
+        if not 1 <= m <= 12:
+            raise ValueError(f"no such month: {m}")
+        if runs and m == runs[-1][1] + 1:
+            runs[-1][1] = m
+        else:
+            runs.append([m, m])
+    if not runs:
+        return F.lit(False)
+    ranges = []
+    for first, last in runs:
+        lo = f"{year:04d}-{first:02d}-01 00:00:00"
+        end_year, end_month = (year + 1, 1) if last == 12 else (year, last + 1)
         # String bounds are cast to the column's own timestamp type.
-        return (t >= F.lit(lo)) & (t < F.lit(hi))
-    return (F.year(t) == F.lit(year)) & F.month(t).isin(*months)
+        ranges.append((t >= F.lit(lo)) & (t < F.lit(f"{end_year:04d}-{end_month:02d}-01 00:00:00")))
+    return reduce(lambda a, b: a | b, ranges)
 
 
 def on_dates(ts: ColumnOrName, dates: list[str] | tuple[str, ...]) -> Column:

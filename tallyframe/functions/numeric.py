@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Rounding works on the decimal form of a value, kept to this many places.
-_ROUND_SCALE = 12
-
-
 def col_of(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -23,12 +19,11 @@ def col_of(c: ColumnOrName) -> Column:
 def round_half_up(c: ColumnOrName, digits: int = 2) -> Column:
     """Round half away from zero on the value's decimal form; result double.
 
-    The value is first taken to ``decimal(38,12)`` so that e.g. 1.005
-    rounds to 1.01 (as written) instead of following its binary
-    neighbour. Values outside +-1e26 give NULL.
+    Spark rounds a double through its shortest decimal text, so 1.005
+    becomes 1.01 (as written) instead of following its binary neighbour;
+    values of any size are kept.
     """
-    as_decimal = col_of(c).try_cast(f"decimal(38,{_ROUND_SCALE})")
-    return F.round(as_decimal, digits).cast("double")
+    return F.round(col_of(c).cast("double"), digits)
 
 
 def pct(part: ColumnOrName, total: ColumnOrName, digits: int | None = 2) -> Column:

@@ -13,7 +13,6 @@ from tallyframe.operators.aggregate import (
     share_of_total,
     top_n,
 )
-from tallyframe.operators.joins import BROADCAST_ROW_LIMIT, bounded_broadcast
 from tallyframe.operators.profile import (
     column_profile,
     describe_shape,
@@ -28,13 +27,13 @@ from tallyframe.operators.quality import (
     apply_rules,
     out_of_domain,
     reconcile,
+    reconcile_load,
     violations_by,
 )
 from tallyframe.operators.rank import mix_within_top, rank_counted, top_k_per_group
 from tallyframe.operators.recode import mode_of, recode_to_mode, recoded_frequency
 
 __all__ = [
-    "BROADCAST_ROW_LIMIT",
     "all_of",
     "any_negative_by",
     "any_of",
@@ -42,7 +41,6 @@ __all__ = [
     "avg_by",
     "avg_rate_by",
     "band_share",
-    "bounded_broadcast",
     "column_profile",
     "correlation",
     "describe_shape",
@@ -57,6 +55,7 @@ __all__ = [
     "period_profile",
     "rate_vs_overall",
     "reconcile",
+    "reconcile_load",
     "recode_to_mode",
     "recoded_frequency",
     "row_count",

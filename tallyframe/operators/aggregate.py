@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,7 +90,9 @@ def distinct_count(
     """
     if not approx:
         return df.agg(F.count_distinct(F.col(column)).alias(alias))
-    lg_k = min(21, max(4, math.ceil(math.log2((1.04 / rsd) ** 2))))
+    lg_k = max(4, math.ceil(math.log2((1.04 / rsd) ** 2)))
+    if lg_k > 21:
+        raise ValueError(f"rsd={rsd} is finer than a sketch can give; count exactly")
     bucket = F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("_bucket")
     level1 = df.groupBy(bucket).agg(F.hll_sketch_agg(F.col(column), lg_k).alias("_s"))
     level2 = level1.agg(F.hll_union_agg("_s").alias("_s"))
@@ -121,17 +123,17 @@ def share_of_total(
     remain separate rows; the code is kept as ``<key>_code``.
     """
     k = _named(key, key_alias)
-    name = key_alias or (key if isinstance(key, str) else None)
     # One aggregate, count(*), serves both the shares and the total, so the
     # total's subquery reuses the same exchange; count(key) differs from
     # count(*) only in the NULL group, where it is 0.
     grouped = df.groupBy(k).agg(F.count(F.lit(1)).alias("_rows"))
+    name = grouped.columns[0]  # also right for a Column key
     total = grouped.agg(F.sum("_rows")).scalar()
-    non_null = F.when(F.col(name).isNull(), F.lit(0)).otherwise(F.col("_rows"))
+    non_null = F.when(F.col(f"`{name}`").isNull(), F.lit(0)).otherwise(F.col("_rows"))
     if labels is not None:
-        out_cols = [decode(name, labels, label_default).alias(name), F.col(name).alias(f"{name}_code")]
+        out_cols = [decode(F.col(f"`{name}`"), labels, label_default).alias(name), F.col(f"`{name}`").alias(f"{name}_code")]
     else:
-        out_cols = [F.col(name)]
+        out_cols = [F.col(f"`{name}`")]
     return grouped.select(*out_cols, pct(non_null, total, digits).alias(pct_col))
 
 
@@ -157,37 +159,77 @@ def _kll(dtype: T.DataType) -> tuple:
     return F.kll_sketch_agg_double, F.kll_merge_agg_double, F.kll_sketch_get_quantile_double, "double"
 
 
+# Value ranges that exact percentiles are ranked in.
+PERCENTILE_RANGES = 256
+
+
 def mean_vs_percentiles(
     df: DataFrame,
     value: str,
     percentiles: Sequence[float] = (0.25, 0.5, 0.75),
-    accuracy: int = 4096,
     digits: int = 2,
     name: str | None = None,
-    method: str = "sketch",
+    method: str = "exact",
+    accuracy: int = 4096,
     fan_in: int = 1024,
 ) -> DataFrame:
-    """Mean and percentiles of ``value`` in one pass.
-
-    ``method="sketch"`` builds a mergeable KLL quantile sketch (``k =
-    accuracy``) per task and reduces the sketches as a two-level tree:
-    tasks are folded into ``fan_in`` buckets in parallel, and only those
-    bucket sketches meet in the final merge -- so the last task never
-    receives one summary per input split. Percentiles are the smallest
-    values whose rank reaches ``p`` (exact while the data fits the sketch).
-
-    ``method="gk"`` is the single-level ``percentile_approx`` form
-    (relative rank error ``1/accuracy``).
+    """One row: mean and percentiles of ``value``; a percentile is the
+    smallest value whose rank reaches ``p``.
+
+    ``method="exact"`` counts the rows per value (partial aggregation), deals
+    the values to PERCENTILE_RANGES ranges by boundaries that an approximate
+    percentile gives, and ranks each range on its own after the rows of the
+    ranges before it. The boundaries only balance the ranges: the answer does
+    not depend on them, on the partitioning or on the size.
+
+    ``method="sketch"`` builds a mergeable KLL sketch (``k = accuracy``, rank
+    error about 2/k) per task, folded into ``fan_in`` buckets before the final
+    merge; ``method="gk"`` is ``percentile_approx`` (rank error 1/accuracy).
+    Both are estimates that depend on the partitioning.
     """
     name = name or value
     mean_col = f"average_{name}"
+    names = [f"p{round(p * 100):d}_{name}" for p in percentiles]
     if method == "gk":
         q = F.percentile_approx(value, list(percentiles), accuracy)
         stats = df.agg(round_half_up(F.avg(value), digits).alias(mean_col), q.alias("_q"))
-        cols = [F.col(mean_col)] + [
-            F.col("_q")[i].alias(f"p{round(p * 100):d}_{name}") for i, p in enumerate(percentiles)
-        ]
-        return stats.select(*cols)
+        return stats.select(mean_col, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    if method == "sketch":
+        return _sketched_percentiles(df, value, percentiles, accuracy, digits, mean_col, names, fan_in)
+    if method != "exact":
+        raise ValueError(f"no such method: {method}")
+    dtype = df.schema[value].dataType
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    steps = [i / PERCENTILE_RANGES for i in range(1, PERCENTILE_RANGES)]
+    bounds = counts.agg(F.percentile_approx("_v", steps, PERCENTILE_RANGES * 8)).scalar()
+    ranged = (
+        counts.withColumn("_bounds", bounds)
+        .withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col("_v"))))
+        .drop("_bounds")
+    )
+    # At most PERCENTILE_RANGES rows: their running sum is one small task.
+    sums = ranged.groupBy("_range").agg(
+        F.sum("_n").alias("_size"), F.sum(F.col("_v").cast("double") * F.col("_n")).alias("_sum")
+    )
+    every = Window.partitionBy()
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "_range",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+        F.sum("_size").over(every).alias("_total"),
+        F.sum("_sum").over(every).alias("_all"),
+    )
+    within = Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranged.join(offsets, "_range").withColumn("_rank", F.col("_before") + F.sum("_n").over(within))
+    picks = [
+        F.min(F.when(F.col("_rank") >= F.ceil(F.col("_total") * F.lit(float(p))), F.col("_v"))).cast(dtype).alias(n)
+        for p, n in zip(percentiles, names, strict=True)
+    ]
+    mean = round_half_up(F.try_divide(F.max("_all"), F.max("_total")), digits).alias(mean_col)
+    return ranked.agg(mean, *picks)
+
+
+def _sketched_percentiles(df, value, percentiles, accuracy, digits, mean_col, names, fan_in) -> DataFrame:
     sketch_agg, merge_agg, quantile, cast_to = _kll(df.schema[value].dataType)
     v = F.col(value).cast(cast_to)
     bucket = F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("_bucket")
@@ -198,9 +240,9 @@ def mean_vs_percentiles(
     )
     level2 = level1.agg(merge_agg("_s").alias("_s"), F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
     cols = [round_half_up(F.try_divide(F.col("_sum"), F.col("_n")), digits).alias(mean_col)]
-    for p in percentiles:
+    for p, n in zip(percentiles, names, strict=True):
         q = F.when(F.col("_n") > 0, quantile(F.col("_s"), F.lit(float(p))))
-        cols.append(q.cast(df.schema[value].dataType).alias(f"p{round(p * 100):d}_{name}"))
+        cols.append(q.cast(df.schema[value].dataType).alias(n))
     return level2.select(*cols)
 
 

@@ -37,7 +37,10 @@ def violations_by(
 
 
 def any_negative_by(df: DataFrame, columns: Sequence[str], *keys: str, count_col: str = "count") -> DataFrame:
-    """Rows with at least one of ``columns`` below zero, per key."""
+    """Rows with at least one of ``columns`` below zero, per key. A column
+    that ``df`` does not have is an error, never a narrower rule."""
+    if missing := [c for c in columns if c not in df.columns]:
+        raise ValueError(f"columns of the rule are missing: {missing}")
     rule = any_of([F.col(c) < F.lit(0.0) for c in columns])
     return violations_by(df, rule, *keys, count_col=count_col)
 
@@ -62,3 +65,15 @@ def reconcile(df: DataFrame, rules: Sequence[Column]) -> DataFrame:
         F.count_if(keep).alias("kept_rows"),
         F.count_if(~keep).alias("rejected_rows"),
     )
+
+
+def reconcile_load(raw: DataFrame, loaded: DataFrame, rules: Sequence[Column]) -> DataFrame:
+    """One row: rows read, rows found in the loaded table, rows the rules
+    reject, and ``lost_rows``, which is 0 only if the load kept exactly the
+    rest. The counts come from two tables, so a lost row shows."""
+    reject = F.coalesce(~all_of(rules), F.lit(True))
+    kept = loaded.agg(F.count(F.lit(1))).scalar()
+    counted = raw.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(reject).alias("rejected_rows"))
+    return counted.select("raw_rows", kept.alias("loaded_rows"), "rejected_rows").withColumn(
+        "lost_rows", F.col("raw_rows") - F.col("loaded_rows") - F.col("rejected_rows")
+    )

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import pct
-from tallyframe.operators.joins import bounded_broadcast
 
 
 def top_k_per_group(
@@ -24,9 +23,9 @@ def top_k_per_group(
     Items are counted first (partial aggregation), then ranked with
     ``dense_rank`` per group, so a group with tied counts returns more
     than ``k`` rows. The ``rank <= k`` filter lets Catalyst insert a
-    WindowGroupLimit before the shuffle by group: each task forwards at
-    most its own top-``k`` ranks per group, so a hot group never moves all
-    of its items to one task.
+    WindowGroupLimit before the shuffle by group: each task forwards its own
+    top-``k`` ranks per group only. Items tied within those ranks are all
+    forwarded, as they are part of the answer.
     """
     counts = df.groupBy(group, item).agg(F.count(F.lit(1)).alias(count_col))
     return rank_counted(counts, group, count_col, k, rank_col)
@@ -56,8 +55,7 @@ def mix_within_top(
 
     One aggregation to (group, item) counts feeds both the group totals
     (summed from the pair counts; AQE reuses that exchange) and the result;
-    the top-``k`` groups, at most ``k`` rows, are broadcast to the pair
-    counts.
+    the planner sees that the top ``k`` groups are at most ``k`` rows.
     ``items`` restricts the output rows only: shares stay relative to the
     whole group. As in an equality join, a NULL group never matches.
     """
@@ -66,7 +64,7 @@ def mix_within_top(
     pairs = df.groupBy(group, item).agg(F.count(F.lit(1)).alias(count_col))
     totals = pairs.groupBy(group).agg(F.sum(count_col).alias("_group_total"))
     top = totals.orderBy(F.col("_group_total").desc(), F.col(group).asc()).limit(k)
-    mixed = pairs.join(bounded_broadcast(top, k), group)
+    mixed = pairs.join(top, group)
     if items is not None:
         # Reads the count too, so it stays above the join and both branches
         # keep sharing the (group, item) aggregation.

@@ -5,8 +5,9 @@ Written as plain SQL over the test tables (views ``lineitem``, ``orders``,
 CTEs and each query spells out its own CASE, window and rounding logic.
 
 Parity rules between the two engines:
-- rounding goes through ``DECIMAL(38,12)`` on both sides (half-up on the
-  decimal form);
+- rounding is half-up on the decimal form: Spark rounds a double by its
+  decimal text, here the value goes through ``DECIMAL(38,12)`` (the test
+  values are far below its limit);
 - integer parts (year, month, rank) are cast to INTEGER;
 - division by a zero duration is NULL (``NULLIF``) as ``try_divide`` is;
 - ``||`` is used where Spark's ``concat`` propagates NULL.
@@ -16,17 +17,21 @@ from __future__ import annotations
 
 
 def R(expr: str, digits: int = 2) -> str:
-    """Half-up rounding as the Spark side does it."""
+    """Half-up rounding on the decimal form."""
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
 TRIPS_CTE = """
-trips AS (
-  SELECT CAST(l.l_suppkey % 2 + 1 AS INTEGER) AS VendorID,
+keyed_trips AS (
+  SELECT l.l_orderkey AS trip_order, l.l_linenumber AS trip_line, l.l_partkey AS trip_part,
+         l.l_suppkey AS trip_supplier, l.l_quantity AS trip_quantity,
+         CAST(l.l_suppkey % 2 + 1 AS INTEGER) AS VendorID,
          o.o_orderdate AS tpep_pickup_datetime,
-         l.l_shipdate AS tpep_dropoff_datetime,
+         o.o_orderdate + to_seconds(CASE WHEN l.l_partkey % 97 = 0 THEN 0
+           ELSE 60 + (l.l_orderkey * 31 + l.l_linenumber * 977) % 5340 END) AS tpep_dropoff_datetime,
          CAST(l.l_linenumber - 1 AS INTEGER) AS passenger_count,
          l.l_quantity - CAST(1 AS DOUBLE) AS trip_distance,
+         CAST(l.l_suppkey % 6 + 1 AS INTEGER) AS RatecodeID,
          CASE WHEN l.l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
          CAST(l.l_suppkey AS INTEGER) AS PULocationID,
          CAST(l.l_partkey AS INTEGER) AS DOLocationID,
@@ -35,26 +40,30 @@ trips AS (
          l.l_discount AS extra,
          l.l_tax AS mta_tax,
          l.l_quantity * l.l_discount * CAST(10 AS DOUBLE) AS tip_amount,
+         CASE WHEN l.l_orderkey % 5 = 0 THEN l.l_quantity * CAST(0.25 AS DOUBLE) - CAST(1 AS DOUBLE)
+           ELSE CAST(0 AS DOUBLE) END AS tolls_amount,
          CASE WHEN l.l_partkey % 9 = 0 THEN CAST(0.35 AS DOUBLE) ELSE CAST(0.30 AS DOUBLE) END
            AS improvement_surcharge,
          CASE WHEN l.l_tax = 0 THEN CAST(0 AS DOUBLE) ELSE l.l_extendedprice - CAST(20000 AS DOUBLE) END
            AS total_amount
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_shipdate >= o.o_orderdate
+),
+trips AS (
+  SELECT * EXCLUDE (trip_order, trip_line, trip_part, trip_supplier, trip_quantity) FROM keyed_trips
 )"""
 
 TRIP_COLUMNS = [
     "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
-    "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type", "fare_amount", "extra",
-    "mta_tax", "tip_amount", "improvement_surcharge", "total_amount",
+    "RatecodeID", "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type", "fare_amount", "extra",
+    "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount",
 ]
 
 VALID_TRIP = """year(tpep_pickup_datetime) = 1997
-    AND month(tpep_pickup_datetime) IN (11, 12)
+    AND month(tpep_pickup_datetime) IN (5, 6, 7, 8, 9, 11, 12)
     AND total_amount > 0
     AND trip_distance > 0
     AND passenger_count > 0
-    AND extra IN (0.0, 0.05, 0.10)
+    AND extra IN (0.0, 0.01, 0.02, 0.03, 0.04, 0.05)
     AND improvement_surcharge = 0.30"""
 
 CLEAN_CTE = f"""
@@ -89,14 +98,17 @@ def _share(key: str, source: str = "clean") -> str:
     )
 
 
-def _column_profile() -> str:
+def _column_profile(sketched: bool = False) -> str:
     types = {
         "VendorID": "int", "tpep_pickup_datetime": "timestamp_ntz", "tpep_dropoff_datetime": "timestamp_ntz",
         "passenger_count": "int", "trip_distance": "double", "store_and_fwd_flag": "string",
-        "PULocationID": "int", "DOLocationID": "int", "payment_type": "int", "fare_amount": "double",
+        "RatecodeID": "int", "tolls_amount": "double", "PULocationID": "int", "DOLocationID": "int", "payment_type": "int", "fare_amount": "double",
         "extra": "double", "mta_tax": "double", "tip_amount": "double", "improvement_surcharge": "double",
         "total_amount": "double",
     }
+    distinct = "count(DISTINCT {c}) AS distinct_count"
+    if sketched:
+        distinct = "count(DISTINCT {c}) BETWEEN 1 AND count(*) AS distinct_possible"
     parts = []
     for c in TRIP_COLUMNS:
         text = types[c] == "string"
@@ -104,29 +116,30 @@ def _column_profile() -> str:
         max_len = f"CAST(max(length({c})) AS DOUBLE)" if text else "CAST(NULL AS DOUBLE)"
         parts.append(
             f"SELECT '{c}' AS column_name, '{types[c]}' AS data_type, "
-            f"count(*) - count({c}) AS num_nulls, count(DISTINCT {c}) AS distinct_count, "
+            f"count(*) - count({c}) AS num_nulls, {distinct.format(c=c)}, "
             f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, "
             f"{avg_len} AS avg_len, {max_len} AS max_len FROM trips"
         )
     return _with_trips("\nUNION ALL\n".join(parts))
 
 
+# The two sets of tip bands, as asked and as written. In the
+# second, 10.01-15.00 carries the label of the first band, and what lies in
+# no range is another amount.
 TIP_BANDS_HALF_OPEN_SQL = """CASE
-            WHEN tip_amount IS NULL OR tip_amount < 0 THEN 'Other amount'
+            WHEN tip_amount >= 0 AND tip_amount < 5 THEN '[0-5)'
+            WHEN tip_amount >= 5 AND tip_amount < 10 THEN '[5-10)'
+            WHEN tip_amount >= 10 AND tip_amount < 15 THEN '[10-15)'
+            WHEN tip_amount >= 15 AND tip_amount < 20 THEN '[15-20)'
             WHEN tip_amount >= 20 THEN '>=20'
-            WHEN tip_amount >= 15 THEN '[15-20)'
-            WHEN tip_amount >= 10 THEN '[10-15)'
-            WHEN tip_amount >= 5 THEN '[5-10)'
-            ELSE '[0-5)' END"""
+            ELSE 'Other amount' END"""
 
-# Inclusive cent ranges; 10.01-15.00 carries the 0-5 label; gaps and
-# negatives fall to 'Other amount'.
 TIP_BANDS_AS_WRITTEN_SQL = """CASE
+            WHEN tip_amount BETWEEN 0.00 AND 5.00 THEN 'Tip between $0.00 - $5.00'
+            WHEN tip_amount BETWEEN 5.01 AND 10.00 THEN 'Tip between $5.01 - $10.00'
+            WHEN tip_amount BETWEEN 10.01 AND 15.00 THEN 'Tip between $0.00 - $5.00'
+            WHEN tip_amount BETWEEN 15.01 AND 20.00 THEN 'Tip between $15.01 - $20.00'
             WHEN tip_amount > 20.00 THEN 'Tip greater than $20'
-            WHEN tip_amount >= 15.01 AND tip_amount <= 20.00 THEN 'Tip between $15.01 - $20.00'
-            WHEN (tip_amount >= 0.00 AND tip_amount <= 5.00) OR (tip_amount >= 10.01 AND tip_amount <= 15.00)
-              THEN 'Tip between $0.00 - $5.00'
-            WHEN tip_amount >= 5.01 AND tip_amount <= 10.00 THEN 'Tip between $5.01 - $10.00'
             ELSE 'Other amount' END"""
 
 
@@ -140,9 +153,8 @@ def _band_share(case_sql: str) -> str:
 
 TRIP_ORACLE = {
     "t01_raw_sample": _with_trips(
-        "SELECT * FROM trips ORDER BY "
-        + ", ".join(f"{c} ASC NULLS FIRST" for c in TRIP_COLUMNS)
-        + " LIMIT 100"
+        "SELECT * EXCLUDE (trip_order, trip_line, trip_part, trip_supplier, trip_quantity) FROM keyed_trips "
+        "ORDER BY trip_order, trip_line, trip_part, trip_supplier, trip_quantity LIMIT 100"
     ),
     "t02_row_count": _with_trips('SELECT count(*) AS "count" FROM trips'),
     "t03_period_profile": _with_trips(
@@ -151,18 +163,22 @@ TRIP_ORACLE = {
         "FROM trips GROUP BY 1, 2"
     ),
     "t04_column_profile": _column_profile(),
+    "t04b_column_profile_sketched": _column_profile(sketched=True),
     "t05a_passenger_frequency": _with_trips(
         'SELECT passenger_count, count(*) AS "count" FROM trips GROUP BY passenger_count'
     ),
     "t05b_payment_frequency": _with_trips(
         'SELECT payment_type, count(*) AS "count" FROM trips GROUP BY payment_type'
     ),
+    "t05c_clean_passenger_frequency": _with_clean(
+        'SELECT passenger_count, count(*) AS "count" FROM clean GROUP BY passenger_count'
+    ),
     "t06_zero_passengers_by_vendor": _with_trips(
         'SELECT VendorID, count(*) AS "count" FROM trips WHERE passenger_count <= 0 GROUP BY VendorID'
     ),
     "t07_any_negative_by_vendor": _with_trips(
         'SELECT VendorID, count(*) AS "count" FROM trips '
-        "WHERE least(fare_amount, extra, mta_tax, tip_amount, improvement_surcharge, total_amount) < 0 "
+        "WHERE least(fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount) < 0 "
         "GROUP BY VendorID"
     ),
     "t08_zero_total_by_vendor_payment": _with_trips(
@@ -186,15 +202,18 @@ TRIP_ORACLE = {
     ),
     "t12_extra_out_of_domain": _with_trips(
         'SELECT VendorID, count(*) AS "count" FROM trips '
-        "WHERE extra NOT IN (0.00, 0.05, 0.10) GROUP BY VendorID"
+        "WHERE extra NOT IN (0.0, 0.01, 0.02, 0.03, 0.04, 0.05) GROUP BY VendorID"
     ),
     "t13_valid_count": _with_clean('SELECT count(*) AS "count" FROM clean'),
     "t14a_csv_landing_scan": _with_trips("SELECT * FROM trips"),
     "t14_clean_load": _with_clean("SELECT * FROM clean"),
-    "t15_load_reconciliation": _with_trips(
-        "SELECT count(*) AS raw_rows, "
-        f"count(*) FILTER (WHERE coalesce({VALID_TRIP}, false)) AS kept_rows, "
-        f"count(*) FILTER (WHERE NOT coalesce({VALID_TRIP}, false)) AS rejected_rows FROM trips"
+    "t14b_reload_and_drop": _with_clean(
+        'SELECT month, count(*) AS "count" FROM clean WHERE month <> 12 OR VendorID = 1 GROUP BY month'
+    ),
+    "t15_load_reconciliation": _with_clean(
+        "SELECT r.raw_rows, c.loaded_rows, r.raw_rows - c.loaded_rows AS rejected_rows, "
+        "CAST(0 AS BIGINT) AS lost_rows FROM (SELECT count(*) AS raw_rows FROM trips) r, "
+        "(SELECT count(*) AS loaded_rows FROM clean) c"
     ),
     "t16_avg_fare_by_period": _with_clean(
         f"SELECT year, month, {R('avg(fare_amount)')} AS avg_fare FROM clean GROUP BY year, month"
@@ -214,6 +233,11 @@ TRIP_ORACLE = {
         "quantile_disc(tip_amount, 0.25) AS p25_tip, quantile_disc(tip_amount, 0.50) AS p50_tip, "
         "quantile_disc(tip_amount, 0.75) AS p75_tip FROM clean"
     ),
+    "t19b_fare_mean_vs_percentiles": _with_trips(
+        f"SELECT {R('avg(fare_amount)')} AS average_fare, "
+        "quantile_disc(fare_amount, 0.25) AS p25_fare, quantile_disc(fare_amount, 0.50) AS p50_fare, "
+        "quantile_disc(fare_amount, 0.75) AS p75_fare FROM trips"
+    ),
     "t20_extra_flag_share": _with_clean(
         f"SELECT extra, {R('count(extra) / (SELECT count(*) FROM clean) * 100.0')} AS Percentage_of_Total "
         "FROM (SELECT CASE WHEN extra <> 0 OR extra IS NULL THEN 'Extra Charged' ELSE 'No Extra Charged' END AS extra "
@@ -233,6 +257,12 @@ TRIP_ORACLE = {
         + f" AS pct_vs_overall FROM clean WHERE {ON_DATES} GROUP BY date"
     ),
 }
+# The forms over the loaded table have the same answers.
+for _key in (
+    "t16_avg_fare_by_period", "t17a_passenger_share", "t18_payment_share", "t19_tip_mean_vs_percentiles",
+    "t21_correlation", "t22a_tip_band_share", "t23_speed_by_month", "t26_speed_vs_overall",
+):
+    TRIP_ORACLE[f"{_key}_loaded"] = TRIP_ORACLE[_key]
 
 
 # ---- tickets -------------------------------------------------------------------
@@ -265,7 +295,9 @@ tickets AS (
          CAST(l_partkey % 7 AS VARCHAR) AS VehicleMake,
          CAST(l_suppkey % 31 AS INTEGER) AS ViolationPrecinct,
          CAST(l_suppkey % 13 AS INTEGER) AS IssuerPrecinct,
-         strftime(l_shipdate, '%I%M') || substr(strftime(l_shipdate, '%p'), 1, 1) AS ViolationTime
+         lpad(CAST((l_orderkey * 7 + l_linenumber) % 14 AS VARCHAR), 2, '0')
+           || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0')
+           || CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE 'P' END AS ViolationTime
   FROM lineitem
 )"""
 
@@ -286,13 +318,15 @@ VALID_TIME = (
     "('00', '01', '02', '03', '04', '05', '06', '07', '08', '09', '10', '11', '12')"
 )
 
+# The times of day by clock period and hour.
 BIN_CTE = f"""
 ticket_bin AS (
   SELECT *,
          CASE
            WHEN ViolationPeriod = 'AM' AND ViolationHour IN ('03', '04', '05', '06') THEN 'Dawn'
            WHEN ViolationPeriod = 'AM' AND ViolationHour IN ('07', '08', '09', '10') THEN 'Morning'
-           WHEN ViolationPeriod || ViolationHour IN ('AM11', 'PM12', 'PM01', 'PM02') THEN 'Afternoon'
+           WHEN ViolationPeriod = 'AM' AND ViolationHour = '11' THEN 'Afternoon'
+           WHEN ViolationPeriod = 'PM' AND ViolationHour IN ('12', '01', '02') THEN 'Afternoon'
            WHEN ViolationPeriod = 'PM' AND ViolationHour IN ('03', '04', '05', '06') THEN 'Evening'
            WHEN ViolationPeriod = 'PM' AND ViolationHour IN ('07', '08', '09', '10') THEN 'Night'
            ELSE 'Midnight'
@@ -301,15 +335,15 @@ ticket_bin AS (
   WHERE {VALID_TIME}
 )"""
 
+# The seasons by month.
 SEASON_CTE = """
 ticket_season AS (
   SELECT *,
          CASE
-           WHEN IssueMonth IS NULL THEN NULL
+           WHEN IssueMonth IN (12, 1, 2) THEN 'Winter'
            WHEN IssueMonth IN (3, 4, 5) THEN 'Spring'
            WHEN IssueMonth IN (6, 7, 8) THEN 'Summer'
-           WHEN IssueMonth IN (9, 10, 11) THEN 'Fall'
-           ELSE 'Winter'
+           WHEN IssueMonth IS NOT NULL THEN 'Fall'
          END AS Season
   FROM ticket_bin
 )"""
@@ -378,8 +412,17 @@ _RAW_TICKET_TYPES = [
 ]
 
 
-def _shape() -> str:
-    values = ", ".join(f"({i + 1}, '{n}', '{t}')" for i, (n, t) in enumerate(_RAW_TICKET_TYPES))
+# Types that inference gives the landed file: the timestamp in the session's
+# default kind, ids and codes as whole numbers.
+_INFERRED_TICKET_TYPES = [
+    ("SummonsNumber", "int"), ("PlateID", "int"), ("RegistrationState", "int"), ("IssueDate", "timestamp"),
+    ("ViolationCode", "int"), ("VehicleBodyType", "string"), ("VehicleMake", "int"), ("ViolationPrecinct", "int"),
+    ("IssuerPrecinct", "int"), ("ViolationTime", "string"),
+]
+
+
+def _shape(types) -> str:
+    values = ", ".join(f"({i + 1}, '{n}', '{t}')" for i, (n, t) in enumerate(types))
     return (
         "SELECT CAST(c.position AS INTEGER) AS position, c.column_name, c.data_type, t.n_rows, "
         f"CAST({len(_RAW_TICKET_TYPES)} AS INTEGER) AS n_columns "
@@ -402,7 +445,8 @@ _TOP3_BIN = _top("ViolationCode", 3, source="ticket_bin", count="TicketCount")
 
 TICKET_ORACLE = {
     "k01_ingest_renamed": "WITH " + TICKETS_CTE + "\nSELECT * FROM tickets",
-    "k02_shape": _shape(),
+    "k01b_ingest_inferred": _shape(_INFERRED_TICKET_TYPES),
+    "k02_shape": _shape(_RAW_TICKET_TYPES),
     "k03_time_parts": _ev(
         "SELECT SummonsNumber, IssueYear, IssueMonth, IssueDt, ViolationHour, ViolationMinute, ViolationPeriod "
         "FROM ticket_time"
@@ -421,6 +465,10 @@ TICKET_ORACLE = {
     "k06b_distinct_after_recode": _ev(
         "SELECT count(DISTINCT RegistrationState) AS CountStates FROM recoded", _RECODED
     ),
+    "k06c_recoded_rows": _ev(
+        f"SELECT SummonsNumber, CASE WHEN RegistrationState IN ('99') THEN {_MODE} ELSE RegistrationState END "
+        "AS RegistrationState FROM ticket_time"
+    ),
     "k07a_top_codes": _ev(_top("ViolationCode", 5)),
     "k07b_top_body_types": _ev(_top("VehicleBodyType", 5)),
     "k07c_top_makes": _ev(_top("VehicleMake", 5)),
@@ -449,6 +497,7 @@ TICKET_ORACLE = {
         "SELECT SummonsNumber, ViolationHour, ViolationPeriod, TimeOfDay FROM ticket_bin", BIN_CTE
     ),
     "k17_top_codes_per_bin": _ev(_ranked("TimeOfDay", "ViolationCode", "ticket_bin"), BIN_CTE),
+    "k17b_top_codes_per_bin_sql": _ev(_ranked("TimeOfDay", "ViolationCode", "ticket_bin"), BIN_CTE),
     "k18_top_codes": _ev(_TOP3_BIN, BIN_CTE),
     "k19_top_bins_per_top_code": _ev(
         _ranked(
@@ -460,6 +509,7 @@ TICKET_ORACLE = {
     ),
     "k20_month_frequency": _ship('SELECT IssueMonth, count(*) AS "count" FROM ticket_time GROUP BY IssueMonth'),
     "k21_season_bin": _ship("SELECT SummonsNumber, IssueMonth, Season FROM ticket_season", BIN_CTE, SEASON_CTE),
+    "k21b_season_frequency": _ship('SELECT Season, count(*) AS "count" FROM ticket_season GROUP BY Season', BIN_CTE, SEASON_CTE),
     "k22_top_codes_per_season": _ship(_ranked("Season", "ViolationCode", "ticket_season"), BIN_CTE, SEASON_CTE),
     "k23_revenue_estimate": _ev(
         "SELECT t3.ViolationCode, t3.TicketCount, f.FineAmount, t3.TicketCount * f.FineAmount AS TotalRevenue "

@@ -11,6 +11,9 @@ results are lazy DataFrames; nothing is collected.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass, replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,21 +21,27 @@ from tallyframe.functions.bins import season, time_of_day
 from tallyframe.functions.clock import clock_hour, clock_minute, clock_period, valid_clock
 from tallyframe.operators import aggregate as agg
 from tallyframe.operators import profile, quality, rank
-from tallyframe.operators.joins import bounded_broadcast
-from tallyframe.operators.recode import recoded_frequency
-from tallyframe.plans.bindings import BOUND_FINE_CODES, bound_fines, per_session, tickets, tickets_by_shipment
+from tallyframe.operators.recode import recode_to_mode, recoded_frequency
+from tallyframe.plans.bindings import bound_fines, tickets, tickets_by_shipment
 from tallyframe.sources import delimited, tables
 from tallyframe.sources.schema import TICKET_RAW_SCHEMA
 
-# The sentinel entries of the original data.
-STATE_SENTINELS = ("99",)
-PRECINCT_SENTINELS = (0,)
-# Parameters of the top-N questions.
-TOP_FIVE = 5
-TOP_THREE = 3
-# Codes whose precinct mix is followed (the original follows 46 and 14;
-# bound codes run 0-19, so 46 maps to 46 mod 20 = 6).
-FOLLOWED_CODES = (6, 14)
+
+@dataclass(frozen=True)
+class TicketRules:
+    """Parameters of the ticket questions."""
+
+    followed_codes: tuple[int, ...]
+    state_sentinels: tuple[str, ...]
+    precinct_sentinels: tuple[int, ...]
+    top_five: int = 5
+    top_three: int = 3
+
+
+# The parameters of the original questions.
+REFERENCE_TICKET_RULES = TicketRules(followed_codes=(46, 14), state_sentinels=("99",), precinct_sentinels=(0,))
+# Bound codes run 0-19, so 46 maps to 46 mod 20 = 6.
+BOUND_TICKET_RULES = replace(REFERENCE_TICKET_RULES, followed_codes=(6, 14))
 
 
 def derive_ticket_time(df: DataFrame) -> DataFrame:
@@ -62,17 +71,14 @@ def with_season(df: DataFrame) -> DataFrame:
     return df.withColumn("Season", season("IssueMonth"))
 
 
-@per_session
 def _time(spark: SparkSession, folder: str) -> DataFrame:
     return derive_ticket_time(tickets(spark, folder))
 
 
-@per_session
 def _binned(spark: SparkSession, folder: str) -> DataFrame:
     return with_time_of_day(valid_time(_time(spark, folder)))
 
 
-@per_session
 def _seasonal(spark: SparkSession, folder: str) -> DataFrame:
     return with_season(with_time_of_day(valid_time(derive_ticket_time(tickets_by_shipment(spark, folder)))))
 
@@ -87,6 +93,14 @@ def ingest_renamed(tickets_spaced: DataFrame, path: str) -> DataFrame:
     return delimited.normalise_names(delimited.read_delimited(tickets_spaced.sparkSession, path, TICKET_RAW_SCHEMA))
 
 
+def k01b_ingest_inferred(spark, folder):
+    """Names, inferred types and size of the landed file."""
+    spaced = tickets(spark, folder).toDF(*[f.name for f in TICKET_RAW_SCHEMA.fields])
+    _, path = tables.table_location(spark, "ticket_inferred")
+    delimited.write_delimited(spaced, path)
+    return shape(delimited.normalise_names(delimited.read_inferred(spark, path)))
+
+
 def k01_ingest_renamed(spark, folder):
     spaced = tickets(spark, folder).toDF(*[f.name for f in TICKET_RAW_SCHEMA.fields])
     _, path = tables.table_location(spark, "ticket_landing")
@@ -97,79 +111,89 @@ def shape(raw: DataFrame) -> DataFrame:
     return profile.describe_shape(raw)
 
 
+def k02_shape(spark, folder):
+    return shape(tickets(spark, folder))
+
+
 # ---- counts over the timed rows ------------------------------------------------
 # Each takes the tickets with their time parts (``derive_ticket_time``).
 
 
-def time_parts(timed: DataFrame) -> DataFrame:
+def time_parts(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return timed.select(
         "SummonsNumber", "IssueYear", "IssueMonth", "IssueDt", "ViolationHour", "ViolationMinute", "ViolationPeriod"
     )
 
 
-def distinct_summons(timed: DataFrame) -> DataFrame:
+def distinct_summons(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return agg.distinct_count(timed, "SummonsNumber", "CountSummons")
 
 
-def distinct_states(timed: DataFrame) -> DataFrame:
+def distinct_states(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return agg.distinct_count(timed, "RegistrationState", "CountStates")
 
 
-def state_frequency(timed: DataFrame) -> DataFrame:
+def state_frequency(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return agg.frequency(timed, "RegistrationState", order=True)
 
 
-def state_frequency_recoded(timed: DataFrame) -> DataFrame:
-    counts = recoded_frequency(timed, "RegistrationState", STATE_SENTINELS)
+def state_frequency_recoded(timed: DataFrame, rules: TicketRules) -> DataFrame:
+    counts = recoded_frequency(timed, "RegistrationState", rules.state_sentinels)
     return counts.orderBy(F.col("count").desc(), F.col("RegistrationState").asc())
 
 
-def distinct_states_recoded(timed: DataFrame) -> DataFrame:
-    counts = recoded_frequency(timed, "RegistrationState", STATE_SENTINELS)
+def distinct_states_recoded(timed: DataFrame, rules: TicketRules) -> DataFrame:
+    counts = recoded_frequency(timed, "RegistrationState", rules.state_sentinels)
     # Non-NULL values with rows; reading the counts keeps this branch's
     # aggregation identical to the mode's, so they share one exchange.
     present = F.when(F.col("count") > 0, F.col("RegistrationState"))
     return counts.agg(F.count(present).alias("CountStates"))
 
 
-def _top(key: str, n: int, exclude=None):
-    def analysis(timed: DataFrame) -> DataFrame:
-        return agg.top_n(timed, key, n, exclude=exclude)
+def _top(key: str, size: str, valid_only: bool = False):
+    def analysis(timed: DataFrame, rules: TicketRules) -> DataFrame:
+        exclude = rules.precinct_sentinels if valid_only else None
+        return agg.top_n(timed, key, getattr(rules, size), exclude=exclude)
 
     return analysis
 
 
-def code_mix_in_top_precincts(timed: DataFrame) -> DataFrame:
-    return rank.mix_within_top(timed, "IssuerPrecinct", "ViolationCode", TOP_THREE, exclude=PRECINCT_SENTINELS)
+def state_recoded_rows(timed: DataFrame, rules: TicketRules) -> DataFrame:
+    """The recode on the rows themselves."""
+    return recode_to_mode(timed.select("SummonsNumber", "RegistrationState"), "RegistrationState", rules.state_sentinels)
 
 
-def code_mix_filtered(timed: DataFrame) -> DataFrame:
+def code_mix_in_top_precincts(timed: DataFrame, rules: TicketRules) -> DataFrame:
+    return rank.mix_within_top(timed, "IssuerPrecinct", "ViolationCode", rules.top_three, exclude=rules.precinct_sentinels)
+
+
+def code_mix_filtered(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return rank.mix_within_top(
-        timed, "IssuerPrecinct", "ViolationCode", TOP_THREE, exclude=PRECINCT_SENTINELS, items=FOLLOWED_CODES
+        timed, "IssuerPrecinct", "ViolationCode", rules.top_three, exclude=rules.precinct_sentinels, items=rules.followed_codes
     )
 
 
-def nulls(timed: DataFrame) -> DataFrame:
+def nulls(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return profile.null_profile(timed)
 
 
-def period_frequency(timed: DataFrame) -> DataFrame:
+def period_frequency(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return agg.frequency(timed, "ViolationPeriod")
 
 
-def hour_frequency(timed: DataFrame) -> DataFrame:
+def hour_frequency(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return agg.frequency(timed, "ViolationHour", where=F.col("ViolationPeriod").isin("AM", "PM"))
 
 
-def hour_frequency_min10(timed: DataFrame) -> DataFrame:
+def hour_frequency_min10(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return agg.frequency(timed, "ViolationHour", where=F.col("ViolationPeriod").isin("AM", "PM"), min_count=10)
 
 
-def valid_time_counts(timed: DataFrame) -> DataFrame:
+def valid_time_counts(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return quality.reconcile(timed, [valid_clock("ViolationHour", "ViolationPeriod")])
 
 
-def month_frequency(timed: DataFrame) -> DataFrame:
+def month_frequency(timed: DataFrame, rules: TicketRules) -> DataFrame:
     return agg.frequency(timed, "IssueMonth")
 
 
@@ -180,13 +204,14 @@ TIME_ANALYSES = {
     "k05_state_frequency": state_frequency,
     "k06_recode_to_mode": state_frequency_recoded,
     "k06b_distinct_after_recode": distinct_states_recoded,
-    "k07a_top_codes": _top("ViolationCode", TOP_FIVE),
-    "k07b_top_body_types": _top("VehicleBodyType", TOP_FIVE),
-    "k07c_top_makes": _top("VehicleMake", TOP_FIVE),
-    "k07d_top_violation_precincts": _top("ViolationPrecinct", TOP_FIVE),
-    "k08a_top_violation_precincts_valid": _top("ViolationPrecinct", TOP_FIVE, PRECINCT_SENTINELS),
-    "k08b_top_issuer_precincts_valid": _top("IssuerPrecinct", TOP_FIVE, PRECINCT_SENTINELS),
-    "k09_top_issuer_precincts": _top("IssuerPrecinct", TOP_THREE, PRECINCT_SENTINELS),
+    "k06c_recoded_rows": state_recoded_rows,
+    "k07a_top_codes": _top("ViolationCode", "top_five"),
+    "k07b_top_body_types": _top("VehicleBodyType", "top_five"),
+    "k07c_top_makes": _top("VehicleMake", "top_five"),
+    "k07d_top_violation_precincts": _top("ViolationPrecinct", "top_five"),
+    "k08a_top_violation_precincts_valid": _top("ViolationPrecinct", "top_five", valid_only=True),
+    "k08b_top_issuer_precincts_valid": _top("IssuerPrecinct", "top_five", valid_only=True),
+    "k09_top_issuer_precincts": _top("IssuerPrecinct", "top_three", valid_only=True),
     "k10_code_mix_in_top_precincts": code_mix_in_top_precincts,
     "k11_code_mix_filtered": code_mix_filtered,
     "k12_null_profile": nulls,
@@ -201,19 +226,19 @@ TIME_ANALYSES = {
 # ---- time of day (valid clock codes only) ----------------------------------------
 
 
-def time_of_day_rows(binned: DataFrame) -> DataFrame:
+def time_of_day_rows(binned: DataFrame, rules: TicketRules) -> DataFrame:
     return binned.select("SummonsNumber", "ViolationHour", "ViolationPeriod", "TimeOfDay")
 
 
-def top_codes_per_bin(binned: DataFrame) -> DataFrame:
-    return rank.top_k_per_group(binned, "TimeOfDay", "ViolationCode", TOP_THREE)
+def top_codes_per_bin(binned: DataFrame, rules: TicketRules) -> DataFrame:
+    return rank.top_k_per_group(binned, "TimeOfDay", "ViolationCode", rules.top_three)
 
 
-def top_codes(binned: DataFrame) -> DataFrame:
-    return agg.top_n(binned, "ViolationCode", TOP_THREE, count_col="TicketCount")
+def top_codes(binned: DataFrame, rules: TicketRules) -> DataFrame:
+    return agg.top_n(binned, "ViolationCode", rules.top_three, count_col="TicketCount")
 
 
-def top_bins_per_top_code(binned: DataFrame) -> DataFrame:
+def top_bins_per_top_code(binned: DataFrame, rules: TicketRules) -> DataFrame:
     """Top bins of the most frequent codes, from one aggregation.
 
     Code totals and the top codes are summed from the (code, bin) counts.
@@ -225,10 +250,10 @@ def top_bins_per_top_code(binned: DataFrame) -> DataFrame:
     """
     pairs = binned.groupBy("ViolationCode", "TimeOfDay").agg(F.count(F.lit(1)).alias("TicketCount"))
     totals = pairs.groupBy("ViolationCode").agg(F.sum("TicketCount").alias("_total"))
-    top = totals.orderBy(F.col("_total").desc(), F.col("ViolationCode").asc()).limit(TOP_THREE)
+    top = totals.orderBy(F.col("_total").desc(), F.col("ViolationCode").asc()).limit(rules.top_three)
     chosen_codes = top.agg(F.collect_list("ViolationCode")).scalar()
     keep = F.when(F.col("TicketCount") > 0, F.array_contains(chosen_codes, F.col("ViolationCode")))
-    return rank.rank_counted(pairs.filter(keep), "ViolationCode", "TicketCount", TOP_THREE)
+    return rank.rank_counted(pairs.filter(keep), "ViolationCode", "TicketCount", rules.top_three)
 
 
 BIN_ANALYSES = {
@@ -242,16 +267,21 @@ BIN_ANALYSES = {
 # ---- seasons -------------------------------------------------------------------
 
 
-def season_rows(seasonal: DataFrame) -> DataFrame:
+def season_rows(seasonal: DataFrame, rules: TicketRules) -> DataFrame:
     return seasonal.select("SummonsNumber", "IssueMonth", "Season")
 
 
-def top_codes_per_season(seasonal: DataFrame) -> DataFrame:
-    return rank.top_k_per_group(seasonal, "Season", "ViolationCode", TOP_THREE)
+def season_frequency(seasonal: DataFrame, rules: TicketRules) -> DataFrame:
+    return agg.frequency(seasonal, "Season")
+
+
+def top_codes_per_season(seasonal: DataFrame, rules: TicketRules) -> DataFrame:
+    return rank.top_k_per_group(seasonal, "Season", "ViolationCode", rules.top_three)
 
 
 SEASON_ANALYSES = {
     "k21_season_bin": season_rows,
+    "k21b_season_frequency": season_frequency,
     "k22_top_codes_per_season": top_codes_per_season,
 }
 
@@ -259,10 +289,10 @@ SEASON_ANALYSES = {
 # ---- revenue -------------------------------------------------------------------
 
 
-def revenue(top: DataFrame, fines: DataFrame, fine_rows: int) -> DataFrame:
-    """Ticket count times fine for each code of ``top`` (the fine table has
-    ``fine_rows`` rows and is broadcast only within the size rule)."""
-    joined = top.join(bounded_broadcast(fines, fine_rows), "ViolationCode")
+def revenue(top: DataFrame, fines: DataFrame) -> DataFrame:
+    """Ticket count times fine for each code of ``top``. The planner knows
+    the size of a literal or stored fine table and picks the join by it."""
+    joined = top.join(fines, "ViolationCode")
     return joined.select(
         "ViolationCode",
         "TicketCount",
@@ -272,7 +302,7 @@ def revenue(top: DataFrame, fines: DataFrame, fine_rows: int) -> DataFrame:
 
 
 def ticket_report(
-    raw: DataFrame, fines: DataFrame | None = None, fine_rows: int | None = None
+    raw: DataFrame, fines: DataFrame | None = None, rules: TicketRules = REFERENCE_TICKET_RULES
 ) -> dict[str, DataFrame]:
     """Every ticket analysis for a ticket table whose names are free of
     spaces (``normalise_names``): shape, time parts, counts, top lists,
@@ -282,26 +312,44 @@ def ticket_report(
     binned = with_time_of_day(valid_time(timed))
     seasonal = with_season(binned)
     report = {"k02_shape": shape(raw)}
-    report.update({k: fn(timed) for k, fn in TIME_ANALYSES.items()})
-    report.update({k: fn(binned) for k, fn in BIN_ANALYSES.items()})
-    report.update({k: fn(seasonal) for k, fn in SEASON_ANALYSES.items()})
+    report.update({k: fn(timed, rules) for k, fn in TIME_ANALYSES.items()})
+    report.update({k: fn(binned, rules) for k, fn in BIN_ANALYSES.items()})
+    report.update({k: fn(seasonal, rules) for k, fn in SEASON_ANALYSES.items()})
     if fines is not None:
-        report["k23_revenue_estimate"] = revenue(top_codes(binned), fines, fine_rows)
+        report["k23_revenue_estimate"] = revenue(top_codes(binned, rules), fines)
     return report
 
 
 def k23_revenue_estimate(spark, folder):
-    return revenue(top_codes(_binned(spark, folder)), bound_fines(spark), len(BOUND_FINE_CODES))
+    return revenue(top_codes(_binned(spark, folder), BOUND_TICKET_RULES), bound_fines(spark))
+
+
+# SQL text over a registered view; {view} is its name.
+TOP_CODES_PER_BIN_SQL = """
+    SELECT TimeOfDay, ViolationCode, TicketCount, Rank
+    FROM (SELECT TimeOfDay, ViolationCode, TicketCount,
+                 dense_rank() OVER (PARTITION BY TimeOfDay ORDER BY TicketCount DESC) AS Rank
+          FROM (SELECT TimeOfDay, ViolationCode, count(*) AS TicketCount
+                FROM {view} GROUP BY TimeOfDay, ViolationCode))
+    WHERE Rank <= 3
+"""
+
+
+def k17b_top_codes_per_bin_sql(spark, folder):
+    view = f"tickets_bin_{uuid.uuid4().hex[:12]}"
+    _binned(spark, folder).createOrReplaceTempView(view)
+    out = spark.sql(TOP_CODES_PER_BIN_SQL.format(view=view))
+    spark.catalog.dropTempView(view)  # the analysed query no longer needs it
+    return out
 
 
-@per_session
 def _shipment_time(spark: SparkSession, folder: str) -> DataFrame:
     return derive_ticket_time(tickets_by_shipment(spark, folder))
 
 
 def _bound(key: str, analysis, stage):
     def query(spark, folder):
-        return analysis(stage(spark, folder))
+        return analysis(stage(spark, folder), BOUND_TICKET_RULES)
 
     query.__name__ = key
     return query
@@ -310,9 +358,11 @@ def _bound(key: str, analysis, stage):
 # Months and seasons run on the shipment binding (events cover one month).
 QUERIES = {
     "k01_ingest_renamed": k01_ingest_renamed,
-    "k02_shape": _bound("k02_shape", shape, tickets),
+    "k01b_ingest_inferred": k01b_ingest_inferred,
+    "k02_shape": k02_shape,
     **{k: _bound(k, fn, _time) for k, fn in TIME_ANALYSES.items() if k != "k20_month_frequency"},
     **{k: _bound(k, fn, _binned) for k, fn in BIN_ANALYSES.items()},
+    "k17b_top_codes_per_bin_sql": k17b_top_codes_per_bin_sql,
     "k20_month_frequency": _bound("k20_month_frequency", month_frequency, _shipment_time),
     **{k: _bound(k, fn, _seasonal) for k, fn in SEASON_ANALYSES.items()},
     "k23_revenue_estimate": k23_revenue_estimate,

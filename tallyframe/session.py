@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,28 +60,28 @@ def session_key(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written tables.
 
-    Read from ``spark.checkpoint.dir`` (or a checkpoint folder already set
-    on the context). Only when the session names none -- local runs and
-    tests -- a fresh scratch folder is created once per application and
-    installed as the checkpoint folder.
+    Read from ``spark.checkpoint.dir`` or, failing that, the checkpoint
+    folder set on the context. A session on a local master that names
+    neither gets a scratch folder of its own; any other master must name a
+    folder that all machines share, and raises if it does not.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - remote sessions expose no context
-        sc = None
-    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc else spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        return configured.rstrip("/")
+    sc = spark.sparkContext
     app = session_key(spark)
-    if app in _LOCAL_FALLBACK:
+    set_later = sc.getCheckpointDir()
+    if app in _LOCAL_FALLBACK and (set_later or "").removeprefix("file:").startswith(_LOCAL_FALLBACK[app]):
         return _LOCAL_FALLBACK[app]
-    current = sc.getCheckpointDir() if sc else None
-    if current:
-        return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tallyframe-")
-    if sc:
-        sc.setCheckpointDir(os.path.join(local, "checkpoints"))
-    _LOCAL_FALLBACK[app] = local
-    return local
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or set_later
+    if configured:
+        return configured.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="tallyframe-")
+    atexit.register(shutil.rmtree, _LOCAL_FALLBACK[app], ignore_errors=True)
+    sc.setCheckpointDir(os.path.join(_LOCAL_FALLBACK[app], "checkpoints"))
+    return _LOCAL_FALLBACK[app]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder written by this library, wherever it is stored."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

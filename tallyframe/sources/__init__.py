@@ -1,6 +1,7 @@
 """Sources and sinks: delimited landing files, parquet inputs, ORC tables."""
 
 from tallyframe.sources.delimited import (
+    malformed_rows,
     normalise_names,
     read_delimited,
     read_inferred,
@@ -8,6 +9,7 @@ from tallyframe.sources.delimited import (
 )
 from tallyframe.sources.schema import TICKET_RAW_SCHEMA, TRIP_RAW_SCHEMA, subset, without_spaces
 from tallyframe.sources.tables import (
+    check_table,
     column_statistics,
     create_table_if_absent,
     drop_table,
@@ -22,12 +24,14 @@ from tallyframe.sources.tables import (
 __all__ = [
     "TICKET_RAW_SCHEMA",
     "TRIP_RAW_SCHEMA",
+    "check_table",
     "column_statistics",
     "create_table_if_absent",
     "drop_table",
     "gather_statistics",
     "literal_table",
     "load_table",
+    "malformed_rows",
     "normalise_names",
     "overwrite_partitions",
     "read_delimited",

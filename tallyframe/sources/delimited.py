@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -31,6 +32,25 @@ def read_delimited(
     )
 
 
+def malformed_rows(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """One row: lines in all, and lines with a cell that does not fit its
+    declared type (``read_delimited`` turns such cells into NULL)."""
+    marked = T.StructType([*schema.fields, T.StructField("_malformed", T.StringType())])
+    rows = (
+        spark.read.schema(marked)
+        .option("header", True)
+        .option("sep", sep)
+        .option("columnNameOfCorruptRecord", "_malformed")
+        .option("enforceSchema", True)
+        .csv(path)
+    )
+    # Every cell is looked at: a pruned scan would not parse the others.
+    read = F.length(F.concat_ws("", *[F.col(f"`{f.name}`").cast("string") for f in schema.fields])) >= 0
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("_malformed").isNotNull() & read).alias("n_malformed")
+    )
+
+
 def read_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Scan delimited text with header and inferred types.
 

@@ -57,9 +57,22 @@ def create_table_if_absent(
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
+    """Take a table out of the catalog; an external table's files stay."""
     spark.sql(f"DROP TABLE IF EXISTS `{table}`")
 
 
+def check_table(spark: SparkSession, table: str, schema: T.StructType, location: str) -> None:
+    """Raise if the table exists with other columns or at another place."""
+    have = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields]
+    want = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    if have != want:
+        raise ValueError(f"table {table} has columns {have}, not {want}")
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{table}`").where("col_name = 'Location'").collect()
+    plain = lambda path: path.removeprefix("file:").rstrip("/").replace("//", "/")
+    if rows and plain(rows[0].data_type) != plain(location):
+        raise ValueError(f"table {table} is at {rows[0].data_type}, not {location}")
+
+
 def overwrite_partitions(df: DataFrame, table: str, partition_by: str, bucket_by: str) -> None:
     """``INSERT OVERWRITE ... PARTITION (p)`` with dynamic partitions.
 
@@ -101,6 +114,7 @@ def load_table(
     part_field = [f for f in df.schema.fields if f.name == partition_by]
     schema = T.StructType(data_fields + part_field)
     create_table_if_absent(spark, table, schema, location, partition_by, bucket_by, buckets, fmt, compression)
+    check_table(spark, table, schema, location)
     overwrite_partitions(df, table, partition_by, bucket_by)
     if analyze:
         gather_statistics(spark, table)

@@ -222,3 +222,38 @@ def test_recoded_frequency_equals_row_recode(spark, states):
     rows = _rows(frequency(recode_to_mode(df, "RegistrationState", ["99"]), "RegistrationState"),
                  "RegistrationState", "count")
     assert one_pass == rows
+
+
+def test_values_of_any_size_keep_their_place_in_a_mean(spark):
+    from tallyframe.operators import avg_by
+
+    df = spark.createDataFrame([(1, 1.0), (1, 1e27), (2, 1.005)], "k int, v double")
+    got = {r.k: r.avg_v for r in avg_by(df, "v", "k").collect()}
+    assert got == {1: (1.0 + 1e27) / 2, 2: 1.01}
+
+
+def test_share_of_total_takes_a_column_key(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (3,)], "n int")
+    got = share_of_total(df, F.col("n") % 2)
+    assert sorted(r[1] for r in got.collect()) == [25.0, 75.0]
+    labelled = share_of_total(df, F.col("n"), labels={1: "one"}, label_default="other")
+    assert sorted(tuple(r) for r in labelled.collect()) == [("one", 1, 50.0), ("other", 2, 25.0), ("other", 3, 25.0)]
+
+
+def test_exact_percentiles_do_not_depend_on_the_partitioning(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select("l_extendedprice")
+    values = sorted(r[0] for r in df.collect())
+    assert len(values) >= 50_000
+    want = [values[-(-len(values) * k // 4) - 1] for k in (1, 2, 3)]
+    for frame in (df, df.repartition(7), df.coalesce(1)):
+        assert list(mean_vs_percentiles(frame, "l_extendedprice").first())[1:] == want
+
+
+def test_impossible_parameters_raise(spark):
+    from tallyframe.operators import any_negative_by
+
+    df = spark.range(3)
+    with pytest.raises(ValueError, match="rsd"):
+        distinct_count(df, "id", "n", approx=True, rsd=1e-6)
+    with pytest.raises(ValueError, match="missing"):
+        any_negative_by(df, ["id", "no_such"], "id")

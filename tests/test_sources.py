@@ -133,3 +133,35 @@ def test_catalog_statistics_match_profile(spark):
     assert stats["v"].min == "0.0" and stats["v"].max == "6.0" and stats["v"].num_nulls == "0"
     assert int(stats["v"].distinct_count) == prof["v"].distinct_count == 7
     assert int(stats["s"].max_col_len) == 1
+
+
+def test_malformed_cells_are_counted(spark, tmp_path):
+    from tallyframe.sources import malformed_rows
+
+    path = str(tmp_path / "bad" / "part-0.csv")
+    _write(path, 'id,name,amount\n1,"Smith, J",2.5\n2,plain,oops\nx,y,1\n3,x,4\n')
+    assert tuple(malformed_rows(spark, path, SCHEMA).first()) == (4, 2)
+
+
+def test_a_table_of_another_shape_or_place_is_refused(spark):
+    df = spark.createDataFrame([(1, dt.date(2017, 11, 1), 11)], "id int, date date, month int")
+    name, path = table_location(spark, "checked")
+    load_table(df, name, path, partition_by="month", bucket_by="date", buckets=2)
+    with pytest.raises(ValueError, match="columns"):
+        load_table(df.withColumnRenamed("id", "other"), name, path, partition_by="month", bucket_by="date", buckets=2)
+    with pytest.raises(ValueError, match="is at"):
+        load_table(df, name, f"{path}_elsewhere", partition_by="month", bucket_by="date", buckets=2)
+    drop_table(spark, name)
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tallyframe.session import shared_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    sc = SimpleNamespace(master="yarn", applicationId="a", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(SimpleNamespace(sparkContext=sc))
+    sc.getCheckpointDir = lambda: "hdfs:///shared/x/"
+    assert shared_dir(SimpleNamespace(sparkContext=sc)) == "hdfs:///shared/x"
