@@ -84,7 +84,7 @@ def summarise(plan: str) -> dict[str, object]:
 
 
 def main() -> None:
-    from __spark_entry__ import queries
+    from tallyframe.plans import QUERIES
     from tallyframe.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -98,7 +98,7 @@ def main() -> None:
     print("and non-trivial filters pushed into the scans.\n")
     print("| query | scans | shuffles | broadcasts | reused | sort agg | partial top-k | top-N | pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for key, fn in queries().items():
+    for key, fn in QUERIES.items():
         s = summarise(_final_plan(fn(spark, sf_dir)))
         pushed = "; ".join(f"`{f}`" for f in s["pushed"]).replace("|", "/") or "-"
         print(
