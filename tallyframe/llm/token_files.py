@@ -12,12 +12,12 @@ holds a run of the order. ``part`` numbers the runs and ``local_start`` is
 the position of a document's first id within its run; the start in the whole
 corpus is that plus the sizes of the runs before, one number per file.
 
-Encoding goes word by word where that is sure to equal the library's result:
-its normaliser turns white space into a blank and its splitter never joins
-across one, so the text between blanks is encoded on its own and remembered
-(up to MEMO_WORDS). Words of Latin letters are taken apart by the splitter's
-own pattern, which leaves far fewer different pieces for the library; all
-others go to it whole.
+Encoding goes piece by piece where that is sure to equal the library's
+result: texts of Latin letters are taken apart by the splitter's own pattern
+and each different piece goes to the library once (up to MEMO_PIECES are
+remembered). In other texts the words between blanks are, because the
+normaliser turns white space into a blank and the splitter never joins across
+one; the words that are not Latin go to the library whole.
 
 Defined results: a null text counts as empty and becomes the end id alone; a
 null id sorts first; rows that share an id are ordered by their text;
@@ -28,6 +28,8 @@ left out.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -38,16 +40,34 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import prepare
 
-MEMO_WORDS = 400_000
+MEMO_PIECES = 700_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 # The splitter pattern that the fast path reproduces (a fixed value of the vocabulary file).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# The normaliser and splitter under which encoding word by word is exact.
+# The normaliser and word ends under which encoding piece by piece is exact.
 NORMALISERS = ["NFC", "Replace", "Lowercase"]
+END_OF_WORD = "</w>"
 
 
-class WordEncoder:
+def latin_splitter():
+    """SPLIT for text below U+0250: no alternative starts like another one,
+    so they may be tried in another order, and the classes are spelled out."""
+    kind = {c: unicodedata.category(c)[0] for c in map(chr, range(0x250))}
+    letters = re.escape("".join(c for c in kind if kind[c] == "L"))
+    numbers = re.escape("".join(c for c in kind if kind[c] == "N"))
+    # White space as the vocabulary's pattern has it: without the separators U+001C to U+001F.
+    blank = "\\t-\\r \x85\xa0"
+    return re.compile(f"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{blank}{letters}{numbers}]+").findall
+
+
+def is_latin(text: str) -> bool:
+    """All characters below U+0250: there, composition and lower case do not
+    depend on neighbours, in this library or in Python."""
+    return text.isascii() or int(np.frombuffer(text.encode("utf-16-le", "surrogatepass"), "<u2").max()) < 0x250
+
+
+class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, vocabulary: str):
@@ -55,60 +75,70 @@ class WordEncoder:
 
         # One Spark task is one core: the library must not start threads of its own.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(vocabulary)
         self.library.encode_special_tokens = True
         parts = json.loads(vocabulary)
-        self.by_word = (
+        self.by_piece = (
             [x["type"] for x in (parts["normalizer"] or {}).get("normalizers", [])] == NORMALISERS
             and parts["pre_tokenizer"]["pretokenizers"][0].get("pattern") == {"Regex": SPLIT}
+            and parts["model"].get("end_of_word_suffix") == END_OF_WORD
         )
-        self.split = regex.compile(SPLIT).findall
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.split = latin_splitter()
+        self.memo: dict[str, bytes] = {}
+        self.ends = np.zeros(1 + max(self.library.get_vocab().values()), bool)
+        for piece, i in self.library.get_vocab().items():
+            self.ends[i] = piece.endswith(END_OF_WORD)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, text: str) -> list[str]:
+        if is_latin(text):
+            return self.split(text.lower())
+        out = []
+        for word in text.replace("\n", " ").split(" "):
+            if is_latin(word):
+                out += self.split(word.lower())
+            else:
+                out.append(word)
+        return out
+
     def _learn(self, new: set[str]) -> None:
-        if len(self.words) + len(new) > MEMO_WORDS:
-            self.words.clear()
-        if len(self.pieces) > MEMO_WORDS:
-            self.pieces.clear()
-        # Below U+0250 composed letters and lower case do not depend on their
-        # neighbours, in this library or in Python.
-        latin = {w: self.split(w.lower()) for w in new if w.isascii() or max(w) < "ɐ"}
-        pieces = {p for split in latin.values() for p in split if p not in self.pieces}
-        whole = [w for w in new if w not in latin]
-        todo = [*pieces, *whole]
-        for word, ids in zip(todo, self._encode(todo), strict=True):
-            (self.words if word not in pieces else self.pieces)[word] = ids
-        for word, split in latin.items():
-            self.words[word] = b"".join([self.pieces[p] for p in split])
+        """Latin pieces are encoded in one go: the last id of each is the
+        only one that ends a word."""
+        latin = [p for p in new if is_latin(p)]
+        for at in range(0, len(latin), 5_000):
+            some = latin[at : at + 5_000]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            data, cuts = ids.tobytes(), (4 * (np.nonzero(self.ends[ids])[0] + 1)).tolist()
+            self.memo.update(zip(some, [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
+        other = [p for p in new if p not in self.memo]
+        self.memo.update(zip(other, self._whole(other), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self._encode(texts)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split) - self.words.keys()
-        if new and len(self.words) + len(new) > MEMO_WORDS:
+        if not self.by_piece:
+            return self._whole(texts)
+        split = [self._pieces(t) for t in texts]
+        new = set().union(*split).difference(self.memo)
+        if len(self.memo) + len(new) > MEMO_PIECES:
+            self.memo.clear()
             new = set().union(*split)
         if new:
             self._learn(new)
-        known = self.words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        known = self.memo.__getitem__
+        return [b"".join(map(known, pieces)) for pieces in split]
 
 
-_ENCODERS: dict[int, WordEncoder] = {}
+_ENCODERS: dict[int, PieceEncoder] = {}
 
 
-def encoder_for(vocabulary: str) -> WordEncoder:
+def encoder_for(vocabulary: str) -> PieceEncoder:
     """One encoder per vocabulary and Python worker."""
     key = hash(vocabulary)
     if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(vocabulary)
+        _ENCODERS[key] = PieceEncoder(vocabulary)
     return _ENCODERS[key]
 
 

@@ -26,16 +26,16 @@ def ids_of(library, text):
     return library.encode(text or "", add_special_tokens=False).ids
 
 
-def test_word_by_word_equals_the_library(library, documents, monkeypatch):
+def test_word_by_piece_equals_the_library(library, documents, monkeypatch):
     with open(PATH, encoding="utf-8") as file:
-        encoder = tf.WordEncoder(file.read())
-    assert encoder.by_word
+        encoder = tf.PieceEncoder(file.read())
+    assert encoder.by_piece
     random.seed(4)
     odd = " aAbé\n\tÉ'sİıß́İΣσςǅK1９²½_-‍\x1c "
     texts = [r.text for r in documents.collect()]
     texts += ["".join(random.choices(odd, k=50)) for _ in range(500)] + ["", "<|endoftext|> x", "ΣΑΣ a", "日本語 🙂", "x" * 30_000]
-    for size in (tf.MEMO_WORDS, 30):
-        monkeypatch.setattr(tf, "MEMO_WORDS", size)
+    for size in (tf.MEMO_PIECES, 30):
+        monkeypatch.setattr(tf, "MEMO_PIECES", size)
         for at in range(0, len(texts), 50):
             got = encoder.encode(texts[at : at + 50])
             for text, data in zip(texts[at : at + 50], got, strict=True):
@@ -45,8 +45,8 @@ def test_word_by_word_equals_the_library(library, documents, monkeypatch):
 def test_another_vocabulary_goes_to_the_library_whole():
     path = public_tokenizers.path("byte_bpe_50k.json")
     with open(path, encoding="utf-8") as file:
-        encoder = tf.WordEncoder(file.read())
-    assert not encoder.by_word
+        encoder = tf.PieceEncoder(file.read())
+    assert not encoder.by_piece
     texts = ["Some text, with  blanks", ""]
     want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
@@ -102,4 +102,4 @@ def test_the_fast_path_knows_its_vocabulary():
     with open(PATH, encoding="utf-8") as file:
         parts = json.load(file)
     parts["normalizer"]["normalizers"].pop()
-    assert not tf.WordEncoder(json.dumps(parts)).by_word
+    assert not tf.PieceEncoder(json.dumps(parts)).by_piece
