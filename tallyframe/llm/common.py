@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and reread it. Unlike a
+    checkpoint its size is known to the planner, which can then broadcast it
+    where it is small instead of shuffling what it is joined with."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table; ``sf_dir`` may be any path that Spark can read."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -37,7 +37,6 @@ both), and a null id is a value like any other; other columns are ignored.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,15 +44,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import cut, prepare
-from tallyframe.session import shared_dir
+from tallyframe.llm.common import cut, prepare, written
 
 LENGTH = 200
 KGRAM = 32
 CHUNK = 1 << 20
 SHALLOW = 48  # bytes sorted by multikey quicksort before blind tries
-HOT = 20_000
-GROUP = 1_000
+# What one task sorts at once: anchors of a hash (40 bytes each) and its
+# different contexts (about 300 bytes each), some 8 MB either way.
+HOT = 200_000
+GROUP = 20_000
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 27
 _LOW = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15
@@ -337,10 +337,9 @@ def _judge(candidates: DataFrame) -> DataFrame:
     )
 
 
-def _judge_hot(candidates: DataFrame) -> DataFrame:
+def _judge_hot(hot: DataFrame) -> DataFrame:
     """The same for hot hashes: equal contexts are counted with partial
     aggregation, and the join back splits if one of them is hot itself."""
-    hot = candidates.where("hot")
     counted = cut(hot.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("one")))
     several = counted.where("n > 1").select("h", "c")
     whole = hot.join(several, ["h", "c"]).select(F.lit(WHOLE).alias("kind"), "h", "key", "place")
@@ -458,10 +457,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     candidates = _all_anchors(slim, length, bitmaps)
     judged = _judge(candidates)
     if any_hot:
-        judged = judged.unionByName(_judge_hot(candidates))
-    path = f"{shared_dir(spark)}/repeated-anchors-{uuid.uuid4().hex}"
-    judged.write.parquet(path)
-    judged = spark.read.parquet(path)
+        judged = judged.unionByName(_judge_hot(written(candidates.where("hot"), "hot-anchors")))
+    judged = written(judged, "repeated-anchors")
 
     contexts = _contexts(texts, judged.where(F.col("kind") != WHOLE))
     spans = judged.where(F.col("kind") == WHOLE).select("key", _start().alias("s"), _end().alias("e"))
