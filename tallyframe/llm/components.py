@@ -26,12 +26,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Minima are written before they are joined: then both sides of the
+        # join are plain exchanges, and a node with very many neighbours can
+        # be split.
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = (
             both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         )
         large = cut(large)
-        best = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        best = cut(large.groupBy("hi").agg(F.min("lo").alias("m")))
         small = (
             large.join(best, "hi")
             .where("lo != m")
@@ -54,6 +57,6 @@ def _fingerprint(links: DataFrame) -> tuple:
         links.agg(
             F.count(F.lit(1)),
             F.bit_xor(digest),
-            F.sum(F.pmod(digest, F.lit(1 << 31))),
+            F.sum(F.pmod(digest, F.lit(1 << 20))),
         ).first()
     )
