@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyframe.llm import byte_bpe, decontaminate, exact_dedup, quality_mil, simhash
 from tallyframe.llm.common import prepare, read_table
 from tallyframe.llm.queries import bpe_digest
-from tallyframe.session import shared_dir
+from tallyframe.session import remove_folder, shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,8 +67,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
+    done = None
     for number, (name, stage) in enumerate(STAGES, 1):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if done is not None:
+            remove_folder(spark, done)  # what the next stage has read is no longer needed
+        done = path
     return docs

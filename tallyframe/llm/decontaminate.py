@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import cut, prepare
+from tallyframe.llm.common import cut, prepare, written
 
 WINDOW = 12
 MIN_WORDS = 5
@@ -250,6 +250,6 @@ def contaminated_documents(windows: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without any window of the benchmark, columns unchanged."""
-    found = cut(contaminated_documents(contaminated_windows(docs, benchmark, id_col, text_col)))
-    flagged = found.where("id is not null").select(F.col("id").alias(id_col))
+    found = contaminated_documents(contaminated_windows(docs, benchmark, id_col, text_col))
+    flagged = written(found.where("id is not null").select(F.col("id").alias(id_col)), "contaminated")
     return docs.join(flagged, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

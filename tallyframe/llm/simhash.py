@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import cut, prepare
+from tallyframe.llm.common import cut, prepare, written
 from tallyframe.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -210,7 +210,7 @@ def drop_near_duplicates(
     """The rows that stay: of each component the one with the smallest id,
     all columns unchanged. Rows with a null id cannot be named and stay."""
     labels = cut(near_duplicates(docs, id_col, text_col, words, bits))
-    dropped = labels.where("id != component").select(F.col("id").alias(id_col)).distinct()
+    dropped = written(labels.where("id != component").select(F.col("id").alias(id_col)).distinct(), "near-copies")
     kept = docs.join(dropped, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     # Rows that share an id (repeated rows): one of them stays.
     shared = cut(labels.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))

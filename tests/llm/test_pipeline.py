@@ -54,3 +54,22 @@ def test_empty_corpus(spark, sample_dir, tmp_path):
         stage(spark, docs, sample_dir).write.parquet(f"{tmp_path}/e{k}")
         docs = spark.read.parquet(f"{tmp_path}/e{k}")
     assert docs.count() == 0
+
+
+def test_stages_on_odd_rows(spark, odd_documents, sample_dir, tmp_path):
+    """Nulls, empties, a long text, repeated rows, ties, and extra columns
+    that are called like the operators' own."""
+    from pyspark.sql import functions as F
+
+    clashing = ["id", "sha", "row", "possible", "keep_id", "component", "score", "label", "key", "hash", "window", "n", "fp", "block", "word"]
+    docs = odd_documents.withColumns({c: F.lit(c) for c in clashing}).withColumn("lang", F.lit(None).cast("string"))
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, sample_dir)
+        out.write.parquet(f"{tmp_path}/o{k}")
+        kept = spark.read.parquet(f"{tmp_path}/o{k}")
+        assert kept.count() <= docs.count()
+        if name != "byte_bpe":
+            assert kept.columns == docs.columns
+            assert kept.where("component != 'component'").count() == 0
+        docs = kept if kept.count() and name != "byte_bpe" else docs
+    assert docs.where("doc_id = 1").count() <= 1
