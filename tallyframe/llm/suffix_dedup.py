@@ -12,9 +12,11 @@ sort, per place that can repeat, the suffixes that start there:
    hash repeats. About one byte in seventy is an anchor. An anchor's context
    is the union of its own windows.
 2. Candidates. Anchor hashes are counted with partial aggregation. A bitmap
-   of fixed size keeps, in a second scan, those that may repeat; they meet
-   by hash, sorted by a hash of their context. Equal contexts repeat as a
-   whole: done. Hashes whose contexts differ go on, one row per context.
+   of fixed size keeps, in a second scan, those that may repeat. These are
+   counted per hash and context hash, again with partial aggregation: equal
+   contexts repeat as a whole, which is all there is to say of them, however
+   many they are. Hashes that have different contexts go on with one row per
+   different context.
 3. Sorting. The contexts of one hash are sorted as suffixes starting at the
    anchor: multikey quicksort on words of eight bytes to a shallow depth,
    then a blind trie orders each group that still agrees. Common prefixes of
@@ -23,11 +25,12 @@ sort, per place that can repeat, the suffixes that start there:
    neighbours have the longest common left sides. Left plus right of at least
    ``length`` bytes is a repeated passage.
 
-Hot hashes -- more than HOT anchors, as a passage in a third of all documents
-has -- never meet in one task: equal contexts are counted with partial
-aggregation, and the windows of the other contexts are counted one by one by
-their 128-bit hash (exact, and linear in the number of contexts). The same
-way serves hashes with more than GROUP different contexts.
+No group meets whole: anchors with equal contexts, which a passage in a third
+of all documents has, are only counted and joined with their count (plain
+exchanges, which adaptive execution splits). The different contexts of one
+hash are sorted in one task up to GROUP of them (some 6 MB). The windows of
+larger groups are counted one by one by their 128-bit hash instead, which is
+exact and linear in the number of contexts.
 
 Defined results: a null text counts as empty; texts of fewer than ``length``
 bytes keep all bytes; repeated rows repeat each other's passages; rows that
@@ -50,9 +53,6 @@ LENGTH = 200
 KGRAM = 32
 CHUNK = 1 << 20
 SHALLOW = 48  # bytes sorted by multikey quicksort before blind tries
-# What one task sorts at once: anchors of a hash (40 bytes each) and its
-# different contexts (about 300 bytes each), some 8 MB either way.
-HOT = 200_000
 GROUP = 20_000
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 27
 _LOW = np.uint64((1 << 24) - 1)
@@ -268,12 +268,12 @@ def _batch(columns: dict[str, object]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], list(columns))
 
 
-def _all_anchors(texts: DataFrame, length: int, bitmaps=None) -> DataFrame:
-    """h, c (context hash), key, place and hot of the anchors; with bitmaps
-    (of hashes that repeat, and of hot ones) only those that may repeat."""
+def _all_anchors(texts: DataFrame, length: int, bitmap=None) -> DataFrame:
+    """h, c (context hash), key and place of the anchors; with a bitmap of
+    hashes that repeat only those that may repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated, hot = [np.frombuffer(x, np.uint64) for x in bitmaps.value] if bitmaps is not None else (None, None)
+        repeated = np.frombuffer(bitmap.value, np.uint64) if bitmap is not None else None
         for batch in batches:
             found = [anchors(np.frombuffer(t.encode(), np.uint8), length) for t in batch["text"].to_pylist()]
             keys = np.repeat(batch["key"].to_numpy(zero_copy_only=False), [len(x[0]) for x in found])
@@ -281,10 +281,9 @@ def _all_anchors(texts: DataFrame, length: int, bitmaps=None) -> DataFrame:
             if repeated is not None:
                 keep = _hit(repeated, h)
                 h, c, place, keys = h[keep], c[keep], place[keep], keys[keep]
-            is_hot = _hit(hot, h) if hot is not None else np.zeros(len(h), bool)
-            yield _batch({"h": h.view(np.int64), "c": c.view(np.int64), "key": keys, "place": place, "hot": is_hot})
+            yield _batch({"h": h.view(np.int64), "c": c.view(np.int64), "key": keys, "place": place})
 
-    return texts.mapInArrow(run, "h long, c long, key long, place long, hot boolean")
+    return texts.mapInArrow(run, "h long, c long, key long, place long")
 
 
 def _groups_of(column: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -311,41 +310,18 @@ WHOLE, ALONE, SEVERAL, ALONE_WIDE, SEVERAL_WIDE = range(5)
 
 
 def _judge(candidates: DataFrame) -> DataFrame:
-    """kind, h, key, place from the candidates that are not hot: the anchors
-    of one hash meet in one task, sorted by their context."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups_of("h", batches):
-            h, c, key, place = (table[x].to_numpy() for x in ("h", "c", "key", "place"))
-            new_h = np.concatenate([[True], h[1:] != h[:-1]])
-            new_c = new_h | np.concatenate([[True], c[1:] != c[:-1]])
-            group_of, run_of = np.cumsum(new_h) - 1, np.cumsum(new_c) - 1
-            run_size = np.bincount(run_of)
-            contexts = np.bincount(group_of[new_c])
-            whole = run_size[run_of] > 1
-            ask = new_c & (contexts[group_of] > 1)
-            kind = np.where(whole, SEVERAL, ALONE) + 2 * (contexts[group_of] > GROUP)
-            for some, kinds in ((whole, np.full(len(h), WHOLE)), (ask, kind)):
-                yield _batch({"kind": kinds[some].astype(np.int32), "h": h[some], "key": key[some], "place": place[some]})
-
-    return (
-        candidates.where("not hot")
-        .drop("hot")
-        .repartition("h")
-        .sortWithinPartitions("h", "c")
-        .mapInArrow(run, "kind int, h long, key long, place long")
-    )
-
-
-def _judge_hot(hot: DataFrame) -> DataFrame:
-    """The same for hot hashes: equal contexts are counted with partial
-    aggregation, and the join back splits if one of them is hot itself."""
-    counted = cut(hot.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("one")))
-    several = counted.where("n > 1").select("h", "c")
-    whole = hot.join(several, ["h", "c"]).select(F.lit(WHOLE).alias("kind"), "h", "key", "place")
-    ask = counted.select(
-        F.when(F.col("n") > 1, SEVERAL_WIDE).otherwise(ALONE_WIDE).alias("kind"), "h", "one.key", "one.place"
+    """kind, h, key, place: every anchor whose context repeats, and one
+    anchor per different context of the hashes that have several. Sides of
+    joins are written first, so that each is a plain exchange."""
+    contexts = written(
+        candidates.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("one")),
+        "contexts",
     )
+    several = contexts.where("n > 1").select("h", "c")
+    whole = candidates.join(several, ["h", "c"]).select(F.lit(WHOLE).alias("kind"), "h", "key", "place")
+    mixed = written(contexts.groupBy("h").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1"), "mixed")
+    kind = F.when(F.col("n") > 1, SEVERAL).otherwise(ALONE) + F.when(F.col("contexts") > GROUP, 2).otherwise(0)
+    ask = contexts.join(mixed, "h").select(kind.alias("kind"), "h", "one.key", "one.place")
     return whole.unionByName(ask)
 
 
@@ -451,19 +427,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     slim = texts.select("key", "text")
 
     counts = cut(_all_anchors(slim, length).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    hot = counts.where(F.col("n") > HOT)
-    bitmaps = spark.sparkContext.broadcast((_bitmap(counts, counts.count()), _bitmap(hot, 1)))  # MAX_BITS at most
-    any_hot = not hot.isEmpty()
-    candidates = _all_anchors(slim, length, bitmaps)
-    judged = _judge(candidates)
-    if any_hot:
-        judged = judged.unionByName(_judge_hot(written(candidates.where("hot"), "hot-anchors")))
-    judged = written(judged, "repeated-anchors")
-
+    bitmap = spark.sparkContext.broadcast(_bitmap(counts, counts.count()))  # MAX_BITS at most
+    judged = written(_judge(_all_anchors(slim, length, bitmap)), "repeated-anchors")
     contexts = _contexts(texts, judged.where(F.col("kind") != WHOLE))
     spans = judged.where(F.col("kind") == WHOLE).select("key", _start().alias("s"), _end().alias("e"))
     spans = spans.unionByName(_sorted_spans(contexts, length))
-    if any_hot or not judged.where(F.col("kind") > SEVERAL).isEmpty():
+    if not judged.where(F.col("kind") > SEVERAL).isEmpty():
         spans = spans.unionByName(_window_spans(contexts, length))
     # As many spans as a document has anchors at most, times their depths.
     by_document = spans.groupBy("key").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
