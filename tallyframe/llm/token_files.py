@@ -8,9 +8,9 @@ size, page indexes as the writer makes them. A reader can then fetch only
 the metadata columns, or only the pages of a range of documents.
 
 Layout: the documents are range-partitioned by id and sorted, so each file
-holds a run of the order. ``part`` numbers the runs and ``local_start`` is
-the position of a document's first id within its run; the start in the whole
-corpus is that plus the sizes of the runs before, one number per file.
+holds a run of the order. ``part`` numbers the runs, ``local_start`` is
+the position of a document's first id within its run and ``size`` its number
+of ids; the start in the whole corpus is that plus the sizes of the runs before, one number per file.
 
 Encoding goes piece by piece where that is sure to equal the library's
 result: texts of Latin letters are taken apart by the splitter's own pattern
@@ -145,7 +145,7 @@ def encoder_for(vocabulary: str) -> PieceEncoder:
 def encode_sorted(
     docs: DataFrame, vocabulary_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """part, doc_id, local_start, ids in ascending id order."""
+    """part, doc_id, local_start, size, ids in ascending id order."""
     spark = docs.sparkSession
     prepare(spark)
     with open(vocabulary_path, encoding="utf-8") as file:
@@ -165,16 +165,17 @@ def encode_sorted(
                     pa.array(np.full(len(coded), part, np.int32)),
                     batch["doc_id"],
                     pa.array(position + ends[:-1]),
+                    pa.array(np.diff(ends)),
                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)),
                 ],
-                ["part", "doc_id", "local_start", "ids"],
+                ["part", "doc_id", "local_start", "size", "ids"],
             )
             position += int(ends[-1])
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = slim.schema["doc_id"].dataType.simpleString()
     ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(run, f"part int, doc_id {id_type}, local_start long, ids array<int>")
+    return ordered.mapInArrow(run, f"part int, doc_id {id_type}, local_start long, size long, ids array<int>")
 
 
 def write_tokens(encoded: DataFrame, path: str, row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES) -> None:
@@ -188,6 +189,7 @@ def write_tokens(encoded: DataFrame, path: str, row_group_bytes: int = ROW_GROUP
         "parquet.enable.dictionary": "true",  # the ids, and the constant part
         "parquet.enable.dictionary#doc_id": "false",  # these ascend: delta encoding
         "parquet.enable.dictionary#local_start": "false",
+        "parquet.enable.dictionary#size": "false",
     }.items():
         writer = writer.option(key, str(value))
     writer.parquet(path)
@@ -206,12 +208,8 @@ def read_tokens(spark: SparkSession, path: str, low=None, high=None) -> DataFram
 
 def starts(spark: SparkSession, path: str) -> DataFrame:
     """part, base: ids before each run. The window runs over one row per
-    written file, from which it needs the last position and size only."""
-    sizes = (
-        spark.read.parquet(path)
-        .groupBy("part")
-        .agg(F.max(F.col("local_start") + F.size("ids")).alias("size"))
-    )
+    written file; of the files only the metadata columns are read."""
+    sizes = spark.read.parquet(path).groupBy("part").agg(F.max(F.col("local_start") + F.col("size")).alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("long").alias("base"))
 
