@@ -159,8 +159,9 @@ def _kll(dtype: T.DataType) -> tuple:
     return F.kll_sketch_agg_double, F.kll_merge_agg_double, F.kll_sketch_get_quantile_double, "double"
 
 
-# Value ranges that exact percentiles are ranked in.
-PERCENTILE_RANGES = 256
+# Value ranges that exact percentiles are ranked in: so many coarse ones, and
+# as many within each.
+PERCENTILE_STEPS = 16
 
 
 def mean_vs_percentiles(
@@ -177,7 +178,7 @@ def mean_vs_percentiles(
     smallest value whose rank reaches ``p``.
 
     ``method="exact"`` counts the rows per value (partial aggregation), deals
-    the values to PERCENTILE_RANGES ranges by boundaries that an approximate
+    the values to PERCENTILE_STEPS squared ranges by boundaries that an approximate
     percentile gives, and ranks each range on its own after the rows of the
     ranges before it. The boundaries only balance the ranges: the answer does
     not depend on them, on the partitioning or on the size.
@@ -200,14 +201,27 @@ def mean_vs_percentiles(
         raise ValueError(f"no such method: {method}")
     dtype = df.schema[value].dataType
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    steps = [i / PERCENTILE_RANGES for i in range(1, PERCENTILE_RANGES)]
-    bounds = counts.agg(F.percentile_approx("_v", steps, PERCENTILE_RANGES * 8)).scalar()
+    n = PERCENTILE_STEPS
+    coarse, fine = [i / n for i in range(1, n)], [i / n**2 for i in range(1, n**2)]
+    accuracy_of = n**2 * 8
+    bounds = counts.agg(
+        F.struct(
+            F.percentile_approx("_v", coarse, accuracy_of).alias("coarse"),
+            F.percentile_approx("_v", fine, accuracy_of).alias("fine"),
+        )
+    ).scalar()
+
+    def above(boundaries: Column) -> Column:
+        return F.size(F.filter(boundaries, lambda b: b < F.col("_v")))
+
+    # A range number never falls as the value rises, whatever the boundaries.
     ranged = (
         counts.withColumn("_bounds", bounds)
-        .withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col("_v"))))
-        .drop("_bounds")
+        .withColumn("_coarse", above(F.col("_bounds.coarse")))
+        .withColumn("_range", F.col("_coarse") * n + above(F.slice("_bounds.fine", F.col("_coarse") * n + 1, F.lit(n - 1))))
+        .drop("_bounds", "_coarse")
     )
-    # At most PERCENTILE_RANGES rows: their running sum is one small task.
+    # At most n * n rows: their running sum is one small task.
     sums = ranged.groupBy("_range").agg(
         F.sum("_n").alias("_size"), F.sum(F.col("_v").cast("double") * F.col("_n")).alias("_sum")
     )
