@@ -58,8 +58,6 @@ LEAST = 0.3
 MIN_PAGES = 8
 SHARE = 0.05
 REPEATED = 0.5
-# Deeper elements are kept as text of this depth: no DOM grows without bound.
-MAX_DEPTH = 400
 
 # Elements by their meaning in HTML.
 FURNITURE_TAGS = set(
@@ -142,6 +140,8 @@ class Page:
         self.prior: list[int | None] = [None]  # 0 furniture, 1 landmark, None undecided
         self.children: list[list[str]] = [[]]
         self.open = [0]
+        self.n_open: Counter = Counter()  # open elements by tag
+        self.holders = [0]  # open elements that are not inline
         self.blocks: list[tuple[int, str]] = []
         self._text: list[str] = []
         self._at = 0
@@ -172,17 +172,19 @@ class Page:
 
     def _block_of(self) -> int:
         """The nearest open element that is not inline."""
-        for node in reversed(self.open):
-            if self.tags[node] not in INLINE_TAGS:
-                return node
-        return 0
+        return self.holders[-1]
 
     def _close(self, names: set[str], until: set[str]) -> None:
         """Close the nearest open element of ``names``, if no element of
         ``until`` is nearer."""
+        if not any(self.n_open[x] for x in names):
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             tag = self.tags[self.open[depth]]
             if tag in names:
+                self.n_open.subtract(self.tags[n] for n in self.open[depth:])
+                while self.holders[-1] >= self.open[depth]:
+                    self.holders.pop()
                 del self.open[depth:]
                 return
             if tag in until:
@@ -197,7 +199,7 @@ class Page:
             self._close({"p"}, {"table", "td", "div", "section", "article", "li"})
         if tag in CLOSES_ITSELF:
             self._close(CLOSES_ITSELF[tag], {"ul", "ol", "dl", "table", "select"})
-        if tag in VOID_TAGS or len(self.open) > MAX_DEPTH:
+        if tag in VOID_TAGS:
             return
         classes = name = role = ""
         if "class" in rest or "id" in rest or "role" in rest or not rest.islower():
@@ -220,7 +222,9 @@ class Page:
         if not self.children[parent] or self.children[parent][-1] != label:
             self.children[parent].append(label)  # runs of one label count as one
         self.open.append(node)
+        self.n_open[tag] += 1
         if tag not in INLINE_TAGS:
+            self.holders.append(node)
             self._at = node
 
     def _end_tag(self, tag: str) -> None:
@@ -229,7 +233,7 @@ class Page:
                 self._text.append(" ")
             return
         if tag not in INLINE_TAGS:
-            if not any(self.tags[n] == tag for n in self.open):
+            if not self.n_open[tag]:
                 return
             self._end_block()
             self._close({tag}, set())

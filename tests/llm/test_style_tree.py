@@ -89,3 +89,11 @@ def test_spark_and_python_agree_on_hosts(spark):
     many = [(u, f"<body><div class=a>same</div><div class=b>{i} own</div></body>") for u in urls for i in range(12)]
     got = texts(spark, *many)
     assert all("same" not in t for t in got.values())
+
+
+def test_end_tags_of_deep_elements_match():
+    deep = "<div><article>" + "<div>" * 500 + "x" + "<nav>menu</nav>" + "</div>" * 500 + "<p>tail</p></article></div>"
+    page = st.Page(deep)
+    assert [text for _, text in page.blocks] == ["x", "menu", "tail"]
+    assert page.main_text(st.StyleTree(None)) == "x\ntail"
+    assert len(st.Page("<div>" * 20_000 + "<b>" * 20_000 + "x</i>" * 20_000).tags) == 40_001
