@@ -1,8 +1,10 @@
 """Main-text extraction with a site style tree.
 
 The DOMs of all pages of a host are merged into one style tree: nodes with
-the same path of presentation labels (tag, classes, id) are one style node.
-Two things are counted per style node over the whole host:
+the same path of presentation labels (tag, classes, role of main) are one
+style node. Ids are no part of a label, since an id names one element, nor
+are the classes of html and body, which a page has once. Two things are
+counted per style node over the whole host:
 
 * presentation: which sequences of child labels its occurrences have; the
   node importance is the entropy of that distribution, to the base of the
@@ -10,20 +12,25 @@ Two things are counted per style node over the whole host:
 * content: which texts its blocks have, with the entropy likewise.
 
 The importance of a branch combines both from the leaves up, weighted by
-GAMMA ** children as in the published style-tree method. A branch whose
-importance is below LEAST is removed from each page, and so is a block whose
-text stands in more than half of the occurrences of its style node.
-
-Entropy alone cannot tell text that varies from page to page (rotating
-adverts, link lists to other pages, reader comments) from an article, which
-varies too. Presentation labels therefore carry a prior that goes before the
-entropy: elements and class names that by their meaning are page furniture
-have importance 0, and article or main elements have importance 1. Where a
-page has an article or main element with text, the main text is taken from
-there. Style nodes that fewer than MIN_PAGES pages of a host have, or less
-than SHARE of them, carry no evidence and keep importance 1; so the tree of
-a host has at most (style nodes of an average page) / SHARE entries, however
-many pages the host has.
+GAMMA ** children as in the published style-tree method. A branch of a page
+is removed if its importance and that of all branches in it are below LEAST,
+and so is a block whose text stands in more than half of the occurrences of
+its style node. This decides inside and outside of an article alike.
+
+Entropy alone cannot tell page furniture that varies from page to page
+(rotating adverts, link lists to other pages, reader comments) from an
+article, which varies too: elements and class names that by their meaning are
+furniture are removed before the entropy is asked. Article and main elements
+are a weight only: where nothing in one is important, it stays whole. So what
+repeats inside of articles that differ is removed, while an article that is
+itself the same on many pages stays. Style nodes that fewer than MIN_PAGES pages of a host
+have carry no evidence and keep importance 1, however large the host is.
+
+Nothing of a host's tree is collected. Statistics are rows by (host, path);
+importances are summed up the tree by pointer doubling (a round halves the
+depth that is left). The pages' distinct layouts (sets of paths) are joined
+with them by key, which gives per layout the paths to remove; no row is larger
+than one page.
 
 Text: character references are decoded, white space inside a block becomes
 one blank, blocks are trimmed, empty ones dropped, the rest joined by one
@@ -39,24 +46,21 @@ extracted each; other columns are ignored.
 from __future__ import annotations
 
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tallyframe.llm.common import prepare
-from tallyframe.session import shared_dir
+from tallyframe.llm.common import prepare, written
 
 GAMMA = 0.9
 LEAST = 0.3
 MIN_PAGES = 8
-SHARE = 0.05
 REPEATED = 0.5
 
 # Elements by their meaning in HTML.
@@ -118,7 +122,9 @@ def _label(tag: str, classes: str, name: str, role: str) -> tuple[str, bool, boo
     """Presentation label of an element, whether it is a landmark, and
     whether its tag (True) or its names say that it is furniture."""
     words = set(_WORD.findall(f"{classes} {name} {role}".lower()))
-    label = f"{tag}.{'.'.join(sorted(set(classes.split())))}#{name}"
+    label = tag if tag in ("html", "body") else f"{tag}.{'.'.join(sorted(set(classes.split())))}"
+    if role == "main":
+        label += "@main"
     furniture = tag not in ("html", "body") and (tag in FURNITURE_TAGS or bool(words & FURNITURE_WORDS))
     if tag == "header" and not words & FURNITURE_WORDS:
         furniture = None  # only outside of an article
@@ -138,6 +144,7 @@ class Page:
     def __init__(self, html: str | None):
         self.tags, self.parents, self.paths = ["#page"], [-1], [_path(0, "#page")]
         self.prior: list[int | None] = [None]  # 0 furniture, 1 landmark, None undecided
+        self.main_roles: set[int] = set()
         self.children: list[list[str]] = [[]]
         self.open = [0]
         self.n_open: Counter = Counter()  # open elements by tag
@@ -214,6 +221,8 @@ class Page:
             elif furniture or furniture is None and prior != 1:
                 prior = 0
         node = len(self.tags)
+        if role == "main":
+            self.main_roles.add(node)
         self.tags.append(tag)
         self.parents.append(parent)
         self.paths.append(_path(self.paths[parent], label))
@@ -257,140 +266,222 @@ class Page:
             above = self.paths[self.parents[node]] if node else 0
             yield self.paths[node], above, 1, _mix(text)
 
+    def candidates(self) -> list[tuple[int, str]]:
+        """Path and text of the blocks that are no furniture."""
+        landmark = any(self.prior[node] == 1 for node, _ in self.blocks)
+        return [(self.paths[n], text) for n, text in self.blocks if self.prior[n] != 0 and (not landmark or self.prior[n] == 1)]
+
+    def layout(self) -> tuple[int, dict[int, tuple[int, bool]]]:
+        """The candidates' paths and those above them, as path -> (parent
+        path, landmark), and one number that names this set."""
+        found: dict[int, tuple[int, bool]] = {}
+        for node, _ in self.blocks:
+            while self.prior[node] != 0 and self.paths[node] not in found:
+                up = self.parents[node]
+                landmark = self.tags[node] in LANDMARK_TAGS or node in self.main_roles
+                found[self.paths[node]] = (self.paths[up] if node else 0, landmark)
+                if not node:
+                    break
+                node = up
+        return _mix(*sorted(found)), found
+
     def main_text(self, tree: StyleTree) -> str:
         """The blocks that are neither furniture nor of low importance."""
-        landmark = any(self.prior[node] == 1 for node, _ in self.blocks)
-        low: dict[int, bool] = {}
+        return "\n".join(
+            text for path, text in self.candidates() if path not in tree.gone and _mix(path, _mix(text)) not in tree.repeated
+        )
+
 
-        def unimportant(node: int) -> bool:
-            """Some branch from the page down to the node is removed."""
+class StyleTree:
+    """What one layout loses: the paths ``gone`` and the repeated blocks, as
+    hashes of path and text. An entry has path, parent, landmark, importance
+    and repeated (the hash of a text); both are null without evidence."""
+
+    def __init__(self, entries: list[dict] | None):
+        nodes = {e["path"]: e for e in entries or []}
+        order: list[int] = []  # parents before children
+        seen = {0}
+        for path in nodes:
             chain = []
-            while node > 0 and node not in low:
-                chain.append(node)
-                node = self.parents[node]
-            gone = low.get(node, False)
-            for n in reversed(chain):
-                gone = low[n] = gone or tree.importance(self.paths[n]) < LEAST
-            return gone
-
-        kept = []
-        for node, text in self.blocks:
-            prior = self.prior[node]
-            if prior == 0 or landmark and prior != 1:
+            while path not in seen:
+                seen.add(path)
+                chain.append(path)
+                path = nodes[path]["parent"]
+            order += reversed(chain)
+        # The greatest importance in a branch, and in the landmark around a node.
+        own = {p: 1.0 if e["importance"] is None else e["importance"] for p, e in nodes.items()}
+        best = dict(own)
+        for path in reversed(order):
+            up = nodes[path]["parent"]
+            if up:
+                best[up] = max(best[up], best[path])
+        kept: dict[int, bool] = {0: False}  # in a landmark that would go as a whole
+        holds = {p: e["landmark"] for p, e in nodes.items()}
+        for path in reversed(order):
+            up = nodes[path]["parent"]
+            if up and holds[path]:
+                holds[up] = True
+        self.gone: set[int] = set()
+        self.repeated: set[int] = set()
+        for path in order:
+            node = nodes[path]
+            kept[path] = True if node["landmark"] else kept[node["parent"]]
+            if kept[path]:
                 continue
-            if prior != 1 and (unimportant(node) or tree.repeated.get(self.paths[node]) == _mix(text)):
-                continue
-            kept.append(text)
-        return "\n".join(kept)
+            if best[path] < LEAST and not holds[path]:
+                self.gone.add(path)
+            elif node["repeated"] is not None:
+                self.repeated.add(_mix(path, node["repeated"]))
 
 
-class StyleTree:
-    """Importances of one host's style nodes, from its summary entries."""
+FACTS = "host string, path long, parent long, kind int, value long, n long, pages long"
 
-    def __init__(self, entries: list[dict] | None):
-        self.entries = {(e["path"], e["kind"]): e for e in entries or []}
-        self.repeated = {e["path"]: e["repeated"] for e in entries or [] if e["kind"] == 1 and e["repeated"] is not None}
-        self.below: dict[int, list[int]] = {}
-        for path, kind in self.entries:
-            if kind == 0:
-                self.below.setdefault(self.entries[path, 0]["parent"], []).append(path)
-        self._known: dict[int, float] = {}
-
-    def importance(self, path: int) -> float:
-        """Composite importance of a branch; 1 without evidence."""
-        if path not in self._known:
-            todo = [path]
-            while todo:  # children first, without recursion
-                waiting = [c for c in self.below.get(todo[-1], []) if c not in self._known]
-                if waiting:
-                    todo.extend(waiting)
-                else:
-                    self._known[todo[-1]] = self._combine(todo.pop())
-        return self._known[path]
-
-    def _combine(self, path: int) -> float:
-        node, content = self.entries.get((path, 0)), self.entries.get((path, 1))
-        if node is None:
-            return 1.0
-        parts = [(self.entries[c, 0]["n"], self._known[c]) for c in self.below.get(path, [])]
-        if content is not None:
-            parts.append((content["n"], content["entropy"]))
-        if not parts:
-            return node["entropy"]
-        weight = GAMMA ** len(parts)
-        return (1 - weight) * node["entropy"] + weight * sum(n * x for n, x in parts) / sum(n for n, _ in parts)
-
-
-SUMMARY = "array<struct<path:bigint,parent:bigint,kind:int,n:bigint,entropy:double,repeated:bigint>>"
-
-
-def host_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, nodes: the style tree of every host (see the module text for its
-    bounded size). Counts are summed per batch, per task and per host."""
+
+def page_facts(pages: DataFrame) -> DataFrame:
+    """FACTS of the pages (url, html), counted: kind 0 and 1 as in
+    ``Page.facts``; kind 2, or 3 for a landmark, the paths of each layout,
+    named by value. ``pages`` counts a page once per path and kind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter = Counter()
+            counts: dict[tuple, list[int]] = {}
             for url, html in zip(batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
-                host = host_of(url)
-                counts.update((host, *fact) for fact in Page(html).facts())
-            columns = list(zip(*counts, strict=True)) or [()] * 5
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+                host, page, seen = host_of(url), Page(html), set()
+                for fact in page.facts():
+                    entry = counts.setdefault((host, *fact), [0, 0])
+                    entry[0] += 1
+                    if (fact[0], fact[2]) not in seen:
+                        seen.add((fact[0], fact[2]))
+                        entry[1] += 1
+                name, layout = page.layout()
+                for path, (parent, landmark) in layout.items():
+                    counts.setdefault((host, path, parent, 3 if landmark else 2, name), [0, 0])
+            columns = list(zip(*((*k, *v) for k, v in counts.items()), strict=True)) or [()] * 7
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], pa.array(list(counts.values()), pa.int64())],
-                ["host", "path", "parent", "kind", "value", "n"],
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                ["host", "path", "parent", "kind", "value", "n", "pages"],
             )
 
-    slim = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    return (
+        pages.mapInArrow(run, FACTS)
+        .groupBy("host", "path", "parent", "kind", "value")
+        .agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"))
+    )
+
+
+def importances(facts: DataFrame) -> DataFrame:
+    """host, path, importance, repeated of the style nodes with evidence."""
     node = ["host", "path", "parent", "kind"]
-    counts = (
-        slim.mapInArrow(run, "host string, path long, parent long, kind int, value long, n long")
-        .groupBy(*node, "value")
-        .agg(F.sum("n").alias("n"))
+    stats = (
+        facts.where("kind < 2")
+        .groupBy(*node)
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("pages").alias("pages"),
+            F.sum(F.col("n") * F.ln("n")).alias("nlogn"),
+            F.max(F.struct("n", "value")).alias("top"),
+        )
+        .where(F.col("pages") >= MIN_PAGES)
+        .select(
+            *node,
+            "n",
+            # -sum p log p to the base of the number of occurrences.
+            (1 - F.col("nlogn") / F.col("n") / F.ln("n")).alias("entropy"),
+            F.when((F.col("kind") == 1) & (F.col("top.n") > F.col("n") * REPEATED), F.col("top.value")).alias("repeated"),
+        )
     )
-    nodes = counts.groupBy(*node).agg(
-        F.sum("n").alias("total"), F.sum(F.col("n") * F.ln("n")).alias("nlogn"), F.max(F.struct("n", "value")).alias("top")
+    stats = written(stats, "style-nodes")
+    # The parts of a branch: its child branches, and its blocks.
+    own = stats.where("kind = 0").select("host", "path", "parent", "n", "entropy")
+    blocks = stats.where("kind = 1").select("host", "path", F.col("n").alias("n_text"), F.col("entropy").alias("h_text"), "repeated")
+    below = own.where("parent != 0").groupBy("host", F.col("parent").alias("path")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_below"))
+    whole = F.coalesce("n_below", F.lit(0)) + F.coalesce("n_text", F.lit(0))
+    parts = F.coalesce("k", F.lit(0)) + F.when(F.col("n_text").isNotNull(), 1).otherwise(0)
+    weight = F.when(parts > 0, F.pow(F.lit(GAMMA), parts)).otherwise(F.lit(0.0))
+    nodes = own.join(below, ["host", "path"], "left").join(blocks, ["host", "path"], "left")
+    nodes = nodes.withColumns({"weight": weight, "whole": whole}).withColumn(
+        "x", (1 - F.col("weight")) * F.col("entropy") + F.coalesce(F.col("weight") * F.col("n_text") * F.col("h_text") / F.col("whole"), F.lit(0.0))
     )
-    nodes = nodes.where(F.col("total") >= MIN_PAGES).select(
-        *node,
-        F.col("total").alias("n"),
-        # -sum p log p to the base of the number of occurrences.
-        (1 - F.col("nlogn") / F.col("total") / F.ln("total")).alias("entropy"),
-        F.when(F.col("top.n") > F.col("total") * REPEATED, F.col("top.value")).alias("repeated"),
+    nodes = written(nodes.select("host", "path", "parent", "n", "weight", "whole", "x", "repeated"), "style-tree")
+    # A branch adds share * x to the branch above: x is summed over all
+    # branches below by doubling the distance of ``up`` each round.
+    above = nodes.select("host", F.col("path").alias("parent"), F.col("weight").alias("w"), F.col("whole").alias("s"))
+    tree = nodes.join(above, ["host", "parent"], "left").select(
+        "host", "path", "x", "repeated", F.when(F.col("w").isNotNull(), F.col("parent")).alias("up"), (F.col("w") * F.col("n") / F.col("s")).alias("share")
+    )
+    tree = written(tree, "style-tree")
+    while not tree.where("up is not null").isEmpty():
+        added = tree.where("up is not null").groupBy("host", F.col("up").alias("path")).agg(F.sum(F.col("share") * F.col("x")).alias("more"))
+        further = tree.select("host", F.col("path").alias("up"), F.col("up").alias("up2"), F.col("share").alias("share2"))
+        tree = tree.join(added, ["host", "path"], "left").join(further, ["host", "up"], "left")
+        tree = written(
+            tree.select(
+                "host", "path", (F.col("x") + F.coalesce("more", F.lit(0.0))).alias("x"), "repeated",
+                F.col("up2").alias("up"), (F.col("share") * F.col("share2")).alias("share"),
+            ),
+            "style-tree",
+        )
+    # Rounded: the order of the sums decides nothing.
+    return tree.select("host", "path", F.round("x", 9).alias("importance"), "repeated")
+
+
+def layout_losses(facts: DataFrame) -> DataFrame:
+    """host, layout, gone, repeated (see StyleTree) of the layouts that lose
+    something."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            trees = [StyleTree(x) for x in batch["nodes"].to_pylist()]
+            lists = [pa.array([sorted(getattr(t, k)) for t in trees], pa.list_(pa.int64())) for k in ("gone", "repeated")]
+            yield pa.RecordBatch.from_arrays([batch["host"], batch["layout"], *lists], ["host", "layout", "gone", "repeated"])
+
+    layouts = facts.where("kind >= 2").select(
+        "host", F.col("value").alias("layout"), "path", "parent", (F.col("kind") == 3).alias("landmark")
     )
-    sizes = nodes.where((F.col("path") == _path(0, "#page")) & (F.col("kind") == 0)).select("host", F.col("n").alias("pages"))
     return (
-        nodes.join(sizes, "host")
-        .where(F.col("n") >= F.col("pages") * SHARE)
-        .groupBy("host")
-        .agg(F.collect_list(F.struct("path", "parent", "kind", "n", "entropy", "repeated")).alias("nodes"))
+        layouts.join(importances(facts), ["host", "path"], "left")
+        .groupBy("host", "layout")
+        .agg(F.collect_list(F.struct("path", "parent", "landmark", "importance", "repeated")).alias("nodes"))
+        .mapInArrow(run, "host string, layout long, gone array<bigint>, repeated array<bigint>")
+        .where("size(gone) > 0 or size(repeated) > 0")
     )
 
 
+BLOCKS = pa.list_(pa.struct([("path", pa.int64()), ("mark", pa.int64()), ("text", pa.string())]))
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id, url, text (the main text) of every page."""
-    spark = pages.sparkSession
-    prepare(spark)
-    # Written as a table, so that its size is known to the planner: the small
-    # trees of few hosts are broadcast, those of many are joined by shuffle.
-    path = f"{shared_dir(spark)}/style-trees-{uuid.uuid4().hex}"
-    host_trees(pages, url_col, html_col).write.parquet(path)
-    trees = spark.read.parquet(path)
+    prepare(pages.sparkSession)
+    slim = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    facts = written(page_facts(slim.select("url", "html")), "style-facts")
+    # Written, so that its size is known to the planner: few layouts are
+    # broadcast, many are joined by shuffle.
+    losses = written(layout_losses(facts), "style-losses")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, tree = None, StyleTree(None)
         for batch in batches:
-            texts = []
-            for at, (now, html) in enumerate(zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True)):
-                if now != host:
-                    host, tree = now, known.setdefault(now, StyleTree(batch["nodes"][at].as_py()))
-                    if len(known) > 200:
-                        known.clear()
-                texts.append(Page(html).main_text(tree))
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["url"], pa.array(texts, pa.string())], ["id", "url", "text"])
-
-    known: dict[str, StyleTree] = {}
-    host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), _HOST.pattern.replace("^", "(?i)^", 1), 1))
-    slim = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumn("host", host)
+            hosts, layouts, blocks = [], [], []
+            for url, html in zip(batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
+                page = Page(html)
+                hosts.append(host_of(url))
+                layouts.append(page.layout()[0])
+                blocks.append([{"path": p, "mark": _mix(p, _mix(t)), "text": t} for p, t in page.candidates()])
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"], batch["url"], pa.array(hosts, pa.string()), pa.array(layouts, pa.int64()), pa.array(blocks, BLOCKS)],
+                ["id", "url", "host", "layout", "blocks"],
+            )
+
     id_type = slim.schema["id"].dataType.simpleString()
-    return slim.join(trees, "host", "left").mapInArrow(run, f"id {id_type}, url string, text string")
+    read = slim.mapInArrow(
+        run, f"id {id_type}, url string, host string, layout long, blocks array<struct<path:bigint,mark:bigint,text:string>>"
+    )
+
+    def stays(block: Column) -> Column:
+        return ~F.array_contains("gone", block["path"]) & ~F.array_contains("repeated", block["mark"])
+
+    kept = F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(F.filter("blocks", stays))
+    return read.join(losses, ["host", "layout"], "left").select(
+        "id", "url", F.array_join(F.transform(kept, lambda x: x["text"]), "\n").alias("text")
+    )

@@ -97,3 +97,14 @@ def test_end_tags_of_deep_elements_match():
     assert [text for _, text in page.blocks] == ["x", "menu", "tail"]
     assert page.main_text(st.StyleTree(None)) == "x\ntail"
     assert len(st.Page("<div>" * 20_000 + "<b>" * 20_000 + "x</i>" * 20_000).tags) == 40_001
+
+
+def test_a_layout_is_judged_alike_on_a_large_host(spark):
+    """Thirty pages of a layout and per-page ids, among 970 other pages."""
+    pairs = []
+    for i in range(30):
+        body = f"<div class=y1 id=top-{i}><span>All shops</span></div><div class=y2><p>Offer {i} of ours</p></div>"
+        pairs.append(("http://big.example/%d" % i, f"<body id=post-{i} class=postid-{i}>{body}</body>"))
+    pairs += [("http://big.example/o%d" % i, f"<body><div class=z{i % 97}><p>Other {i}</p></div></body>") for i in range(970)]
+    got = texts(spark, *pairs)
+    assert all(got[i] == f"Offer {i} of ours" for i in range(30))
