@@ -268,8 +268,7 @@ class Page:
 
     def candidates(self) -> list[tuple[int, str]]:
         """Path and text of the blocks that are no furniture."""
-        landmark = any(self.prior[node] == 1 for node, _ in self.blocks)
-        return [(self.paths[n], text) for n, text in self.blocks if self.prior[n] != 0 and (not landmark or self.prior[n] == 1)]
+        return [(self.paths[node], text) for node, text in self.blocks if self.prior[node] != 0]
 
     def layout(self) -> tuple[int, dict[int, tuple[int, bool]]]:
         """The candidates' paths and those above them, as path -> (parent
@@ -325,7 +324,7 @@ class StyleTree:
         self.repeated: set[int] = set()
         for path in order:
             node = nodes[path]
-            kept[path] = True if node["landmark"] else kept[node["parent"]]
+            kept[path] = best[path] < LEAST if node["landmark"] else kept[node["parent"]]
             if kept[path]:
                 continue
             if best[path] < LEAST and not holds[path]:

@@ -99,6 +99,15 @@ def test_end_tags_of_deep_elements_match():
     assert len(st.Page("<div>" * 20_000 + "<b>" * 20_000 + "x</i>" * 20_000).tags) == 40_001
 
 
+def test_the_tree_decides_inside_and_outside_of_articles(spark):
+    pairs = []
+    for i in range(20):
+        inner = f"<article><p>Story {i} of its own</p><section class=s1><p>Our terms apply</p></section></article>"
+        pairs.append(("http://news.example/%d" % i, f"<body><div class=o1>Welcome</div>{inner}<div class=o2>Letter {i} from afar</div></body>"))
+    got = texts(spark, *pairs)
+    assert all(got[i] == f"Story {i} of its own\nLetter {i} from afar" for i in range(20))
+
+
 def test_a_layout_is_judged_alike_on_a_large_host(spark):
     """Thirty pages of a layout and per-page ids, among 970 other pages."""
     pairs = []
