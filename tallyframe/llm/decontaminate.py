@@ -10,8 +10,13 @@ words in that form; it is found by hash, in two steps:
    discards, inside the scan, document windows that match nothing;
 2. the windows that are left are joined with the benchmark's on their hash.
 
-Each window is looked up twice: in its template form, and as its literal
-words (lower-cased), so that a copy whose capitals were changed is found too.
+Each window is looked up three times: in its template form; as its literal
+words (lower-cased), so that a copy whose capitals were changed is found too;
+and in a wide form. There a capitalised word that starts a sentence or the
+window is a name too, unless the benchmark has it in lower case and never as a
+name, and adjacent names, or adjacent numbers, of a sentence are one
+placeholder. The benchmark's words that are no names are collected and
+broadcast (8 bytes each).
 
 Slot consistency: the placeholders of a window must repeat in the same
 places on both sides (equal values where the benchmark's are equal,
@@ -22,8 +27,8 @@ the documents contain meets one row and gives one row per window.
 
 A template needs at least half of its words literal; a window with fewer is
 looked up in its literal form only, so that runs of numbers do not match each
-other. The first word of a window always counts as the start of a
-sentence. Benchmark items of fewer than ``window`` words are one window of
+other. In the template form the first word of a window always counts as the
+start of a sentence. Benchmark items of fewer than ``window`` words are one window of
 their own length; items of fewer than ``MIN_WORDS`` words name nothing and
 are left out.
 
@@ -51,7 +56,7 @@ MIN_WORDS = 5
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 27
 MEMO_WORDS = 300_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
-LITERAL_FORM = np.uint64(3)
+LITERAL_FORM, WIDE_FORM = np.uint64(3), np.uint64(5)
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (0xA5A5_0001, 0xA5A5_0002, 0xA5A5_0003))
 
 # Words that stand for a number, and units of measure.
@@ -99,9 +104,10 @@ class Words(dict):
         self[raw] = at = len(self.codes) - 1
         return at
 
-    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
         """All non-empty words of the texts: text number, literal code, kind,
-        and whether the word is a name (capitalised inside a sentence)."""
+        whether the word is a name (capitalised inside a sentence), whether it
+        is capitalised, and whether it starts a sentence."""
         if len(self) > MEMO_WORDS:
             self.clear()
             self.codes, self.kinds = array("Q"), array("B")
@@ -114,7 +120,8 @@ class Words(dict):
         inside = np.zeros(len(at), bool)
         inside[1:] = (kind[:-1] & _ENDS == 0) & (text[1:] == text[:-1])
         full = kind & 3 != _EMPTY
-        return text[full], code[full], kind[full] & 3, (inside & (kind & _CAPITAL != 0))[full]
+        capital = kind & _CAPITAL != 0
+        return text[full], code[full], kind[full] & 3, (inside & capital)[full], capital[full], ~inside[full]
 
 
 def _rolled(codes: np.ndarray, width: int, plus=np.uint64(0)) -> np.ndarray:
@@ -129,7 +136,7 @@ def _rolled(codes: np.ndarray, width: int, plus=np.uint64(0)) -> np.ndarray:
 def template_windows(read, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start, text number, template hash and literal hash of every window of
     ``width`` words; the template hash is 0 where too few words are literal."""
-    text, code, kind, name = read
+    text, code, kind, name = read[:4]
     n = len(code) - width + 1
     if n < 1:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
@@ -144,26 +151,92 @@ def template_windows(read, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return starts, text[starts], template[starts], (_rolled(code, width) * LITERAL_FORM)[starts]
 
 
-def slot_pattern(read, start: int, width: int) -> int:
-    """Which placeholders of the window are equal, as one number."""
+def widened(read, common: np.ndarray):
+    """The words of the wide form, as text number, code, kind and name: what
+    is capitalised and not one of the ``common`` codes (sorted) is a name
+    everywhere, and runs of names or of numbers are one word. Also the first
+    word of each."""
+    text, code, kind, name, capital, starts = read
+    known = np.zeros(len(code), bool)
+    maybe = np.nonzero(capital & ~name)[0]
+    if len(common):
+        at = np.minimum(np.searchsorted(common, code[maybe]), len(common) - 1)
+        known[maybe] = common[at] == code[maybe]
+    name = capital & (name | ~known)
+    of = np.where(name, 9, kind)
+    again = np.zeros(len(code), bool)
+    again[1:] = (of[1:] == of[:-1]) & ((of[1:] == 9) | (of[1:] == _NUM)) & ~starts[1:]
+    first = np.nonzero(~again)[0]
+    if len(first) < len(code):
+        # A run's code: the sum of its codes by their place in the run.
+        place = np.arange(len(code)) - first[np.cumsum(~again) - 1]
+        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(place.max()), BASE)]), dtype=np.uint64)
+        code = np.add.reduceat(code * power[place], first)
+    return (text[first], code, kind[first], name[first]), first
+
+
+def wide_windows(wide, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, text number and hash of every window of the wide form in which
+    at least half of the words are literal; the hash is 0 in the others."""
+    text, code, kind, name = wide
+    n = len(code) - width + 1
+    if n < 1:
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64))
+    typed = np.where(name, NAME, np.where(kind == _NUM, NUMBER, np.where(kind == _UNIT, UNIT, code)))
+    slots = np.concatenate([[0], np.cumsum((kind != _LITERAL) | name)])
+    hashes = _rolled(typed, width) * WIDE_FORM
+    hashes[(slots[width:] - slots[:-width]) * 2 > width] = 0
+    starts = np.nonzero(text[width - 1 :] == text[:n])[0]
+    return starts, text[starts], hashes[starts]
+
+
+def _common_words(items: DataFrame) -> np.ndarray:
+    """Sorted codes of the items' words that occur in lower case and never
+    capitalised inside a sentence."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            _, code, _, name, capital, _ = words.read(batch["text"].to_pylist())
+            lower, named = np.unique(code[~capital]), np.unique(code[name])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([lower, named]).view(np.int64)), pa.array(np.repeat([False, True], [len(lower), len(named)]))],
+                ["code", "named"],
+            )
+
+    found = items.select("text").mapInArrow(run, "code long, named boolean").groupBy("code").agg(F.max("named").alias("named"))
+    codes = found.where("not named").select("code").toPandas()["code"].to_numpy(np.int64)
+    return np.sort(codes.view(np.uint64))
+
+
+def slot_pattern(read, start: int, width: int, opening: bool = True) -> int:
+    """Which placeholders of the window are equal, as one number. With
+    ``opening`` the first word is no name."""
     from xxhash import xxh64_intdigest
 
-    _, code, kind, name = read
+    _, code, kind, name = read[:4]
     part = slice(start, start + width)
     slot = (kind[part] != _LITERAL) | name[part]
-    slot[0] = kind[start] != _LITERAL
+    if opening:
+        slot[0] = kind[start] != _LITERAL
     seen: dict[int, int] = {}
     return xxh64_intdigest(bytes(seen.setdefault(int(c), len(seen)) for c in code[part][slot]), 3) >> 1
 
 
-def _windows(texts: DataFrame, widths: list[int], possible=None) -> DataFrame:
-    """id, width, hash, pattern, window (hash of the plain words), literal
-    per template window and per literal window; ``possible`` is a broadcast
-    bitmap of hashes."""
+def _windows(texts: DataFrame, widths: list[int], wide_widths: list[int], common, possible=None) -> DataFrame:
+    """id, width, hash, pattern, window (hash of the plain words), literal,
+    wide per window of each form; ``common`` and ``possible`` are broadcast:
+    codes of words and a bitmap of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         bitmap = np.frombuffer(possible.value, np.uint64) if possible is not None else None
+
+        def hits(hashes: np.ndarray) -> np.ndarray:
+            bit = hashes % np.uint64(len(bitmap) * 64)
+            return bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1) != 0
+
+        known = np.frombuffer(common.value, np.uint64)
         for batch in batches:
             read = words.read(batch["text"].to_pylist())
             lengths = np.bincount(read[0], minlength=batch.num_rows)
@@ -173,13 +246,25 @@ def _windows(texts: DataFrame, widths: list[int], possible=None) -> DataFrame:
                 for hashes, plain in ((template, False), (literal, True)):
                     hit = np.ones(len(starts), bool) if plain else hashes != 0
                     if bitmap is not None:
-                        bit = hashes % np.uint64(len(bitmap) * 64)
-                        hit &= bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1) != 0
+                        hit &= hits(hashes)
                     elif width < WINDOW:  # an item's short window is all of it
                         hit &= lengths[text] == width
                     for i in np.nonzero(hit)[0].tolist():
                         pattern = 0 if plain else slot_pattern(read, starts[i], width)
-                        rows.append((text[i], width, hashes[i], pattern, literal[i], plain))
+                        rows.append((text[i], width, hashes[i], pattern, literal[i], plain, False))
+            wide, first = widened(read, known)
+            lengths = np.bincount(wide[0], minlength=batch.num_rows)
+            for width in wide_widths:
+                starts, text, hashes = wide_windows(wide, width)
+                hit = hashes != 0
+                if bitmap is not None:
+                    hit &= hits(hashes)
+                elif width < WINDOW:
+                    hit &= lengths[text] == width
+                for i in np.nonzero(hit)[0].tolist():
+                    # Named by its first words as they are, like the windows of the other forms.
+                    plain = _rolled(read[1][first[starts[i]] :][:width], width)[0] * LITERAL_FORM
+                    rows.append((text[i], width, hashes[i], slot_pattern(wide, starts[i], width, False), plain, False, True))
             for at in range(0, len(rows), 50_000):
                 some = rows[at : at + 50_000]
                 column = lambda i, some=some: np.array([r[i] for r in some], np.uint64).view(np.int64)
@@ -189,12 +274,13 @@ def _windows(texts: DataFrame, widths: list[int], possible=None) -> DataFrame:
                         pa.array(column(1).astype(np.int32)),
                         *[pa.array(column(i)) for i in (2, 3, 4)],
                         pa.array([r[5] for r in some]),
+                        pa.array([r[6] for r in some]),
                     ],
-                    ["id", "width", "hash", "pattern", "window", "literal"],
+                    ["id", "width", "hash", "pattern", "window", "literal", "wide"],
                 )
 
     id_type = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"id {id_type}, width int, hash long, pattern long, window long, literal boolean")
+    return texts.mapInArrow(run, f"id {id_type}, width int, hash long, pattern long, window long, literal boolean, wide boolean")
 
 
 def contaminated_windows(
@@ -208,8 +294,10 @@ def contaminated_windows(
     prepare(spark)
     items = benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))
     short = list(range(MIN_WORDS, WINDOW))
-    mine = cut(_windows(items, [*short, WINDOW]))
-    widths = sorted(r[0] for r in mine.select("width").distinct().collect())  # at most WINDOW numbers
+    common = spark.sparkContext.broadcast(_common_words(items).tobytes())
+    mine = cut(_windows(items, [*short, WINDOW], [*short, WINDOW], common))
+    found = mine.select("width", "wide").distinct().collect()  # at most WINDOW numbers for each
+    widths, wide_widths = (sorted(r.width for r in found if r.wide == x) for x in (False, True))
     n = mine.count()
     bits = MIN_BITS
     while bits < MAX_BITS and bits < n * 64:
@@ -226,10 +314,12 @@ def contaminated_windows(
         bitmap[word] = np.array([ones], np.int64).view(np.uint64)[0]
     possible = spark.sparkContext.broadcast(bitmap.tobytes())
 
-    theirs = _windows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), widths, possible)
-    keys = ["width", "hash", "pattern", "literal"]
+    theirs = _windows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), widths, wide_widths, common, possible)
+    keys = ["width", "hash", "pattern", "literal", "wide"]
     templates = mine.groupBy(*keys).agg(F.min("id").alias("item_id"))
-    return theirs.join(templates, keys).select("id", "window", "item_id", "literal")
+    return theirs.join(templates, keys).groupBy("id", "window", "literal").agg(F.min("item_id").alias("item_id")).select(
+        "id", "window", "item_id", "literal"
+    )
 
 
 def contaminated_documents(windows: DataFrame) -> DataFrame:

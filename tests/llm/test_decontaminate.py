@@ -66,3 +66,17 @@ def test_odd_rows(spark, bench, odd_documents):
     assert kept.columns == extra.columns and kept.count() == extra.count() - 1
     assert dc.drop_contaminated(extra, bench.limit(0)).count() == extra.count()
     assert dc.drop_contaminated(extra.limit(0), bench).count() == 0
+
+
+def test_names_at_the_start_of_sentences(spark):
+    question = "Tom has 3 apples. Tom buys 4 pears. Tom sells 2 plums. How many fruits has Tom now?"
+    bench = spark.createDataFrame([(1, question), (2, "Tom lent his old green bicycle to a friend")], "item_id long, text string")
+    found = judge(spark, bench, question.replace("Tom", "Ann"), "Ann lent his old green bicycle to a friend", "Ann sold his old green bicycle to a friend")
+    assert set(found) == {0, 1}
+
+
+def test_runs_of_names_and_numbers_are_one_slot(spark):
+    question = "The train from New York to the coast carries twenty five people and stops at three small stations"
+    bench = spark.createDataFrame([(1, question)], "item_id long, text string")
+    found = judge(spark, bench, question.replace("New York", "Oslo").replace("twenty five", "30"))
+    assert set(found) == {0}
