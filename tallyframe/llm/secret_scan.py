@@ -9,14 +9,18 @@ Patterns (leftmost, not overlapping, per kind): ``assign``, a credential
 word with an assigned value of six or more characters; ``access``, an access
 key id of twenty or more; ``hex``, a run of 24 or more hexadecimal digits.
 
-Entropy adds spans of kind ``entropy_hex`` and ``entropy_base64``. Candidate
-strings are the runs of MIN_CANDIDATE or more characters of a class that
-have both a digit and a letter. A window of WINDOW characters slides over a
-candidate; the counts per character are updated by the character that enters
-and the one that leaves, and the sum of n * log2(n) with them, so that each
-step costs the same whatever the length. A candidate is reported if some
-window's Shannon entropy reaches the limit of its class and no allow-list
-pattern matches the candidate.
+Entropy adds spans of kind ``entropy_hex``, ``entropy_base64`` and
+``entropy_piece``. Candidate strings are the runs of MIN_CANDIDATE or more
+characters of a class that have both a digit and a letter. Any character but
+a letter or digit is a border of hex runs. Base64 runs may hold = / _ and -,
+which keys have too; their pieces between these (without the = that pad the
+end) are candidates of their own, so that a name or an allow-listed word
+beside a key hides neither its entropy nor the key. A window of WINDOW
+characters slides over a candidate; the counts per character are updated by
+the character that enters and the one that leaves, and the sum of
+n * log2(n) with them, so that each step costs the same whatever the length.
+A candidate is reported if some window's Shannon entropy reaches the limit of
+its class and no allow-list pattern matches the candidate.
 
 Defined results: a null or empty text has no spans; repeated rows are
 scanned each; other columns are ignored unless ``keep`` names them.
@@ -36,14 +40,23 @@ ASSIGN_WORD = r"(?i)password|passwd|secret|token|api_?key"
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 ASSIGN_MIN = 6
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_piece")
 
 WINDOW = 20
 MIN_CANDIDATE = 20
+# Before a candidate: the name of an integrity digest is part of it, for the allow-list.
+DIGEST = r"[sS][hH][aA](?:1|256|384|512)-"
 #: class: (candidate pattern, least entropy of a window in bits)
 CLASSES = {
-    "entropy_hex": (r"(?<![A-Za-z0-9+/_=-])[0-9a-fA-F]{20,}(?![A-Za-z0-9+/_=-])", 3.0),
+    "entropy_hex": (rf"(?<![A-Za-z0-9])(?:{DIGEST})?[0-9a-fA-F]{{20,}}(?![A-Za-z0-9])", 3.0),
     "entropy_base64": (r"[A-Za-z0-9+/_=-]{20,}", 3.9),
+    # What a border precedes, or follows with more of the run behind it.
+    "entropy_piece": (
+        rf"(?<![A-Za-z0-9+]){DIGEST}[A-Za-z0-9+/]+=*"
+        r"|(?<=[=/_-])[A-Za-z0-9+]{20,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+        r"|(?<![A-Za-z0-9+])[A-Za-z0-9+]{20,}(?=[=/_-]+[A-Za-z0-9+])",
+        3.9,
+    ),
 }
 #: Candidates that are known to be harmless.
 ALLOW = (

@@ -113,3 +113,21 @@ def test_odd_rows(odd_documents):
     got = ss.scan(odd_documents, keep=("kept", "score"))
     assert got.columns[-2:] == ["kept", "score"] and got.count() == odd_documents.count()
     assert ss.scan(odd_documents.limit(0)).count() == 0
+
+
+BORDERS = [
+    ("sig=9F86D081884C7D659A2F", "9F86D081884C7D659A2F", "entropy_hex"),
+    ("a/b_9F86D081884C7D659A2F/c", "9F86D081884C7D659A2F", "entropy_hex"),
+    ("sample/Xa81kQ0pVz7Lw3RtY9bC", "Xa81kQ0pVz7Lw3RtY9bC", "entropy_piece"),
+    ("Xa81kQ0pVz7Lw3RtY9bC=example_0123456789", "Xa81kQ0pVz7Lw3RtY9bC", "entropy_piece"),
+    ("sample-key=Xa81kQ0pVz7Lw3RtY9bC==", "Xa81kQ0pVz7Lw3RtY9bC==", "entropy_piece"),
+    ("sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=", "", None),
+    ("id=sample-Xa81kQ0pVz", "", None),
+]
+
+
+def test_borders_of_candidates(spark):
+    got = scanned(spark, [text for text, _, _ in BORDERS])
+    for i, (text, secret, kind) in enumerate(BORDERS):
+        start = text.index(secret)
+        assert (f"{kind}:{start}:{start + len(secret)}" in got[i].spans.split(",")) if kind else got[i].spans == "", text
