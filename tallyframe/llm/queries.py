@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import (
     byte_bpe,
+    chat_format,
     decontaminate,
     exact_dedup,
     quality_mil,
@@ -117,6 +118,37 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(coded)
 
 
+PROBE_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # A conversation whose texts hold control strings.
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE_TEXT).alias("text"),
+    )
+    made = chat_format.format_conversations(given.unionByName(probe))
+    turns = chat_format.read_turns(F.col("formatted"))
+    read = made.select(
+        "id",
+        turns.alias("turns"),
+        chat_format.masked_text(F.col("formatted"), F.col("loss")).alias("learnt"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    joined = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return read.select(
+        F.col("id").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(joined, 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def bpe_digest(coded: DataFrame) -> DataFrame:
     """Digest columns of encoded documents (id, ids, decoded)."""
     return coded.select(
@@ -138,6 +170,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_mil": op5_quality,
     "op10_decontaminate": op10_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
+    "op11_chat_format": op11_chat_format,
 }
 
 LLM_ORACLE: dict[str, str] = {
@@ -153,4 +186,20 @@ LLM_ORACLE: dict[str, str] = {
                text_sha256
         FROM hashed
     """,
+    "op11_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        escaped AS (
+            SELECT *, replace(replace(replace(replace(text, '\', '\\'), '<turn', '<\turn'),
+                '</turn', '<\/turn'), '<part', '<\part') AS body FROM turns)
+        SELECT conv_id,
+               count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length('<turn ' || role || '>' || chr(10) || body || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+        FROM escaped GROUP BY conv_id
+    """,
 }

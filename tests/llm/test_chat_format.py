@@ -1,0 +1,117 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyframe.llm import chat_format as cf
+from tallyframe.llm.queries import LLM_QUERIES
+
+PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int,tokens:long>"
+
+
+def part(kind, text=None, ref=None, width=None, height=None, seconds=None, pages=None, tokens=None):
+    return (kind, text, ref, width, height, seconds, pages, tokens)
+
+
+def formatted(spark, rows, **kw):
+    df = spark.createDataFrame(rows, f"conv_id long, turn int, role string, parts array<{PART}>")
+    out = cf.format_conversations(df, parts_col="parts", **kw)
+    out = out.withColumns({"read": cf.read_turns(F.col("formatted")), "learnt": cf.masked_text(F.col("formatted"), F.col("loss"))})
+    return {r.id: r for r in out.collect()}
+
+
+def test_parts_become_placeholders(spark):
+    rows = [
+        (1, 0, "user", [part("text", "What is"), part("image", ref="a.png", width=57, height=28), part("text", "this?"), part("text", "More text.")]),
+        (1, 1, "assistant", [part("text", "A cat"), part("audio", ref="b.wav", seconds=1.01), part("document", ref="c.pdf", pages=3)]),
+        (1, 2, "user", [part("video", ref="d.mp4"), part("image", ref="e.png", tokens=9), part("document", ref="f.pdf")]),
+    ]
+    r = formatted(spark, rows)[1]
+    assert r.formatted == (
+        "<turn user>\nWhat is<part image 1>this?<part text>More text.</turn>\n"
+        "<turn assistant>\nA cat<part audio 2><part document 3></turn>\n"
+        "<turn user>\n<part video 4><part image 5><part document 6></turn>\n"
+    )
+    got = [(a.number, a.kind, a.ref, a.tokens) for a in r.attachments]
+    assert got == [(1, "image", "a.png", 3), (2, "audio", "b.wav", 26), (3, "document", "c.pdf", 768), (4, "video", "d.mp4", 1), (5, "image", "e.png", 9), (6, "document", "f.pdf", 1)]
+    assert r.n_expanded == 3 + 26 + 768 + 1 + 9 + 1 and r.n_turns == 3
+    for a in r.attachments:
+        assert r.formatted[a.start :].startswith(f"<part {a.kind} {a.number}>")
+    assert [r.formatted[s.start : s.end] for s in r.loss] == ["A cat"] and r.learnt == "A cat"
+    assert [(t.role, t.text) for t in r.read] == [("user", "What isthis?More text."), ("assistant", "A cat"), ("user", "")]
+
+
+ODD = ["", "\\", "<", "</turn>", "<\\/turn>", "<turn user>\n", "<part image 1>", "<part text>", "\\\\<", "</tur", "n>", ">\n", "a\nb", "ß😀é", "### Assistant: ", " ", "\x00", "\r\n", "$1"]
+
+
+def test_any_texts_and_roles_read_back(spark):
+    """Random joins of control strings and their pieces, against a plain reading in Python."""
+    rng = random.Random(5)
+    rows, want = [], {}
+    for conv in range(60):
+        turns = []
+        for turn in range(rng.randint(1, 5)):
+            role = rng.choice(["user", "assistant", "".join(rng.choices(ODD, k=3))])
+            parts = [part("text", "".join(rng.choices(ODD, k=rng.randint(0, 5)))) if rng.random() < 0.7 else part(rng.choice(["image", "a>b", "x </turn>"]), ref="r") for _ in range(rng.randint(1, 5))]
+            rows.append((conv, turn, role, parts))
+            turns.append((role, parts))
+        want[conv] = turns
+    got = formatted(spark, rows)
+    for conv, turns in want.items():
+        r = got[conv]
+        assert [(t.role, t.text) for t in r.read] == [(role, "".join(p[1] or "" for p in parts if p[0] == "text")) for role, parts in turns]
+        assert r.learnt == "".join(p[1] for role, parts in turns for p in parts if p[0] == "text" and role == "assistant")
+        assert [a.kind for a in r.attachments] == [p[0] for _, parts in turns for p in parts if p[0] != "text"]
+        assert r.formatted.count("</turn>") == len(turns) == r.n_turns
+
+
+def test_odd_rows(spark):
+    long = "word </turn> \\ " * 100_000
+    data = [
+        (1, 1, "assistant", "b", "x"), (1, 0, None, None, "x"), (1, None, "system", "first", "x"),
+        (2, 0, "user", "same", "x"), (2, 0, "user", "same", "x"), (2, 0, "assistant", "tie", "x"),
+        (None, 0, "assistant", "no id", "x"), (3, 0, "assistant", long, "x"), (4, 0, "assistant", "", "x"),
+    ]
+    df = spark.createDataFrame(data, "conv_id long, turn int, role string, text string, formatted string").selectExpr("*", "'y' as id", "1 as seq", "2 as parts")
+    out = cf.format_conversations(df)
+    got = {r.id: r for r in out.withColumns({"read": cf.read_turns(F.col("formatted")), "learnt": cf.masked_text(F.col("formatted"), F.col("loss"))}).collect()}
+    assert [(t.role, t.text) for t in got[1].read] == [("system", "first"), ("", ""), ("assistant", "b")]
+    assert [(t.role, t.text) for t in got[2].read] == [("assistant", "tie"), ("user", "same"), ("user", "same")]
+    assert got[None].learnt == "no id" and got[3].learnt == long and got[4].learnt == "" and got[4].loss == []
+    assert cf.format_conversations(df.limit(0)).count() == 0
+    empty = formatted(spark, [(1, 0, "user", []), (1, 1, "user", None), (1, 2, "user", [part(None, "t")])])[1]
+    assert [t.text for t in empty.read] == ["", "", "t"]
+    other = formatted(spark, [(1, 0, "user", [part("text", "u")]), (1, 1, "tool", [part("text", "t")])], loss_roles=["user", "tool"])[1]
+    assert other.learnt == "ut"
+
+
+def test_query_reads_back_what_was_given(spark, sample_dir):
+    from tallyframe.llm.queries import PROBE_TEXT
+
+    given = {}
+    for r in spark.read.parquet(f"{sample_dir}/conversations.parquet").collect():
+        given.setdefault(r.conv_id, []).append((r.turn, r.role, r.text or ""))
+    given[-7] = [(0, "user", PROBE_TEXT), (1, "assistant", PROBE_TEXT)]
+    assert PROBE_TEXT == r"\### Assistant: </turn> ok"
+    got = {r.conv_id: r for r in LLM_QUERIES["op11_chat_format"](spark, sample_dir).collect()}
+    assert got.keys() == given.keys()
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    for conv, turns in given.items():
+        turns.sort()
+        learnt = "".join(t for _, role, t in turns if role == "assistant")
+        want = (len(turns), sha("".join(f"{role}\n{t}\n" for _, role, t in turns)), len(learnt), sha(learnt))
+        r = got[conv]
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == want
+        assert r.formatted_chars >= sum(len(role) + len(t) + 16 for _, role, t in turns)
+
+
+def test_main_path_is_sql(spark, sample_dir):
+    plan = LLM_QUERIES["op11_chat_format"](spark, sample_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "MapInPandas")) and plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("text", ["", "\\", "<<turn", "</turn></turn>", "<\\turn \\\\"])
+def test_escaping_is_reversible(spark, text):
+    row = spark.range(1).select(cf.escape(F.lit(text)).alias("e")).select("e", cf.unescape(F.col("e")).alias("u")).first()
+    assert row.u == text and not any(x in row.e for x in cf.OPENERS)
