@@ -14,6 +14,7 @@ from tallyframe.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    periodic_runs,
     quality_mil,
     secret_scan,
     simhash,
@@ -149,6 +150,41 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Of the documents whose crc32(doc_id) ends in 0, the words from ``a``
+    on repeat the first ``p`` of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    placed = split.withColumn("n", F.when(F.size("words") > 0, F.size("words"))).withColumn("a", F.col("g") % F.col("n"))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    source = F.transform(
+        F.sequence(F.lit(0), F.col("n") - 1),
+        lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")),
+    )
+    return placed.select("doc_id", F.coalesce(F.array_join(source, " "), "text").alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(_with_planted_runs(docs))
+    # Runs come by start, then period: the first of equal exponents stays.
+    best = F.aggregate(
+        "runs",
+        F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"),
+        lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b),
+    )
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{k}").alias(k) for k in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def bpe_digest(coded: DataFrame) -> DataFrame:
     """Digest columns of encoded documents (id, ids, decoded)."""
     return coded.select(
@@ -171,6 +207,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
     "op11_chat_format": op11_chat_format,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 LLM_ORACLE: dict[str, str] = {
