@@ -3,6 +3,7 @@ to its whole table and derives the digest columns from the result."""
 
 from __future__ import annotations
 
+import string
 import uuid
 from collections.abc import Callable
 
@@ -18,6 +19,7 @@ from tallyframe.llm import (
     quality_mil,
     secret_scan,
     simhash,
+    spelling_variants,
     style_tree,
     suffix_dedup,
     token_counts,
@@ -150,6 +152,28 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _counted_words(docs: DataFrame) -> DataFrame:
+    """word, n: the runs of letters, A-Z lower-cased, of at least 5 code
+    points and 3 occurrences; in one of 97 occurrences of a run in different
+    documents a letter is missing."""
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all(lower, F.lit("[a-z\u00C0-\u00FF]+"), F.lit(0))).alias("run"))
+    hashed = runs.where(F.length("run") >= 5).select(
+        "run", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")).cast("binary")).alias("h")
+    )
+    at = (F.col("h") % F.length("run")).cast("int")
+    less = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
+    words = hashed.select(F.when(F.col("h") % 97 == 0, less).otherwise(F.col("run")).alias("word"))
+    # The length is asked as an aggregate: below it, the words would be made twice.
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("word")).alias("length"))
+    return counted.where("n >= 3 and length >= 5").select("word", "n")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = _counted_words(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling_variants.spelling_forms(words)
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """Of the documents whose crc32(doc_id) ends in 0, the words from ``a``
     on repeat the first ``p`` of them."""
@@ -207,6 +231,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
     "op11_chat_format": op11_chat_format,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
