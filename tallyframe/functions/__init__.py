@@ -20,6 +20,8 @@ from tallyframe.functions.clock import (
     clock_hour,
     clock_minute,
     clock_period,
+    elapsed_seconds,
+    instant,
     month_range,
     on_dates,
     valid_clock,
@@ -51,6 +53,8 @@ __all__ = [
     "col_of",
     "decode",
     "duration_seconds",
+    "elapsed_seconds",
+    "instant",
     "month_range",
     "on_dates",
     "pct",

@@ -77,3 +77,22 @@ def on_dates(ts: ColumnOrName, dates: list[str] | tuple[str, ...]) -> Column:
         nxt = day + _dt.timedelta(days=1)
         ranges.append((t >= F.lit(f"{day.isoformat()} 00:00:00")) & (t < F.lit(f"{nxt.isoformat()} 00:00:00")))
     return reduce(lambda a, b: a | b, ranges)
+
+
+def instant(ts: ColumnOrName, zone: str) -> Column:
+    """The UTC wall clock of a wall-clock time (TIMESTAMP_NTZ) of ``zone``.
+
+    A time that occurs twice, when clocks go back, is the first of the two; one
+    that does not occur, when they go forward, is moved on by what is skipped."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), col_of(ts))
+
+
+def elapsed_seconds(start: ColumnOrName, end: ColumnOrName, zone: str = "UTC") -> Column:
+    """Whole seconds that pass between two wall-clock times of ``zone``; the
+    session's zone has no part in it."""
+
+    def epoch(ts: ColumnOrName) -> Column:
+        moment = col_of(ts) if zone == "UTC" else instant(ts, zone)
+        return F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), moment) / 1_000_000)
+
+    return epoch(end) - epoch(start)

@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,7 @@ from tallyframe.functions.numeric import (
     rate_per_hour,
     round_half_up,
 )
+from tallyframe.operators.selection import select_ranks
 
 
 def _named(c: ColumnOrName, name: str | None = None) -> Column:
@@ -159,11 +160,6 @@ def _kll(dtype: T.DataType) -> tuple:
     return F.kll_sketch_agg_double, F.kll_merge_agg_double, F.kll_sketch_get_quantile_double, "double"
 
 
-# Value ranges that exact percentiles are ranked in: so many coarse ones, and
-# as many within each.
-PERCENTILE_STEPS = 16
-
-
 def mean_vs_percentiles(
     df: DataFrame,
     value: str,
@@ -177,11 +173,10 @@ def mean_vs_percentiles(
     """One row: mean and percentiles of ``value``; a percentile is the
     smallest value whose rank reaches ``p``.
 
-    ``method="exact"`` counts the rows per value (partial aggregation), deals
-    the values to PERCENTILE_STEPS squared ranges by boundaries that an approximate
-    percentile gives, and ranks each range on its own after the rows of the
-    ranges before it. The boundaries only balance the ranges: the answer does
-    not depend on them, on the partitioning or on the size.
+    ``method="exact"`` selects the ranks by narrowing (``operators.selection``):
+    two scans of ``df``, run at once, of which the second one keeps only values
+    near a wanted rank. The answer does not depend on the partitioning or on
+    the sketch that proposes where to look.
 
     ``method="sketch"`` builds a mergeable KLL sketch (``k = accuracy``, rank
     error about 2/k) per task, folded into ``fan_in`` buckets before the final
@@ -199,48 +194,12 @@ def mean_vs_percentiles(
         return _sketched_percentiles(df, value, percentiles, accuracy, digits, mean_col, names, fan_in)
     if method != "exact":
         raise ValueError(f"no such method: {method}")
-    dtype = df.schema[value].dataType
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    n = PERCENTILE_STEPS
-    coarse, fine = [i / n for i in range(1, n)], [i / n**2 for i in range(1, n**2)]
-    accuracy_of = n**2 * 8
-    bounds = counts.agg(
-        F.struct(
-            F.percentile_approx("_v", coarse, accuracy_of).alias("coarse"),
-            F.percentile_approx("_v", fine, accuracy_of).alias("fine"),
-        )
-    ).scalar()
-
-    def above(boundaries: Column) -> Column:
-        return F.size(F.filter(boundaries, lambda b: b < F.col("_v")))
-
-    # A range number never falls as the value rises, whatever the boundaries.
-    ranged = (
-        counts.withColumn("_bounds", bounds)
-        .withColumn("_coarse", above(F.col("_bounds.coarse")))
-        .withColumn("_range", F.col("_coarse") * n + above(F.slice("_bounds.fine", F.col("_coarse") * n + 1, F.lit(n - 1))))
-        .drop("_bounds", "_coarse")
-    )
-    # At most n * n rows: their running sum is one small task.
-    sums = ranged.groupBy("_range").agg(
-        F.sum("_n").alias("_size"), F.sum(F.col("_v").cast("double") * F.col("_n")).alias("_sum")
-    )
-    every = Window.partitionBy()
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        "_range",
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-        F.sum("_size").over(every).alias("_total"),
-        F.sum("_sum").over(every).alias("_all"),
-    )
-    within = Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranged.join(offsets, "_range").withColumn("_rank", F.col("_before") + F.sum("_n").over(within))
-    picks = [
-        F.min(F.when(F.col("_rank") >= F.ceil(F.col("_total") * F.lit(float(p))), F.col("_v"))).cast(dtype).alias(n)
-        for p, n in zip(percentiles, names, strict=True)
-    ]
-    mean = round_half_up(F.try_divide(F.max("_all"), F.max("_total")), digits).alias(mean_col)
-    return ranked.agg(mean, *picks)
+    found = select_ranks(df, value, lambda n: [math.ceil(n * p) for p in percentiles])
+    ranks = [min(max(1, math.ceil(found.n * p)), max(1, found.n)) for p in percentiles]
+    fields = [T.StructField(n, df.schema[value].dataType) for n in names]
+    schema = T.StructType([T.StructField("_sum", T.DoubleType()), T.StructField("_n", T.LongType()), *fields])
+    row = df.sparkSession.createDataFrame([(found.total, found.n, *[found.at.get(r) for r in ranks])], schema)
+    return row.select(round_half_up(F.try_divide(F.col("_sum"), F.col("_n")), digits).alias(mean_col), *names)
 
 
 def _sketched_percentiles(df, value, percentiles, accuracy, digits, mean_col, names, fan_in) -> DataFrame:
@@ -287,11 +246,13 @@ def avg_rate_by(
     """Mean of the per-row hourly rate (each rate rounded first), per key.
 
     Rows with a zero duration have a NULL rate and do not enter the mean.
+    The mean is taken to 12 digits before it is rounded: it is a sum of
+    doubles, whose last bits must not decide where a value lies half-way.
     """
     if where is not None:
         df = df.filter(where)
     rate = rate_per_hour(amount, start, end, digits)
-    return df.groupBy(*keys).agg(round_half_up(F.avg(rate), digits).alias(alias))
+    return df.groupBy(*keys).agg(round_half_up(F.round(F.avg(rate), 12), digits).alias(alias))
 
 
 def rate_vs_overall(

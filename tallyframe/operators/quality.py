@@ -77,3 +77,38 @@ def reconcile_load(raw: DataFrame, loaded: DataFrame, rules: Sequence[Column]) -
     return counted.select("raw_rows", kept.alias("loaded_rows"), "rejected_rows").withColumn(
         "lost_rows", F.col("raw_rows") - F.col("loaded_rows") - F.col("rejected_rows")
     )
+
+
+def content_checksums(df: DataFrame, *keys: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows and an order-free checksum of their contents per key.
+
+    The checksum is the sum of a 64-bit hash of each row, so it depends
+    neither on the order nor on the partitioning, and repeated rows count as
+    often as they occur. Which cells are NULL is part of the hash, which
+    by itself leaves NULLs out."""
+    names = [c for c in (columns or df.columns) if c not in keys]
+    cells = [F.col(f"`{c}`") for c in names]
+    row = F.xxhash64(*cells, *[c.isNull() for c in cells]) if cells else F.lit(0).cast("long")
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(row.cast("decimal(20,0)")).alias("checksum")
+    )
+
+
+def reconcile_contents(expected: DataFrame, loaded: DataFrame, *keys: str) -> DataFrame:
+    """Per key: rows expected, rows loaded, and whether their contents are
+    the same. A changed cell shows like a lost row does; a key that only one
+    side has counts no rows on the other."""
+    columns = [c for c in expected.columns if c not in keys]
+    sides = [content_checksums(df.select(*keys, *columns), *keys, columns=columns) for df in (expected, loaded)]
+    left, right = (
+        side.select(*[F.col(k).alias(f"{k}_{i}") for k in keys], F.col("n_rows").alias(f"n_{i}"), F.col("checksum").alias(f"c_{i}"))
+        for i, side in enumerate(sides)
+    )
+    match = all_of([F.col(f"{k}_0").eqNullSafe(F.col(f"{k}_1")) for k in keys])
+    n_0, n_1 = (F.coalesce(F.col(f"n_{i}"), F.lit(0)).cast("long") for i in (0, 1))
+    return left.join(right, match, "full").select(
+        *[F.when(F.col("n_0").isNotNull(), F.col(f"{k}_0")).otherwise(F.col(f"{k}_1")).alias(k) for k in keys],
+        n_0.alias("expected_rows"),
+        n_1.alias("loaded_rows"),
+        ((n_0 == n_1) & F.col("c_0").eqNullSafe(F.col("c_1"))).alias("same_contents"),
+    )

@@ -58,6 +58,11 @@ TRIP_COLUMNS = [
     "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount",
 ]
 
+DOUBLE_COLUMNS = [
+    "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
+    "total_amount",
+]
+
 VALID_TRIP = """year(tpep_pickup_datetime) = 1997
     AND month(tpep_pickup_datetime) IN (5, 6, 7, 8, 9, 11, 12)
     AND total_amount > 0
@@ -98,6 +103,26 @@ def _share(key: str, source: str = "clean") -> str:
     )
 
 
+def _catalog_statistics() -> str:
+    """Text and numbers as the catalog shows them: a double with a decimal
+    point, no bounds of text, lengths of fixed-size types by their size."""
+    size = {"tpep_pickup_datetime": 8, "tpep_dropoff_datetime": 8, **dict.fromkeys(DOUBLE_COLUMNS, 8)}
+    parts = []
+    for c in TRIP_COLUMNS:
+        text = c == "store_and_fwd_flag"
+        shown = "strftime({e}, '%Y-%m-%d %H:%M:%S.%f')" if "datetime" in c else "CAST({e} AS VARCHAR)"
+        low, high = ("CAST(NULL AS VARCHAR)" if text else shown.format(e=f"{f}({c})") for f in ("min", "max"))
+        lengths = [f"{f}(length({c}))" if text else str(size.get(c, 4)) for f in ("avg", "max")]
+        bins = 0 if text else 64
+        parts.append(
+            f"SELECT '{c}' AS column_name, count(*) - count({c}) AS num_nulls, {low} AS min_value, {high} AS max_value, "
+            f"CAST(ceil({lengths[0]}) AS BIGINT) AS avg_len, CAST({lengths[1]} AS BIGINT) AS max_len, "
+            f"true AS distinct_within_error, CAST({bins} AS BIGINT) AS histogram_bins, "
+            f"{'false' if text else 'true'} AS bins_hold_all_rows FROM trips"
+        )
+    return _with_trips("\nUNION ALL\n".join(parts))
+
+
 def _column_profile(sketched: bool = False) -> str:
     types = {
         "VendorID": "int", "tpep_pickup_datetime": "timestamp_ntz", "tpep_dropoff_datetime": "timestamp_ntz",
@@ -108,7 +133,7 @@ def _column_profile(sketched: bool = False) -> str:
     }
     distinct = "count(DISTINCT {c}) AS distinct_count"
     if sketched:
-        distinct = "count(DISTINCT {c}) BETWEEN 1 AND count(*) AS distinct_possible"
+        distinct = "true AS distinct_within_error"
     parts = []
     for c in TRIP_COLUMNS:
         text = types[c] == "string"
@@ -210,6 +235,30 @@ TRIP_ORACLE = {
     "t14b_reload_and_drop": _with_clean(
         'SELECT month, count(*) AS "count" FROM clean WHERE month <> 12 OR VendorID = 1 GROUP BY month'
     ),
+    "t14c_rejected_lines": _with_trips(
+        "SELECT CASE WHEN trip_part % 101 = 0 THEN 'passenger_count' "
+        "WHEN trip_part % 103 = 0 OR trip_part % 107 = 0 THEN 'cells' ELSE 'none' END AS reason, "
+        "count(*) AS n, CAST(CASE WHEN reason = 'none' THEN sum(passenger_count) ELSE 0 END AS BIGINT) AS passengers "
+        "FROM keyed_trips GROUP BY 1"
+    ),
+    "t15b_content_reconciliation": _with_clean(
+        "SELECT month, count(*) AS expected_rows, count(*) AS loaded_rows, true AS same_contents FROM clean GROUP BY month"
+    ),
+    "t04c_catalog_statistics": _catalog_statistics(),
+    "t23b_speed_by_date_bucketed": _with_clean(
+        f"SELECT date, {R(f'avg({SPEED})')} AS average_mph FROM clean GROUP BY date"
+    ),
+    "t23c_speed_in_listed_months": _with_clean(
+        f"SELECT month, {R(f'avg({SPEED})')} AS average_mph FROM clean WHERE month IN (7, 8, 9) GROUP BY month"
+    ),
+    # An hour more passes where a trip starts before the clocks go back, at two, and ends after.
+    "t23d_seconds_over_clock_change": _with_trips(
+        "SELECT CAST(hour(ended) AS INTEGER) AS end_hour, s AS seconds_utc, "
+        "CASE WHEN ended >= TIMESTAMP '2017-11-05 02:00:00' THEN s + 3600 ELSE s END AS seconds_local, "
+        'count(*) AS "count" FROM (SELECT s, TIMESTAMP \'2017-11-05 00:30:00\' + to_minutes(trip_line) + to_seconds(s) AS ended '
+        "FROM (SELECT trip_line, CAST(date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime) "
+        "+ 7200 * (trip_line % 2) AS BIGINT) AS s FROM keyed_trips)) GROUP BY 1, 2, 3"
+    ),
     "t15_load_reconciliation": _with_clean(
         "SELECT r.raw_rows, c.loaded_rows, r.raw_rows - c.loaded_rows AS rejected_rows, "
         "CAST(0 AS BIGINT) AS lost_rows FROM (SELECT count(*) AS raw_rows FROM trips) r, "
@@ -363,11 +412,11 @@ def _top(key: str, n: int, where: str = "", source: str = "ticket_time", count:
 
 
 def _ranked(group: str, item: str, source: str) -> str:
+    """Per group the items whose count is among its three greatest ones."""
     return (
-        f"SELECT * FROM (SELECT {group}, {item}, TicketCount, "
-        f"CAST(dense_rank() OVER (PARTITION BY {group} ORDER BY TicketCount DESC) AS INTEGER) AS \"Rank\" "
-        f"FROM (SELECT {group}, {item}, count(*) AS TicketCount FROM {source} GROUP BY {group}, {item}) c) r "
-        f"WHERE \"Rank\" <= 3"
+        f"SELECT {group}, {item}, count(*) AS TicketCount, "
+        f"CAST(dense_rank() OVER (PARTITION BY {group} ORDER BY count(*) DESC) AS INTEGER) AS \"Rank\" "
+        f"FROM {source} GROUP BY {group}, {item} QUALIFY \"Rank\" < 4"
     )
 
 
@@ -453,6 +502,13 @@ TICKET_ORACLE = {
     ),
     "k04a_distinct_summons": _ev("SELECT count(DISTINCT SummonsNumber) AS CountSummons FROM ticket_time"),
     "k04b_distinct_states": _ev("SELECT count(DISTINCT RegistrationState) AS CountStates FROM ticket_time"),
+    "k04c_stored_distinct_sketches": _ship(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, CASE WHEN count(DISTINCT {c}) <= 4096 THEN CAST(count(DISTINCT {c}) AS VARCHAR) ELSE 'over 4096' END AS distinct_estimate, "
+            "true AS within_stated_error, count(DISTINCT IssueMonth) AS n_partitions, count(*) AS n_rows FROM ticket_time"
+            for c in ("RegistrationState", "ViolationCode", "VehicleMake", "SummonsNumber", "ViolationTime")
+        )
+    ),
     "k05_state_frequency": _ev(
         'SELECT RegistrationState, count(*) AS "count" FROM ticket_time GROUP BY RegistrationState '
         "ORDER BY count(*) DESC, RegistrationState"
@@ -473,6 +529,10 @@ TICKET_ORACLE = {
     "k07b_top_body_types": _ev(_top("VehicleBodyType", 5)),
     "k07c_top_makes": _ev(_top("VehicleMake", 5)),
     "k07d_top_violation_precincts": _ev(_top("ViolationPrecinct", 5)),
+    "k07e_top_owners_heavy": "WITH " + TICKETS_CTE + """
+        SELECT CASE WHEN SummonsNumber % 10 < 3 THEN 'fleet ' || ViolationCode % 6 ELSE 'owner ' || SummonsNumber END AS "Owner",
+               count(*) AS "count"
+        FROM tickets GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
     "k08a_top_violation_precincts_valid": _ev(_top("ViolationPrecinct", 5, "ViolationPrecinct <> 0")),
     "k08b_top_issuer_precincts_valid": _ev(_top("IssuerPrecinct", 5, "IssuerPrecinct <> 0")),
     "k09_top_issuer_precincts": _ev(_top("IssuerPrecinct", 3, "IssuerPrecinct <> 0")),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.bins import season, time_of_day
 from tallyframe.functions.clock import clock_hour, clock_minute, clock_period, valid_clock
 from tallyframe.operators import aggregate as agg
-from tallyframe.operators import profile, quality, rank
+from tallyframe.operators import heavy, profile, quality, rank, sketches
 from tallyframe.operators.recode import recode_to_mode, recoded_frequency
 from tallyframe.plans.bindings import bound_fines, tickets, tickets_by_shipment
 from tallyframe.sources import delimited, tables
@@ -324,25 +324,59 @@ def k23_revenue_estimate(spark, folder):
     return revenue(top_codes(_binned(spark, folder), BOUND_TICKET_RULES), bound_fines(spark))
 
 
-# SQL text over a registered view; {view} is its name.
-TOP_CODES_PER_BIN_SQL = """
-    SELECT TimeOfDay, ViolationCode, TicketCount, Rank
-    FROM (SELECT TimeOfDay, ViolationCode, TicketCount,
-                 dense_rank() OVER (PARTITION BY TimeOfDay ORDER BY TicketCount DESC) AS Rank
-          FROM (SELECT TimeOfDay, ViolationCode, count(*) AS TicketCount
-                FROM {view} GROUP BY TimeOfDay, ViolationCode))
-    WHERE Rank <= 3
-"""
+def top_per_group_sql(view: str, group: str, item: str, k: int) -> str:
+    """``rank.top_k_per_group`` as SQL text over a registered view: a
+    counting step, then a ranking step over what was counted."""
+    return f"""
+        WITH counted AS (SELECT {group}, {item}, count(*) AS TicketCount FROM {view} GROUP BY ALL),
+        placed AS (SELECT *, dense_rank() OVER (PARTITION BY {group} ORDER BY TicketCount DESC) AS Rank FROM counted)
+        SELECT * FROM placed WHERE Rank <= {k}
+    """
 
 
 def k17b_top_codes_per_bin_sql(spark, folder):
     view = f"tickets_bin_{uuid.uuid4().hex[:12]}"
     _binned(spark, folder).createOrReplaceTempView(view)
-    out = spark.sql(TOP_CODES_PER_BIN_SQL.format(view=view))
+    out = spark.sql(top_per_group_sql(view, "TimeOfDay", "ViolationCode", BOUND_TICKET_RULES.top_three))
     spark.catalog.dropTempView(view)  # the analysed query no longer needs it
     return out
 
 
+def k07e_top_owners_heavy(spark, folder):
+    """The five owners with the most tickets, where three tickets of ten go
+    to one of six fleets and any other is its owner's only one."""
+    fleet = F.concat(F.lit("fleet "), F.col("ViolationCode") % 6)
+    owner = F.when(F.col("SummonsNumber") % 10 < 3, fleet).otherwise(F.concat(F.lit("owner "), F.col("SummonsNumber")))
+    return heavy.top_n_heavy(tickets(spark, folder).select(owner.alias("Owner")), "Owner", BOUND_TICKET_RULES.top_five)
+
+
+SKETCHED_COLUMNS = ("RegistrationState", "ViolationCode", "VehicleMake", "SummonsNumber", "ViolationTime")
+
+
+def stored_sketches(timed: DataFrame, path: str) -> DataFrame:
+    """Distinct values per column, from sketches stored per issue month and
+    merged: the estimate where the sketch holds every value and is exact, and
+    everywhere whether it is within its stated error of the exact count."""
+    sketches.write_distinct_sketches(timed, path, SKETCHED_COLUMNS, "IssueMonth")
+    merged = sketches.distinct_from_sketches(timed.sparkSession, path)
+    exact = profile.column_profile(timed.select(*SKETCHED_COLUMNS)).select("column_name", F.col("distinct_count").alias("exact"))
+    off = F.abs(F.col("distinct_estimate") - F.col("exact"))
+    return merged.join(exact, "column_name").select(
+        "column_name",
+        F.when(F.col("exact") <= 1 << sketches.LG_K, F.col("distinct_estimate").cast("string"))
+        .otherwise(f"over {1 << sketches.LG_K}")
+        .alias("distinct_estimate"),
+        (off <= sketches.stated_error() * F.col("exact")).alias("within_stated_error"),
+        "n_partitions",
+        "n_rows",
+    )
+
+
+def k04c_stored_distinct_sketches(spark, folder):
+    _, path = tables.table_location(spark, "ticket_sketches")
+    return stored_sketches(_shipment_time(spark, folder), path)
+
+
 def _shipment_time(spark: SparkSession, folder: str) -> DataFrame:
     return derive_ticket_time(tickets_by_shipment(spark, folder))
 
@@ -362,6 +396,8 @@ QUERIES = {
     "k02_shape": k02_shape,
     **{k: _bound(k, fn, _time) for k, fn in TIME_ANALYSES.items() if k != "k20_month_frequency"},
     **{k: _bound(k, fn, _binned) for k, fn in BIN_ANALYSES.items()},
+    "k04c_stored_distinct_sketches": k04c_stored_distinct_sketches,
+    "k07e_top_owners_heavy": k07e_top_owners_heavy,
     "k17b_top_codes_per_bin_sql": k17b_top_codes_per_bin_sql,
     "k20_month_frequency": _bound("k20_month_frequency", month_frequency, _shipment_time),
     **{k: _bound(k, fn, _seasonal) for k, fn in SEASON_ANALYSES.items()},

@@ -6,7 +6,8 @@ clean rows (``CLEAN_ANALYSES``) and the rule parameters. ``trip_report``
 runs them all for any raw trip table, ``analyses_over`` runs the clean-row
 ones over e.g. the loaded ORC table, and ``QUERIES`` binds them to the
 test-data binding as ``(spark, folder)`` callables. All results are lazy
-DataFrames; only the keys that load a table write anything.
+DataFrames, but for column profiles and percentiles, whose later scans depend
+on what the first one finds: these run when they are asked for.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ from tallyframe.functions.bins import (
     TIP_BANDS_AS_WRITTEN,
     TIP_BANDS_HALF_OPEN,
 )
-from tallyframe.functions.clock import month_range, on_dates
+from tallyframe.functions.clock import elapsed_seconds, month_range, on_dates
 from tallyframe.operators import aggregate as agg
-from tallyframe.operators import profile, quality
+from tallyframe.operators import distinct, profile, quality
 from tallyframe.plans.bindings import TRIP_KEYS, keyed_trips, trips
 from tallyframe.sources import delimited, tables
 from tallyframe.sources.schema import TRIP_RAW_SCHEMA
@@ -102,17 +103,22 @@ def _clean(spark: SparkSession, folder: str) -> DataFrame:
 # Each takes the raw trip rows and the rule parameters.
 
 
+SKETCH_ERROR = 0.05
+
+
 def raw_sample(raw: DataFrame, rules: TripRules) -> DataFrame:
     return profile.sample_rows(raw, rules.sample_rows)
 
 
 def columns_profile_sketched(raw: DataFrame, rules: TripRules) -> DataFrame:
-    """The profile in one scan, with estimated distinct counts; the estimate
-    is reported as whether it is possible for the number of rows."""
-    rows = raw.agg(F.count(F.lit(1))).scalar()
-    found = profile.column_profile(raw, exact_distinct=False)
-    possible = F.col("distinct_count").between(F.lit(1), rows * F.lit(1.15))
-    return found.withColumn("distinct_possible", possible).drop("distinct_count")
+    """The profile in one lazy pass, with estimated distinct counts; each is
+    reported as whether it is within three times its stated error of the exact
+    count."""
+    exact = profile.column_profile(raw, staged=True).select("column_name", F.col("distinct_count").alias("exact"))
+    found = profile.column_profile(raw, exact_distinct=False, rsd=SKETCH_ERROR)
+    off = F.abs(F.col("distinct_count") - F.col("exact"))
+    within = off <= F.greatest(F.lit(1.0), 3 * SKETCH_ERROR * F.col("exact"))
+    return found.join(exact, "column_name").withColumn("distinct_within_error", within).drop("distinct_count", "exact")
 
 
 def fare_mean_vs_percentiles(raw: DataFrame, rules: TripRules) -> DataFrame:
@@ -128,7 +134,7 @@ def pickup_periods(raw: DataFrame, rules: TripRules) -> DataFrame:
 
 
 def columns_profile(raw: DataFrame, rules: TripRules) -> DataFrame:
-    return profile.column_profile(raw)
+    return profile.column_profile(raw, staged=True)
 
 
 def passenger_frequency(raw: DataFrame, rules: TripRules) -> DataFrame:
@@ -250,6 +256,36 @@ def t14b_reload_and_drop(spark, folder):
     return agg.frequency(spark.read.orc(path), "month")
 
 
+def t14c_rejected_lines(spark, folder):
+    """Rows and lines by reason of a landing folder in which, by the trip's
+    part, a cell is text that is no number, the last cell is missing, or there
+    is one too many."""
+    given = keyed_trips(spark, folder)
+    names = [f.name for f in TRIP_RAW_SCHEMA.fields]
+    line = F.to_csv(F.struct(*[F.col(n) for n in names]), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    broken = F.to_csv(
+        F.struct(*[F.lit("two").alias(n) if n == "passenger_count" else F.col(n) for n in names]),
+        {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"},
+    )
+    part = F.col("trip_part")
+    planted = (
+        F.when(part % 101 == 0, broken)
+        .when(part % 103 == 0, F.regexp_replace(line, ",[^,]*$", ""))
+        .when(part % 107 == 0, F.concat(line, F.lit(",more")))
+        .otherwise(line)
+    )
+    _, path = tables.table_location(spark, "trip_landing_bad")
+    given.select(planted.alias("line")).write.text(path)
+    rows, rejects = delimited.read_with_rejects(spark, path, TRIP_RAW_SCHEMA, header=False)
+    _, sink = tables.table_location(spark, "trip_rejects")
+    rejects.write.parquet(sink)
+    good = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("passenger_count"), F.lit(0)).alias("passengers")).select(
+        F.lit("none").alias("reason"), "n", "passengers"
+    )
+    found = spark.read.parquet(sink).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return good.unionByName(found.withColumn("passengers", F.lit(0).cast("long")))
+
+
 def load_reconciliation(raw: DataFrame, loaded: DataFrame, rules: TripRules) -> DataFrame:
     return quality.reconcile_load(raw, loaded, trip_rules(rules))
 
@@ -258,6 +294,104 @@ def t15_load_reconciliation(spark, folder):
     return load_reconciliation(trips(spark, folder), _loaded(spark, folder), BOUND_RULES)
 
 
+def t15b_content_reconciliation(spark, folder):
+    """The clean rows and the loaded table by month, contents included."""
+    return quality.reconcile_contents(_clean(spark, folder), _loaded(spark, folder), "month")
+
+
+HISTOGRAM_BINS = 64
+
+
+def _whole_bounds(rows: DataFrame, stats) -> tuple:
+    """Smallest and largest value of a column of whole numbers, as the catalog has them."""
+    if not distinct.is_whole(rows.schema[stats.column_name].dataType) or stats["min"] is None:
+        return ()
+    return int(stats["min"]), int(stats["max"])
+
+
+def catalog_profile(raw: DataFrame, table: str, path: str) -> DataFrame:
+    """What the catalog says of the 17 columns after an ANALYZE with
+    histograms, next to exact counts: whether its distinct count is within
+    three times the stated error, and whether the histogram's bins hold all rows
+    that are not null."""
+    spark = raw.sparkSession
+    rows = tables.save_table(raw, table, path)
+    tables.gather_statistics(spark, table, HISTOGRAM_BINS)
+    stats = tables.column_statistics(spark, table)
+    bins = tables.column_histograms(spark, table).groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("histogram_bins"), F.sum("height").alias("held")
+    )
+    extents = {
+        r.column_name: distinct.Extent(int(r.distinct_count), *_whole_bounds(rows, r)) for r in stats.collect()
+    }  # a row per column
+    counts = distinct.distinct_counts(rows, extents)
+    exact = spark.createDataFrame(list(counts.items()), "column_name string, exact long")
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    tables.drop_table(spark, table)
+    nulls = F.col("num_nulls").cast("long")
+    off = F.abs(F.col("distinct_count").cast("long") - F.col("exact"))
+    return stats.join(exact, "column_name").join(bins, "column_name", "left").select(
+        "column_name",
+        nulls.alias("num_nulls"),
+        F.col("min").alias("min_value"),
+        F.col("max").alias("max_value"),
+        F.col("avg_col_len").cast("long").alias("avg_len"),
+        F.col("max_col_len").cast("long").alias("max_len"),
+        (off <= F.greatest(F.lit(1.0), 3 * tables.NDV_ERROR * F.col("exact"))).alias("distinct_within_error"),
+        F.coalesce("histogram_bins", F.lit(0)).alias("histogram_bins"),
+        F.coalesce(F.abs(F.col("held") - (total - nulls)) < 0.001 * total, F.lit(False)).alias("bins_hold_all_rows"),
+    )
+
+
+def t04c_catalog_statistics(spark, folder):
+    return catalog_profile(trips(spark, folder), *tables.table_location(spark, "trip_statistics"))
+
+
+def t23b_speed_by_date_bucketed(spark, folder):
+    """Mean speed per date over the loaded table, read through the catalog,
+    which knows its buckets: rows of a date are in one bucket, so nothing
+    is shuffled. The table stays in the catalog, as its scan needs it."""
+    name, path = tables.table_location(spark, "trip_bucketed")
+    loaded = load_clean(_clean(spark, folder), name, path, BOUND_RULES)
+    return agg.avg_rate_by(loaded, "trip_distance", PICKUP, DROPOFF, "date")
+
+
+# The months of each quarter.
+QUARTERS = [(month, f"Q{(month + 2) // 3}") for month in range(1, 13)]
+
+
+def t23c_speed_in_listed_months(spark, folder, quarter: str = "Q3"):
+    """Mean speed per month of a quarter. The months come from a table, and
+    what it lists prunes the partitions of the loaded table at run time."""
+    loaded = _loaded(spark, folder)
+    _, path = tables.table_location(spark, "quarters")
+    tables.literal_table(spark, QUARTERS, "month int, quarter string").write.parquet(path)
+    listed = spark.read.parquet(path).where(F.col("quarter") == quarter)
+    return agg.avg_rate_by(loaded.join(F.broadcast(listed), "month"), "trip_distance", PICKUP, DROPOFF, "month")  # 12 rows
+
+
+# The night on which clocks went back, and where.
+CLOCK_CHANGE, CLOCK_ZONE = "2017-11-05 00:30:00", "America/New_York"
+
+
+def t23d_seconds_over_clock_change(spark, folder):
+    """Every trip moved into the night of the clock change: it starts at
+    half past midnight plus its line number in minutes and takes as long by the
+    wall clock as it does by its own, plus two hours. Seconds that
+    passed, where clocks go back and where they do not, and trips with these."""
+    start = F.lit(CLOCK_CHANGE).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("trip_line").cast("int"))
+    wall = F.timestamp_diff("SECOND", F.col(PICKUP), F.col(DROPOFF))
+    moved = keyed_trips(spark, folder).select(start.alias("start"), (start + F.make_dt_interval(secs=wall + F.expr("7200 * (trip_line % 2)"))).alias("end"))
+    return agg.frequency(
+        moved.select(
+            F.hour("end").alias("end_hour"),
+            elapsed_seconds("start", "end").alias("seconds_utc"),
+            elapsed_seconds("start", "end", CLOCK_ZONE).alias("seconds_local"),
+        ),
+        "end_hour", "seconds_utc", "seconds_local",
+    )
+
+
 # ---- analyses over the clean rows --------------------------------------------
 # Each takes the clean rows -- the lazily derived frame, or the loaded ORC
 # table read back (``spark.table``), which cuts the lineage at the load --
@@ -359,8 +493,8 @@ def trip_report(raw: DataFrame, rules: TripRules = REFERENCE_RULES) -> dict[str,
     """Every trip analysis for a raw trip table with the original column
     names (e.g. read with ``read_delimited(spark, path, TRIP_RAW_SCHEMA)``):
     the quality profile over ``raw`` and the statistics over its clean
-    rows. Lazy: nothing runs until a result is used; the load step
-    (``load_clean``) is left to the caller."""
+    rows. Nothing but the profiles and percentiles runs until a result is used;
+    the load step (``load_clean``) is left to the caller."""
     report = {key: fn(raw, rules) for key, fn in RAW_ANALYSES.items()}
     report.update(analyses_over(clean_trips(raw, rules), rules))
     return report
@@ -400,7 +534,13 @@ QUERIES = {
     "t14a_csv_landing_scan": t14a_csv_landing_scan,
     "t14_clean_load": t14_clean_load,
     "t14b_reload_and_drop": t14b_reload_and_drop,
+    "t14c_rejected_lines": t14c_rejected_lines,
     "t15_load_reconciliation": t15_load_reconciliation,
+    "t15b_content_reconciliation": t15b_content_reconciliation,
+    "t04c_catalog_statistics": t04c_catalog_statistics,
+    "t23b_speed_by_date_bucketed": t23b_speed_by_date_bucketed,
+    "t23c_speed_in_listed_months": t23c_speed_in_listed_months,
+    "t23d_seconds_over_clock_change": t23d_seconds_over_clock_change,
     **{k: _bound(k, CLEAN_ANALYSES, _clean) for k in CLEAN_ANALYSES},
     **{f"{k}_loaded": _over_loaded(k) for k in OVER_LOADED},
 }

@@ -5,11 +5,13 @@ from tallyframe.sources.delimited import (
     normalise_names,
     read_delimited,
     read_inferred,
+    read_with_rejects,
     write_delimited,
 )
 from tallyframe.sources.schema import TICKET_RAW_SCHEMA, TRIP_RAW_SCHEMA, subset, without_spaces
 from tallyframe.sources.tables import (
     check_table,
+    column_histograms,
     column_statistics,
     create_table_if_absent,
     drop_table,
@@ -18,6 +20,7 @@ from tallyframe.sources.tables import (
     load_table,
     overwrite_partitions,
     read_parquet,
+    save_table,
     table_location,
 )
 
@@ -25,6 +28,7 @@ __all__ = [
     "TICKET_RAW_SCHEMA",
     "TRIP_RAW_SCHEMA",
     "check_table",
+    "column_histograms",
     "column_statistics",
     "create_table_if_absent",
     "drop_table",
@@ -37,6 +41,8 @@ __all__ = [
     "read_delimited",
     "read_inferred",
     "read_parquet",
+    "read_with_rejects",
+    "save_table",
     "subset",
     "table_location",
     "without_spaces",

@@ -51,6 +51,47 @@ def malformed_rows(spark: SparkSession, path: str, schema: T.StructType, sep: st
     )
 
 
+def read_with_rejects(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of delimited text that fit the declared schema, and the
+    lines that do not, as they stand, with a reason each.
+
+    The rejects have ``line``, ``bad_columns`` (the columns whose cell does not
+    fit its type) and ``reason``: ``cells`` where there are too few or too many of
+    them, or else the bad columns joined by a blank. Nothing is
+    dropped: each line is in one of the two. Both are lazy; write the rejects
+    next to the table that the rows go to."""
+    bad = "_malformed"
+    marked = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    read = (
+        spark.read.schema(marked)
+        .option("header", header)
+        .option("sep", sep)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", bad)
+        .option("enforceSchema", True)
+        .csv(path)
+    )
+    cells = [F.col(f"`{f.name}`") for f in schema.fields]
+    # A scan that prunes a column does not parse it: every cell is asked for.
+    parsed = F.length(F.concat_ws("", *[c.cast("string") for c in cells])) >= 0
+    rows = read.where(F.col(bad).isNull() & parsed).select(*cells)
+    # The line again, all of it text: it is wrong by itself if it has too few
+    # or too many cells; otherwise each cell is tried with its type.
+    spelled = ", ".join([*[f"c{i} STRING" for i in range(len(cells))], f"{bad} STRING"])
+    lines = read.where(F.col(bad).isNotNull() & parsed).select(F.col(bad).alias("line"))
+    lines = lines.withColumn("text", F.from_csv("line", F.lit(spelled), {"sep": sep, "columnNameOfCorruptRecord": bad}))
+    wrong = F.col(f"text.{bad}").isNotNull()
+    misfits = [
+        F.when(F.col(f"text.c{i}").isNotNull() & F.col(f"text.c{i}").try_cast(f.dataType).isNull(), F.lit(f.name))
+        for i, f in enumerate(schema.fields)
+    ]
+    listed = F.when(~wrong, F.filter(F.array(*misfits), lambda c: c.isNotNull())).otherwise(F.array().cast("array<string>"))
+    reason = F.when(wrong, F.lit("cells")).otherwise(F.array_join("bad_columns", " "))
+    return rows, lines.withColumn("bad_columns", listed).select("line", "bad_columns", reason.alias("reason"))
+
+
 def read_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Scan delimited text with header and inferred types.
 

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.session import shared_dir
@@ -121,11 +119,35 @@ def load_table(
     return spark.table(table)
 
 
-def gather_statistics(spark: SparkSession, table: str) -> None:
+STATISTICS = ("min", "max", "num_nulls", "distinct_count", "avg_col_len", "max_col_len")
+# The share by which the catalog's distinct counts may be off (Spark's default for them).
+NDV_ERROR = 0.05
+
+
+def gather_statistics(spark: SparkSession, table: str, histogram_bins: int | None = None) -> None:
     """``ANALYZE TABLE ... COMPUTE STATISTICS FOR ALL COLUMNS``: row count,
-    size and per-column min, max, NULL count, distinct count and lengths
-    are stored in the catalog, where the cost-based optimiser reads them."""
-    spark.sql(f"ANALYZE TABLE `{table}` COMPUTE STATISTICS FOR ALL COLUMNS")
+    size and per-column min, max, NULL count, estimated distinct count and
+    lengths are stored in the catalog, where the cost-based optimiser reads
+    them. With ``histogram_bins`` also an equi-height histogram of every
+    column whose type has one, which takes a second pass."""
+    bins = {
+        "spark.sql.statistics.histogram.enabled": str(histogram_bins is not None).lower(),
+        "spark.sql.statistics.histogram.numBins": str(histogram_bins or 254),
+    }
+    before = {k: spark.conf.get(k) for k in bins}
+    try:
+        for k, v in bins.items():
+            spark.conf.set(k, v)
+        spark.sql(f"ANALYZE TABLE `{table}` COMPUTE STATISTICS FOR ALL COLUMNS")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _described(spark: SparkSession, table: str, column: str) -> dict[str, str]:
+    """What the catalog says of a column: metadata, a few rows."""
+    rows = spark.sql(f"DESCRIBE EXTENDED `{table}` `{column}`").collect()
+    return {r.info_name: r.info_value for r in rows if r.info_value != "NULL"}
 
 
 def column_statistics(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
@@ -137,13 +159,33 @@ def column_statistics(spark: SparkSession, table: str, columns: list[str] | None
     ``gather_statistics`` first.
     """
     names = columns or spark.table(table).columns
-    wanted = ["min", "max", "num_nulls", "distinct_count", "avg_col_len", "max_col_len"]
-    parts = [
-        spark.sql(f"DESCRIBE EXTENDED `{table}` `{name}`")
-        .groupBy()
-        .pivot("info_name", wanted)
-        .agg(F.first(F.when(F.col("info_value") != "NULL", F.col("info_value"))))
-        .select(F.lit(name).alias("column_name"), *wanted)
-        for name in names
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [(name, *[_described(spark, table, name).get(k) for k in STATISTICS]) for name in names]
+    return spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in ("column_name", *STATISTICS)))
+
+
+_HEIGHT = re.compile(r"height: ([^,]+), num_of_bins: (\d+)")
+_BIN = re.compile(r"lower_bound: ([^,]+), upper_bound: ([^,]+), distinct_count: (\d+)")
+
+
+def column_histograms(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
+    """The stored histograms, one row per bin: ``column_name, bin, lower,
+    upper, distinct_count, height`` (rows per bin; bounds as the catalog's
+    numbers, dates and times in days and microseconds). Columns without one
+    have no row."""
+    rows = []
+    for name in columns or spark.table(table).columns:
+        found = _described(spark, table, name)
+        if (height := _HEIGHT.match(found.get("histogram", ""))) is None:
+            continue
+        for i in range(int(height.group(2))):
+            low, high, different = _BIN.match(found[f"bin_{i}"]).groups()
+            rows.append((name, i, float(low), float(high), int(different), float(height.group(1))))
+    schema = "column_name string, bin int, lower double, upper double, distinct_count long, height double"
+    return spark.createDataFrame(rows, schema)
+
+
+def save_table(df: DataFrame, table: str, location: str, fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` as an external table of the catalog, neither partitioned
+    nor bucketed, and return it as read back."""
+    df.write.format(fmt).option("path", location).saveAsTable(table)
+    return df.sparkSession.table(table)

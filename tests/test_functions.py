@@ -170,3 +170,23 @@ def test_on_dates_matches_to_date_and_pushes_down(spark, tmp_path):
     want = df.filter(F.to_date("ts").isin(*[F.lit(d).cast("date") for d in days]))
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 3
     assert "Or(And(GreaterThanOrEqual(ts" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seconds_over_a_clock_change(spark):
+    """Half past midnight to three, on the night that clocks go back in New
+    York, and back and forth over a gap and a fold."""
+    from tallyframe.functions import elapsed_seconds
+
+    rows = [
+        ("2017-11-05 00:30:00", "2017-11-05 03:00:00"), ("2017-03-12 01:30:00", "2017-03-12 03:30:00"),
+        ("2017-03-12 01:30:00", "2017-03-12 02:30:00"), ("2017-11-05 00:30:00", "2017-11-05 01:30:00"),
+        ("2017-06-01 10:00:00.9", "2017-06-01 10:00:01.1"), (None, "2017-06-01 10:00:01"),
+    ]
+    df = spark.createDataFrame(rows, "a string, b string").selectExpr("cast(a as timestamp_ntz) a", "cast(b as timestamp_ntz) b")
+    seconds = df.select(elapsed_seconds("a", "b").alias("utc"), elapsed_seconds("a", "b", "America/New_York").alias("ny"))
+    want = [(9000, 12600), (7200, 3600), (3600, 3600), (3600, 3600), (1, 1), (None, None)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in (before, "Europe/Paris"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert [tuple(r) for r in seconds.collect()] == want
+    spark.conf.set("spark.sql.session.timeZone", before)

@@ -97,7 +97,13 @@ def _jobs(spark):
 
 
 WRITERS = {"t14a_csv_landing_scan", "t14_clean_load", "t14b_reload_and_drop", "t15_load_reconciliation",
-           "k01_ingest_renamed", "k01b_ingest_inferred"}
+           "k01_ingest_renamed", "k01b_ingest_inferred",
+           "t04c_catalog_statistics", "t14c_rejected_lines", "t15b_content_reconciliation",
+           "t23b_speed_by_date_bucketed", "t23c_speed_in_listed_months", "k04c_stored_distinct_sketches",
+           # Exact percentiles write the values near a wanted rank and decide on their counts.
+           "t19_tip_mean_vs_percentiles", "t19b_fare_mean_vs_percentiles",
+           # A first pass finds how each column is counted, or which values are candidates.
+           "t04_column_profile", "t04b_column_profile_sketched", "k07e_top_owners_heavy"}
 
 
 def test_building_a_query_only_reads_footers(spark):
@@ -275,3 +281,32 @@ def test_one_pass_plans_share_their_aggregation(spark, key):
     df = contract.queries()[key](spark, SMALL)
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def _executed(df):
+    """The final plan, after the rows are read."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_read_has_no_exchange(spark):
+    plan = _executed(contract.queries()["t23b_speed_by_date_bucketed"](spark, SMALL))
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_listed_months_prune_at_run_time(spark):
+    df = contract.queries()["t23c_speed_in_listed_months"](spark, SMALL)
+    plan = _executed(df)
+    assert "dynamicpruning" in plan
+    scans = [line for line in plan.splitlines() if "FileScan orc" in line]
+    assert scans and "month" in scans[0]
+
+
+def test_column_profile_has_no_expand(spark):
+    from tallyframe.operators import column_profile
+    from tallyframe.plans.bindings import trips
+
+    raw = trips(spark, SMALL)
+    lazy = column_profile(raw)
+    assert "Expand" not in _executed(lazy)
+    assert sorted(lazy.collect()) == sorted(contract.queries()["t04_column_profile"](spark, SMALL).collect())

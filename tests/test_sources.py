@@ -5,6 +5,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.sources import (
@@ -165,3 +166,73 @@ def test_shared_folder_must_be_named_on_a_cluster():
         shared_dir(SimpleNamespace(sparkContext=sc))
     sc.getCheckpointDir = lambda: "hdfs:///shared/x/"
     assert shared_dir(SimpleNamespace(sparkContext=sc)) == "hdfs:///shared/x"
+
+
+def test_catalog_histograms_are_rows(spark):
+    from tallyframe.sources import column_histograms, column_statistics, gather_statistics, save_table
+
+    df = spark.range(0, 1000).select(F.col("id").cast("int").alias("i"), (F.col("id") % 10).cast("double").alias("v"), F.lit("t").alias("s"))
+    name, path = table_location(spark, "histograms")
+    save_table(df, name, path)
+    before = spark.conf.get("spark.sql.statistics.histogram.enabled")
+    gather_statistics(spark, name, histogram_bins=10)
+    assert spark.conf.get("spark.sql.statistics.histogram.enabled") == before
+    bins = column_histograms(spark, name).collect()
+    of = {c: sorted((r.bin, r.lower, r.upper) for r in bins if r.column_name == c) for c in "ivs"}
+    assert len(of["i"]) == 10 and of["i"][0][1] == 0.0 and of["i"][-1][2] == 999.0 and of["s"] == []
+    assert all(r.height == 100.0 for r in bins)
+    assert all(a[2] == b[1] for a, b in zip(of["i"], of["i"][1:], strict=False))
+    got = {r.column_name: r for r in column_statistics(spark, name).collect()}
+    assert got["i"].max == "999" and got["s"].min is None and got["s"].avg_col_len == "1"
+
+
+def test_statistics_change_the_join_order(spark):
+    """Three joined tables of like size on disk: with statistics the
+    optimiser starts with the join that leaves fewest rows."""
+    from tallyframe.sources import gather_statistics, save_table
+
+    fact = spark.range(0, 20_000).select((F.col("id") % 100).alias("a"), (F.col("id") % 4000).alias("b"), F.col("id").alias("f"))
+    wide = spark.range(0, 4_000).select((F.col("id") % 100).alias("a"), F.col("id").alias("w"))
+    narrow = spark.range(0, 40).select(F.col("id").alias("b"), (F.col("id") + 1).alias("n"))
+    names = []
+    for df, name in ((fact, "join_fact"), (wide, "join_wide"), (narrow, "join_narrow")):
+        table, path = table_location(spark, name)
+        save_table(df, table, path)
+        names.append(table)
+    conf = {"spark.sql.cbo.enabled": "true", "spark.sql.cbo.joinReorder.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+
+    def first_join():
+        f, w, n = (spark.table(t) for t in names)
+        plan = f.join(w, "a").join(n, "b").select("f", "w", "n")._jdf.queryExecution().optimizedPlan().toString()
+        # The deepest join stands last; what is joined in it are the last two relations.
+        relations = [line for line in plan.splitlines() if "Relation" in line]
+        return {next(c for c in ("f#", "w#", "n#") if c in line) for line in sorted(relations, key=lambda x: -len(x[: x.index("Relation")]))[:2]}
+
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert first_join() == {"f#", "w#"}
+        for name in names:
+            gather_statistics(spark, name)
+        assert first_join() == {"f#", "n#"}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_rejects_are_found_and_the_rest_is_untouched(spark, tmp_path):
+    from tallyframe.sources import read_with_rejects
+
+    path = str(tmp_path / "bad" / "part-0.csv")
+    lines = ['1,"Smith, J",2.5', "2,plain,oops", "x,y,1", "3,x", "4,x,5,6", "x,a,b", "5,,", '6,"say \\"hi\\"",1e3', "9999999999,big,1"]
+    _write(path, "id,name,amount\n" + "\n".join(lines) + "\n")
+    rows, rejects = read_with_rejects(spark, path, SCHEMA)
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, "Smith, J", 2.5), (5, None, None), (6, 'say "hi"', 1000.0)]
+    got = {r.line: (r.bad_columns, r.reason) for r in rejects.collect()}
+    assert got == {
+        "2,plain,oops": (["amount"], "amount"), "x,y,1": (["id"], "id"), "3,x": ([], "cells"), "4,x,5,6": ([], "cells"),
+        "x,a,b": (["id", "amount"], "id amount"), "9999999999,big,1": (["id"], "id"),
+    }
+    assert rows.count() + rejects.count() == len(lines)
+    assert rejects.select("reason").distinct().count() == 4 and rows.select("id").count() == 3
