@@ -12,12 +12,13 @@ holds a run of the order. ``part`` numbers the runs, ``local_start`` is
 the position of a document's first id within its run and ``size`` its number
 of ids; the start in the whole corpus is that plus the sizes of the runs before, one number per file.
 
-Encoding goes piece by piece where that is sure to equal the library's
-result: texts of Latin letters are taken apart by the splitter's own pattern
-and each different piece goes to the library once (up to MEMO_PIECES are
-remembered). In other texts the words between blanks are, because the
-normaliser turns white space into a blank and the splitter never joins across
-one; the words that are not Latin go to the library whole.
+Encoding goes word by word where that is sure to equal the library's
+result, because the normaliser turns white space into a blank and the splitter
+never joins across one. A batch is cut at ASCII white space by Arrow and each
+different word of it is looked up once (up to MEMO_WORDS are remembered); the
+ids of all its words are then gathered with offsets. A new word of Latin
+letters is taken apart by the splitter's own pattern, and each different piece
+goes to the library once (up to MEMO_PIECES); other words go to it whole.
 
 Defined results: a null text counts as empty and becomes the end id alone; a
 null id sorts first; rows that share an id are ordered by their text;
@@ -35,12 +36,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import prepare
 
-MEMO_PIECES = 700_000
+MEMO_WORDS = 600_000
+MEMO_PIECES = 800_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 # The splitter pattern that the fast path reproduces (a fixed value of the vocabulary file).
@@ -86,7 +89,8 @@ class PieceEncoder:
             and parts["model"].get("end_of_word_suffix") == END_OF_WORD
         )
         self.split = latin_splitter()
-        self.memo: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.ends = np.zeros(1 + max(self.library.get_vocab().values()), bool)
         for piece, i in self.library.get_vocab().items():
             self.ends[i] = piece.endswith(END_OF_WORD)
@@ -94,41 +98,58 @@ class PieceEncoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, text: str) -> list[str]:
-        if is_latin(text):
-            return self.split(text.lower())
-        out = []
-        for word in text.replace("\n", " ").split(" "):
-            if is_latin(word):
-                out += self.split(word.lower())
-            else:
-                out.append(word)
-        return out
-
-    def _learn(self, new: set[str]) -> None:
+    def _learn_pieces(self, new: list[str]) -> None:
         """Latin pieces are encoded in one go: the last id of each is the
         only one that ends a word."""
-        latin = [p for p in new if is_latin(p)]
-        for at in range(0, len(latin), 5_000):
-            some = latin[at : at + 5_000]
+        for at in range(0, len(new), 5_000):
+            some = new[at : at + 5_000]
             ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             data, cuts = ids.tobytes(), (4 * (np.nonzero(self.ends[ids])[0] + 1)).tolist()
-            self.memo.update(zip(some, [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
-        other = [p for p in new if p not in self.memo]
-        self.memo.update(zip(other, self._whole(other), strict=True))
+            self.pieces.update(zip(some, [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
+
+    def _learn(self, new: list[str]) -> None:
+        latin = [w for w in new if is_latin(w)]
+        split = [self.split(w.lower()) for w in latin]
+        unseen = set().union(*split).difference(self.pieces)
+        if len(self.pieces) + len(unseen) > MEMO_PIECES:
+            self.pieces = {}
+            unseen = set().union(*split)
+        self._learn_pieces(list(unseen))
+        known = self.pieces.__getitem__
+        self.words.update(zip(latin, [b"".join(map(known, pieces)) for pieces in split], strict=True))
+        other = [w for w in new if w not in self.words]
+        self.words.update(zip(other, self._whole(other), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        ids, offsets = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+    def encode_column(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, each followed by the end
+        id if there is one, and the offsets of the texts (and the end)."""
+        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        texts = pc.fill_null(texts, "")
         if not self.by_piece:
-            return self._whole(texts)
-        split = [self._pieces(t) for t in texts]
-        new = set().union(*split).difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_PIECES:
-            self.memo.clear()
-            new = set().union(*split)
-        if new:
-            self._learn(new)
-        known = self.memo.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in split]
+            coded = [x + end for x in self._whole(texts.to_pylist())]
+            return np.frombuffer(b"".join(coded), "<u4"), np.cumsum([0] + [len(x) // 4 for x in coded])
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in different if w not in self.words]
+        if len(self.words) + len(new) > MEMO_WORDS:  # what this batch has is likely to come again
+            self.words = {w: self.words[w] for w in different if w in self.words}
+        self._learn(new)
+        ids = [*map(self.words.__getitem__, different), end]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        store, begins = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        # The end id is one more word after each text.
+        breaks = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
+        which = np.insert(coded.indices.to_numpy().astype(np.int64), breaks[1:], len(different))
+        long = sizes[which]
+        until = np.cumsum(long)
+        places = np.repeat(begins[which] - (until - long), long) + np.arange(int(until[-1]) if len(until) else 0)
+        return store[places], np.concatenate([[0], until[breaks[1:] + np.arange(len(texts))]])
 
 
 _ENCODERS: dict[int, PieceEncoder] = {}
@@ -155,18 +176,15 @@ def encode_sorted(
         from pyspark import TaskContext
 
         encoder, position, part = encoder_for(vocabulary.value), 0, TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            coded = [x + end for x in encoder.encode([t or "" for t in batch["text"].to_pylist()])]
-            ends = np.cumsum([0] + [len(x) // 4 for x in coded])
-            flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
+            flat, ends = encoder.encode_column(batch["text"], end_id)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(coded), part, np.int32)),
+                    pa.array(np.full(batch.num_rows, part, np.int32)),
                     batch["doc_id"],
                     pa.array(position + ends[:-1]),
                     pa.array(np.diff(ends)),
-                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.astype(np.int32))),
                 ],
                 ["part", "doc_id", "local_start", "size", "ids"],
             )
