@@ -29,8 +29,11 @@ A template needs at least half of its words literal; a window with fewer is
 looked up in its literal form only, so that runs of numbers do not match each
 other. In the template form the first word of a window always counts as the
 start of a sentence. Benchmark items of fewer than ``window`` words are one window of
-their own length; items of fewer than ``MIN_WORDS`` words name nothing and
-are left out.
+their own length. Items of fewer than ``MIN_WORDS`` words have a literal form
+only, and since such runs of words occur by chance they must stand by
+themselves, as one or more whole sentences; items of fewer than LEAST_WORDS
+words name nothing and are left out. In scripts that are written without spaces (``_UNSPACED``) each
+character counts as a word.
 
 Defined results: null texts and items count as empty and match nothing;
 repeated rows are judged each; an empty benchmark leaves all documents; rows
@@ -46,15 +49,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from tallyframe.llm.common import cut, prepare, written
 
 WINDOW = 12
 MIN_WORDS = 5
+LEAST_WORDS = 3
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 27
-MEMO_WORDS = 300_000
+MEMO_WORDS = 600_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LITERAL_FORM, WIDE_FORM = np.uint64(3), np.uint64(5)
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (0xA5A5_0001, 0xA5A5_0002, 0xA5A5_0003))
@@ -72,12 +78,21 @@ UNIT_WORDS = set(
     "degrees mph kph meter meters metre metres kilometer kilometers centimeter centimeters".split()
 )
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
+# Characters of scripts without spaces between words: Thai, Lao, Myanmar, Khmer, kana and ideographs.
+_UNSPACED = "[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF]"
 _TRIM = re.compile(r"^[\W_]+|[\W_]+$")
-_END = re.compile(r"[.!?:;|][\"')\]]*$")
+_END = re.compile(r"[.!?:;|。！？：；][\"')\]]*$")
 # Word kinds and flags in one byte.
 _LITERAL, _NUM, _UNIT, _EMPTY, _CAPITAL, _ENDS = 0, 1, 2, 3, 4, 8
 
 
+def spaced(texts: pa.Array) -> pa.Array:
+    """Texts with blanks around each character of an unspaced script."""
+    if bool(pc.any(pc.match_substring_regex(texts, _UNSPACED)).as_py()):
+        return pc.replace_substring_regex(texts, f"({_UNSPACED})", r" \1 ")
+    return texts
+
+
 class Words(dict):
     """raw word -> row of ``codes`` and ``kinds``; each word is read once."""
 
@@ -86,13 +101,11 @@ class Words(dict):
         self.codes, self.kinds = array("Q"), array("B")
 
     def __missing__(self, raw: str) -> int:
-        from xxhash import xxh64_intdigest
-
         plain = raw.isalpha()
         word = raw if plain else _TRIM.sub("", raw)
         low = word.lower()
         if not word:
-            kind = _EMPTY
+            kind = _EMPTY if raw else _EMPTY | _ENDS  # the nothing before a text's first word
         elif low in NUMBER_WORDS or not plain and _NUMBER.fullmatch(word):
             kind = _NUM
         elif low in UNIT_WORDS:
@@ -104,16 +117,22 @@ class Words(dict):
         self[raw] = at = len(self.codes) - 1
         return at
 
-    def read(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    def read(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, ...]:
         """All non-empty words of the texts: text number, literal code, kind,
         whether the word is a name (capitalised inside a sentence), whether it
         is capitalised, and whether it starts a sentence."""
-        if len(self) > MEMO_WORDS:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.utf8_split_whitespace(spaced(pc.fill_null(column, "")))
+        coded = split.flatten().dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self) + len(different) > MEMO_WORDS:  # what this batch has is likely to come again
+            again = [(w, self[w]) for w in different if w in self]
+            codes, kinds = self.codes, self.kinds
             self.clear()
-            self.codes, self.kinds = array("Q"), array("B")
-        split = [(t or "").split() for t in texts]
-        sizes = np.array([len(x) for x in split], np.int64)
-        at = np.fromiter((i for x in split for i in map(self.__getitem__, x)), np.int64, int(sizes.sum()))
+            self.codes, self.kinds = array("Q", (codes[i] for _, i in again)), array("B", (kinds[i] for _, i in again))
+            self.update((w, i) for i, (w, _) in enumerate(again))
+        known = np.fromiter(map(self.__getitem__, different), np.int64, len(different))
+        sizes, at = np.diff(split.offsets.to_numpy()), known[coded.indices.to_numpy()]
         code = np.frombuffer(self.codes, np.uint64)[at] if len(at) else np.zeros(0, np.uint64)
         kind = np.frombuffer(self.kinds, np.uint8)[at] if len(at) else np.zeros(0, np.uint8)
         text = np.repeat(np.arange(len(texts)), sizes)
@@ -197,7 +216,7 @@ def _common_words(items: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
-            _, code, _, name, capital, _ = words.read(batch["text"].to_pylist())
+            _, code, _, name, capital, _ = words.read(batch["text"])
             lower, named = np.unique(code[~capital]), np.unique(code[name])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([lower, named]).view(np.int64)), pa.array(np.repeat([False, True], [len(lower), len(named)]))],
@@ -212,8 +231,6 @@ def _common_words(items: DataFrame) -> np.ndarray:
 def slot_pattern(read, start: int, width: int, opening: bool = True) -> int:
     """Which placeholders of the window are equal, as one number. With
     ``opening`` the first word is no name."""
-    from xxhash import xxh64_intdigest
-
     _, code, kind, name = read[:4]
     part = slice(start, start + width)
     slot = (kind[part] != _LITERAL) | name[part]
@@ -223,13 +240,29 @@ def slot_pattern(read, start: int, width: int, opening: bool = True) -> int:
     return xxh64_intdigest(bytes(seen.setdefault(int(c), len(seen)) for c in code[part][slot]), 3) >> 1
 
 
+def _alone(read, starts: np.ndarray, width: int) -> np.ndarray:
+    """Whether the windows start with a sentence and end with one."""
+    text, opens = read[0], read[5]
+    last = np.minimum(starts + width, len(text) - 1)
+    ends = (starts + width == len(text)) | (text[last] != text[starts]) | opens[last]
+    return opens[starts] & ends
+
+
+_WORDS = Words()
+
+
+def _words() -> Words:
+    """The words that this Python worker has read; they depend on nothing else."""
+    return _WORDS
+
+
 def _windows(texts: DataFrame, widths: list[int], wide_widths: list[int], common, possible=None) -> DataFrame:
     """id, width, hash, pattern, window (hash of the plain words), literal,
     wide per window of each form; ``common`` and ``possible`` are broadcast:
     codes of words and a bitmap of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words = _words()
         bitmap = np.frombuffer(possible.value, np.uint64) if possible is not None else None
 
         def hits(hashes: np.ndarray) -> np.ndarray:
@@ -238,13 +271,16 @@ def _windows(texts: DataFrame, widths: list[int], wide_widths: list[int], common
 
         known = np.frombuffer(common.value, np.uint64)
         for batch in batches:
-            read = words.read(batch["text"].to_pylist())
+            read = words.read(batch["text"])
             lengths = np.bincount(read[0], minlength=batch.num_rows)
             rows: list[tuple] = []
             for width in widths:
                 starts, text, template, literal = template_windows(read, width)
-                for hashes, plain in ((template, False), (literal, True)):
+                short = width < MIN_WORDS
+                for hashes, plain in ((template, False), (literal, True))[short:]:
                     hit = np.ones(len(starts), bool) if plain else hashes != 0
+                    if short:
+                        hit &= _alone(read, starts, width)
                     if bitmap is not None:
                         hit &= hits(hashes)
                     elif width < WINDOW:  # an item's short window is all of it
@@ -263,7 +299,7 @@ def _windows(texts: DataFrame, widths: list[int], wide_widths: list[int], common
                     hit &= lengths[text] == width
                 for i in np.nonzero(hit)[0].tolist():
                     # Named by its first words as they are, like the windows of the other forms.
-                    plain = _rolled(read[1][first[starts[i]] :][:width], width)[0] * LITERAL_FORM
+                    plain = (_rolled(read[1][first[starts[i]] :][:width], width) * LITERAL_FORM)[0]
                     rows.append((text[i], width, hashes[i], slot_pattern(wide, starts[i], width, False), plain, False, True))
             for at in range(0, len(rows), 50_000):
                 some = rows[at : at + 50_000]
@@ -295,7 +331,7 @@ def contaminated_windows(
     items = benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))
     short = list(range(MIN_WORDS, WINDOW))
     common = spark.sparkContext.broadcast(_common_words(items).tobytes())
-    mine = cut(_windows(items, [*short, WINDOW], [*short, WINDOW], common))
+    mine = cut(_windows(items, [*range(LEAST_WORDS, MIN_WORDS), *short, WINDOW], [*short, WINDOW], common))
     found = mine.select("width", "wide").distinct().collect()  # at most WINDOW numbers for each
     widths, wide_widths = (sorted(r.width for r in found if r.wide == x) for x in (False, True))
     n = mine.count()

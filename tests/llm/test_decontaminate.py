@@ -80,3 +80,72 @@ def test_runs_of_names_and_numbers_are_one_slot(spark):
     bench = spark.createDataFrame([(1, question)], "item_id long, text string")
     found = judge(spark, bench, question.replace("New York", "Oslo").replace("twenty five", "30"))
     assert set(found) == {0}
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [
+        (1, "Who wrote it?"), (2, "Yes."), (3, "小明有三个苹果，小红有五个，一共有多少个苹果？"), (4, "四加五是？"), (5, "ราคาเท่าไร"), (6, ""), (7, None),
+    ]
+    docs = [
+        (10, "We asked again. Who wrote it? Nobody knew."), (11, "I know who wrote it and why."), (12, "yes"), (13, "Yes. And then we left."),
+        (14, "题目：小明有三个苹果，小红有五个，一共有多少个苹果？答案是八个。"), (15, "小明有两个梨。"), (16, "Quiz. 四加五是？ The end."), (17, "四加五是九"),
+        (18, "who wrote it"), (19, None), (20, "ราคาเท่าไร"),
+    ]
+    found = dc.contaminated_documents(
+        dc.contaminated_windows(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"))
+    )
+    assert {r.id: r.item_id for r in found.collect()} == {10: 1, 14: 3, 16: 4, 18: 1, 20: 5}
+
+
+def test_words_do_not_depend_on_the_memo(monkeypatch):
+    texts = [f"Word{i % 37} tom{i}, in 5 km. Anna {i}!" for i in range(400)]
+    whole = dc.Words().read(texts)
+    monkeypatch.setattr(dc, "MEMO_WORDS", 50)
+    words = dc.Words()
+    parts = [words.read(texts[i : i + 40]) for i in range(0, 400, 40)]
+    for i in range(1, 6):
+        assert [*whole[i]] == [x for p in parts for x in p[i]]
+
+
+def brute_template_hits(docs, items):
+    """Windows of 12 words in template form, each compared with each: the
+    same literal words, the same kinds of slots, repeated in the same places."""
+
+    def windows(text):
+        words = dc.Words()
+        _, code, kind, name, _, _ = words.read([text])
+        for i in range(len(code) - 11):
+            slots, shape = {}, []
+            for j in range(i, i + 12):
+                slot = "name" if name[j] and j > i else {dc._NUM: "number", dc._UNIT: "unit"}.get(int(kind[j]))
+                shape.append((slot, slots.setdefault(int(code[j]), len(slots))) if slot else int(code[j]))
+            # Only a template if half of its words are literal.
+            if sum((kind[i : i + 12] != dc._LITERAL) | name[i : i + 12]) <= 6:
+                yield tuple(shape)
+
+    asked = {w: k for k, t in items.items() for w in windows(t)}
+    return {d for d, t in docs.items() if any(w in asked for w in windows(t))}
+
+
+def test_renamed_questions_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(9)
+    names, nouns = ["Tom", "Ann", "Bob", "Eve"], ["apples", "pears", "plums", "nuts"]
+
+    def question(consistent=True):
+        a, b = rng.sample(names, 2)
+        n, c = rng.randrange(2, 90), a if consistent else b
+        return f"In the shop {a} has {n} {rng.choice(nouns)} and then gives {n if consistent else n + 1} of them to {b} before {c} goes home"
+
+    items = {i: question() for i in range(6)}
+    docs = {100 + i: f"A text that says this. {question(i % 3 > 0)}. And it ends." for i in range(40)}
+    docs |= {200 + i: " ".join(rng.choices(["the", "shop", "Tom", "12", "km", "and", "home"], k=30)) for i in range(10)}
+    want = brute_template_hits(docs, items)
+    assert 5 < len(want) < 40
+    windows = dc.contaminated_windows(
+        spark.createDataFrame(list(docs.items()), "doc_id int, text string"), spark.createDataFrame(list(items.items()), "item_id int, text string")
+    )
+    got = {r.id for r in windows.select("id").distinct().collect()}
+    # The literal and the wide form find more, never less.
+    assert want <= got and all(d < 200 for d in got)
