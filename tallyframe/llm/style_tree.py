@@ -9,13 +9,14 @@ counted per style node over the whole host:
 * presentation: which sequences of child labels its occurrences have; the
   node importance is the entropy of that distribution, to the base of the
   number of occurrences (a node that always looks the same has importance 0);
-* content: which texts its blocks have, with the entropy likewise.
+* content: which texts its blocks have, with the entropy likewise, where a page
+  counts once for each text that it has.
 
 The importance of a branch combines both from the leaves up, weighted by
 GAMMA ** children as in the published style-tree method. A branch of a page
 is removed if its importance and that of all branches in it are below LEAST,
-and so is a block whose text stands in more than half of the occurrences of
-its style node. This decides inside and outside of an article alike.
+and so is a block whose text stands on MIN_PAGES pages at least and on more
+than half of those that have its style node, however often a page says it. This decides inside and outside of an article alike.
 
 Entropy alone cannot tell page furniture that varies from page to page
 (rotating adverts, link lists to other pages, reader comments) from an
@@ -333,53 +334,59 @@ class StyleTree:
                 self.repeated.add(_mix(path, node["repeated"]))
 
 
-FACTS = "host string, path long, parent long, kind int, value long, n long, pages long"
+FACTS = "host string, path long, parent long, kind int, value long, n long, pages long, having long"
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
     """FACTS of the pages (url, html), counted: kind 0 and 1 as in
     ``Page.facts``; kind 2, or 3 for a landmark, the paths of each layout,
-    named by value. ``pages`` counts a page once per path and kind."""
+    named by value. ``pages`` counts a page once per path and kind, ``having``
+    once per value of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[tuple, list[int]] = {}
             for url, html in zip(batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
-                host, page, seen = host_of(url), Page(html), set()
+                host, page, seen, values = host_of(url), Page(html), set(), set()
                 for fact in page.facts():
-                    entry = counts.setdefault((host, *fact), [0, 0])
+                    entry = counts.setdefault((host, *fact), [0, 0, 0])
                     entry[0] += 1
+                    if fact not in values:
+                        values.add(fact)
+                        entry[2] += 1
                     if (fact[0], fact[2]) not in seen:
                         seen.add((fact[0], fact[2]))
                         entry[1] += 1
                 name, layout = page.layout()
                 for path, (parent, landmark) in layout.items():
-                    counts.setdefault((host, path, parent, 3 if landmark else 2, name), [0, 0])
-            columns = list(zip(*((*k, *v) for k, v in counts.items()), strict=True)) or [()] * 7
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                    counts.setdefault((host, path, parent, 3 if landmark else 2, name), [0, 0, 0])
+            columns = list(zip(*((*k, *v) for k, v in counts.items()), strict=True)) or [()] * 8
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                ["host", "path", "parent", "kind", "value", "n", "pages"],
+                ["host", "path", "parent", "kind", "value", "n", "pages", "having"],
             )
 
     return (
         pages.mapInArrow(run, FACTS)
         .groupBy("host", "path", "parent", "kind", "value")
-        .agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"))
+        .agg(*[F.sum(c).alias(c) for c in ("n", "pages", "having")])
     )
 
 
 def importances(facts: DataFrame) -> DataFrame:
     """host, path, importance, repeated of the style nodes with evidence."""
     node = ["host", "path", "parent", "kind"]
+    # A page says a text once, however often it repeats it.
     stats = (
         facts.where("kind < 2")
+        .withColumn("n", F.when(F.col("kind") == 1, F.col("having")).otherwise(F.col("n")))
         .groupBy(*node)
         .agg(
             F.sum("n").alias("n"),
             F.sum("pages").alias("pages"),
             F.sum(F.col("n") * F.ln("n")).alias("nlogn"),
-            F.max(F.struct("n", "value")).alias("top"),
+            F.max(F.struct("having", "value")).alias("top"),
         )
         .where(F.col("pages") >= MIN_PAGES)
         .select(
@@ -387,7 +394,10 @@ def importances(facts: DataFrame) -> DataFrame:
             "n",
             # -sum p log p to the base of the number of occurrences.
             (1 - F.col("nlogn") / F.col("n") / F.ln("n")).alias("entropy"),
-            F.when((F.col("kind") == 1) & (F.col("top.n") > F.col("n") * REPEATED), F.col("top.value")).alias("repeated"),
+            F.when(
+                (F.col("kind") == 1) & (F.col("top.having") >= MIN_PAGES) & (F.col("top.having") > F.col("pages") * REPEATED),
+                F.col("top.value"),
+            ).alias("repeated"),
         )
     )
     stats = written(stats, "style-nodes")

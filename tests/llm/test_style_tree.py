@@ -117,3 +117,25 @@ def test_a_layout_is_judged_alike_on_a_large_host(spark):
     pairs += [("http://big.example/o%d" % i, f"<body><div class=z{i % 97}><p>Other {i}</p></div></body>") for i in range(970)]
     got = texts(spark, *pairs)
     assert all(got[i] == f"Offer {i} of ours" for i in range(30))
+
+
+def test_a_sentence_that_one_page_repeats_stays(spark):
+    """Said 141 times on one page, it is more than half of its host's blocks, on one page of twelve."""
+    pairs = []
+    for i in range(12):
+        said = "<p>Les Rech.</p>" * 141 if i == 3 else ""
+        pairs.append(("http://farm.example/%d" % i, f"<body><article><h1>Title {i}</h1>{said}<p>Own words {i}</p><p>Kept by all</p></article></body>"))
+    got = texts(spark, *pairs)
+    assert got[3].count("Les Rech.") == 141
+    assert all(got[i].endswith(f"Own words {i}") for i in range(12))
+
+
+def test_all_pages_of_the_larger_table_equal_their_article(spark):
+    d = "/root/testdata/sf0.1"
+    got = {r.page_id: r.text for r in LLM_QUERIES["op3_style_tree"](spark, d).collect()}
+    pages = spark.read.parquet(f"{d}/pages.parquet").collect()
+    assert len(got) == len(pages) >= 2500
+    for r in pages:
+        article = r.html[r.html.index("<article>") : r.html.index("</article>")]
+        parts = [" ".join(entities.unescape(re.sub(r"<[^>]+>", " ", x)).split()) for x in re.split(r"</?(?:p|h1|article)>", article)]
+        assert got[r.page_id] == "\n".join(x for x in parts if x), r.page_id
