@@ -32,6 +32,7 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,7 +68,15 @@ def latin_splitter():
 def is_latin(text: str) -> bool:
     """All characters below U+0250: there, composition and lower case do not
     depend on neighbours, in this library or in Python."""
-    return text.isascii() or int(np.frombuffer(text.encode("utf-16-le", "surrogatepass"), "<u2").max()) < 0x250
+    return text.isascii() or max(text) < "\u0250"
+
+
+def byte_letters() -> str:
+    """The letter that stands for each byte in a byte-level vocabulary: the
+    byte's own Latin-1 character where that is printed, else one from U+0100 on."""
+    own = {b for b in range(256) if chr(b).isprintable() and chr(b) != " "}
+    others = iter(range(0x100, 0x200))
+    return "".join(chr(b) if b in own else chr(next(others)) for b in range(256))
 
 
 class PieceEncoder:
@@ -86,26 +95,23 @@ class PieceEncoder:
         self.by_piece = (
             [x["type"] for x in (parts["normalizer"] or {}).get("normalizers", [])] == NORMALISERS
             and parts["pre_tokenizer"]["pretokenizers"][0].get("pattern") == {"Regex": SPLIT}
+            and [x["type"] for x in parts["pre_tokenizer"]["pretokenizers"][1:]] == ["ByteLevel"]
             and parts["model"].get("end_of_word_suffix") == END_OF_WORD
         )
         self.split = latin_splitter()
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        self.ends = np.zeros(1 + max(self.library.get_vocab().values()), bool)
-        for piece, i in self.library.get_vocab().items():
-            self.ends[i] = piece.endswith(END_OF_WORD)
+        self.letters = byte_letters()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_pieces(self, new: list[str]) -> None:
-        """Latin pieces are encoded in one go: the last id of each is the
-        only one that ends a word."""
-        for at in range(0, len(new), 5_000):
-            some = new[at : at + 5_000]
-            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            data, cuts = ids.tobytes(), (4 * (np.nonzero(self.ends[ids])[0] + 1)).tolist()
-            self.pieces.update(zip(some, [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
+    def _learn_pieces(self, new: set[str]) -> None:
+        """Pieces go to the vocabulary's merges, as letters for their bytes."""
+        merge, letters = self.library.model.tokenize, self.letters
+        for piece in new:
+            spelled = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(letters)
+            self.pieces[piece] = array("I", [x.id for x in merge(spelled)]).tobytes()
 
     def _learn(self, new: list[str]) -> None:
         latin = [w for w in new if is_latin(w)]
@@ -114,7 +120,7 @@ class PieceEncoder:
         if len(self.pieces) + len(unseen) > MEMO_PIECES:
             self.pieces = {}
             unseen = set().union(*split)
-        self._learn_pieces(list(unseen))
+        self._learn_pieces(unseen)
         known = self.pieces.__getitem__
         self.words.update(zip(latin, [b"".join(map(known, pieces)) for pieces in split], strict=True))
         other = [w for w in new if w not in self.words]
@@ -133,7 +139,8 @@ class PieceEncoder:
         if not self.by_piece:
             coded = [x + end for x in self._whole(texts.to_pylist())]
             return np.frombuffer(b"".join(coded), "<u4"), np.cumsum([0] + [len(x) // 4 for x in coded])
-        words = pc.ascii_split_whitespace(texts)
+        # Lower-cased as the normaliser will do, so that fewer words are different.
+        words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = words.flatten().dictionary_encode()
         different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         new = [w for w in different if w not in self.words]
