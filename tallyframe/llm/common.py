@@ -46,6 +46,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+ROW_KEY = ("no_id", "id", "h1", "h2")
+
+
+def row_key(id_col: str, text_col: str) -> F.Column:
+    """What names a row: its id and a 128-bit hash of its text, so that rows
+    without an id and different texts under one id are told apart. Keys are
+    ordered by id, those without one last."""
+    text = F.col(text_col)
+    return F.struct(
+        F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h1"),
+        F.xxhash64(text, F.lit(1)).alias("h2"),
+    )
+
+
+def without_keys(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row`` (all columns of ``docs``) and ``key`` of the rows whose key is not
+    among the rows of ``dropped`` (the fields of the key)."""
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(id_col, text_col).alias("key"))
+    match = [F.col(f"key.{k}").eqNullSafe(dropped[k]) for k in ROW_KEY]
+    return keyed.join(dropped, match, "left_anti")
+
+
 def unsigned_hex(col) -> F.Column:
     """A 64-bit value as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(col), 16, "0"))

@@ -37,8 +37,7 @@ character counts as a word.
 
 Defined results: null texts and items count as empty and match nothing;
 repeated rows are judged each; an empty benchmark leaves all documents; rows
-with a null id are judged like others by ``contaminated_windows`` and stay
-in ``drop_contaminated`` (they cannot be named); other columns are carried.
+with a null id are judged like others; other columns are carried.
 """
 
 from __future__ import annotations
@@ -54,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tallyframe.llm.common import cut, prepare, written
+from tallyframe.llm.common import cut, prepare, row_key, without_keys, written
 
 WINDOW = 12
 MIN_WORDS = 5
@@ -375,7 +374,9 @@ def contaminated_documents(windows: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without any window of the benchmark, columns unchanged."""
-    found = contaminated_documents(contaminated_windows(docs, benchmark, id_col, text_col))
-    flagged = written(found.where("id is not null").select(F.col("id").alias(id_col)), "contaminated")
-    return docs.join(flagged, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents without any window of the benchmark, columns unchanged.
+    A row is named by its id and text, so that rows without an id are judged
+    like others and texts that share an id each by themselves."""
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    found = contaminated_windows(keyed, benchmark, "key", "text").select("id").distinct()
+    return without_keys(docs, written(found.select("id.*"), "contaminated"), id_col, text_col).select("row.*")

@@ -151,9 +151,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .join(groups, "sha", "left")
         .where("group_size is null or id <=> keep_id")
     )
-    # A copy that ties on the largest id as well is an identical row.
+    # Copies that tie on the largest id as well: the one that is smallest in
+    # all columns, in their order, stays (they must be orderable).
     tied = cut(hashed.groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     if not tied.isEmpty():
-        last = repeated.where("group_size is not null").dropDuplicates(["sha", "id"])
-        repeated = repeated.where("group_size is null").unionByName(last)
+        last = repeated.where("group_size is not null").groupBy("sha", "id").agg(F.min("row").alias("row"))
+        repeated = repeated.where("group_size is null").select("row").unionByName(last.select("row"))
     return marked.where("not possible").select("row").unionByName(repeated.select("row")).select("row.*")

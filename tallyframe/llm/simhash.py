@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import cut, prepare, written
+from tallyframe.llm.common import ROW_KEY, cut, prepare, row_key, without_keys, written
 from tallyframe.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -207,16 +207,17 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, bits: int = MAX_BITS
 ) -> DataFrame:
-    """The rows that stay: of each component the one with the smallest id,
-    all columns unchanged. Rows with a null id cannot be named and stay."""
-    labels = cut(near_duplicates(docs, id_col, text_col, words, bits))
-    dropped = written(labels.where("id != component").select(F.col("id").alias(id_col)).distinct(), "near-copies")
-    kept = docs.join(dropped, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    # Rows that share an id (repeated rows): one of them stays.
-    shared = cut(labels.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    """The rows that stay: of each component the one with the smallest id, all
+    columns unchanged. Rows without an id come last, different texts under one
+    id are different rows, ordered by a hash; of rows equal in id and text the
+    one smallest in all columns, in their order, stays (they must be orderable)."""
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    labels = cut(near_duplicates(keyed, "key", "text", words, bits))
+    dropped = written(labels.where("id != component").select("id.*").distinct(), "near-copies")
+    kept = without_keys(docs, dropped, id_col, text_col)
+    shared = cut(labels.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id.*"))
     if shared.isEmpty():
-        return kept
-    shared = shared.select(F.col("id").alias(id_col))
-    return kept.join(shared, id_col, "left_anti").unionByName(
-        kept.join(shared, id_col, "left_semi").dropDuplicates([id_col])
-    ).select(*[F.col(f"`{c}`") for c in docs.columns])
+        return kept.select("row.*")
+    match = [F.col(f"key.{k}").eqNullSafe(shared[k]) for k in ROW_KEY]
+    one = kept.join(shared, match, "left_semi").groupBy("key").agg(F.min("row").alias("row"))
+    return kept.join(shared, match, "left_anti").select("row").unionByName(one.select("row")).select("row.*")

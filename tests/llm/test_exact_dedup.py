@@ -64,3 +64,10 @@ def test_only_possible_copies_shuffle(spark):
     possible = exact_dedup.mark_possible(hashed, words, blocks).where("possible")
     assert 11 <= possible.count() < 100
     assert possible.where("id >= 1989").count() == 11
+
+
+def test_ties_in_id_and_text_are_resolved_by_the_other_columns(spark):
+    rows = [(5, "x", i, None if i % 2 else "s") for i in (4, 2, 9)] + [(1, "X", 0, "s")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, n int, s string").repartition(3)
+        assert [tuple(r) for r in exact_dedup.drop_copies(docs).collect()] == [(5, "x", 2, "s")]

@@ -110,3 +110,16 @@ def test_odd_rows(odd_documents):
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert ids.count(1) == 1 and {3, 7} <= set(ids) and not {2, 4, 5} & set(ids)
     assert simhash.near_duplicates(odd_documents.limit(0)).count() == 0
+
+
+def test_rows_are_named_by_id_and_text(spark):
+    """Null ids, and different texts under one id: one copy stays, no clean text goes."""
+    copy = "the same words stand in all of these rows and nothing else does"
+    clean = "another text altogether that has an id in common with one of the copies"
+    rows = [(None, copy, 1), (None, copy, 2), (5, copy, 3), (9, clean, 4), (9, copy, 5)]
+    schema = "doc_id long, text string, extra int"
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(5, copy), (9, clean)]
+    # Without any id one still stays; of rows equal in id and text the smallest in the other columns.
+    kept = simhash.drop_near_duplicates(spark.createDataFrame([(None, copy, 7), (None, copy, 6), (3, clean, 9), (3, clean, 8)], schema)).collect()
+    assert sorted(tuple(r) for r in kept if r.doc_id) == [(3, clean, 8)] and [tuple(r) for r in kept if not r.doc_id] == [(None, copy, 6)]
