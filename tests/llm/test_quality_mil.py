@@ -85,3 +85,29 @@ def test_odd_rows(spark, odd_documents):
     one = q.train(odd_documents, spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int"))
     assert one.constant in (0.5, 1.0)
     assert q.with_score(odd_documents.limit(0), model).count() == 0
+
+
+def plain_score(model, text):
+    """All passages at once, and the softmax as it is written down."""
+    x = np.concatenate(list(q.passage_blocks(text))).astype(np.float64)
+    size = x[:, -1:] * q.PASSAGE
+    x = (x - model.mean) / model.scale * (size / (size + q.SHORT))
+    p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    h = np.tanh(x @ p["E"] + p["e"])
+    logit = (np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) @ p["w"]
+    attention = np.exp(logit - logit.max())
+    return 1 / (1 + np.exp(-(attention / attention.sum() @ h @ p["c"] + p["b"][0])))
+
+
+def test_scores_equal_a_plain_scorer_of_the_same_model(model, spark):
+    """Every document of the table; and the pipeline's stage keeps the same ones."""
+    import corpus_pipeline
+
+    d = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    want = {r.doc_id: plain_score(model, r.text) for r in docs.collect()}
+    got = {r.doc_id: r.score for r in LLM_QUERIES["op5_quality_mil"](spark, d).collect()}
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-4
+    kept = {r.doc_id for r in corpus_pipeline.quality(spark, docs, d).select("doc_id").collect()}
+    clear = {k for k, v in want.items() if abs(v - q.THRESHOLD) > 1e-4}
+    assert kept & clear == {k for k in clear if want[k] >= q.THRESHOLD} and 0 < len(kept) < len(want)
