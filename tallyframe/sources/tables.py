@@ -133,6 +133,8 @@ def gather_statistics(spark: SparkSession, table: str, histogram_bins: int | Non
     bins = {
         "spark.sql.statistics.histogram.enabled": str(histogram_bins is not None).lower(),
         "spark.sql.statistics.histogram.numBins": str(histogram_bins or 254),
+        # Bounds of bins are percentiles: off by a tenth of a bin at most.
+        "spark.sql.statistics.percentile.accuracy": str(10 * (histogram_bins or 254)),
     }
     before = {k: spark.conf.get(k) for k in bins}
     try:
