@@ -1,12 +1,15 @@
 """What column profiles shuffle: nothing behind their rows twice, no row by
 the bitmap that it belongs to."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.operators import Extent, distinct_counts
 from tallyframe.operators import distinct as D
 from tallyframe.plans import trips
+from tallyframe.session import shared_dir
 
 
 @pytest.fixture()
@@ -27,6 +30,21 @@ def counted(spark):
     return rows.mapInArrow(count, rows.schema), made
 
 
+def _folders(spark):
+    path = f"{shared_dir(spark)}/tables"
+    return {x for x in os.listdir(path) if x.startswith("trip_profile")} if os.path.isdir(path) else set()
+
+
+def test_rows_behind_a_profile_are_made_once(spark, counted):
+    raw, made = counted
+    before = _folders(spark)
+    got = {r.column_name: r for r in trips.columns_profile(raw, trips.BOUND_RULES).collect()}
+    assert made.value == 50
+    assert {k: r.distinct_count for k, r in got.items()} == {"few": 3, "wide": 50, "text": 4, "at": 50, "real": 9}
+    assert (got["text"].num_nulls, got["text"].max_len, got["at"].data_type) == (8, 2.0, "timestamp_ntz")
+    assert _folders(spark) == before
+
+
 def test_rows_behind_a_sketched_profile_are_made_once(spark, counted):
     raw, made = counted
     got = trips.columns_profile_sketched(raw, trips.BOUND_RULES).collect()
