@@ -6,8 +6,8 @@ sentencepiece BPE model. Each token becomes one piece whose characters stand
 for its bytes (a one-to-one byte map), its score is the negative rank -- so
 that the merge of the best score is the merge of the lowest rank -- and the
 normaliser is the identity without any white-space handling. Texts are split
-by the vocabulary's pattern, each match is encoded on its own, and ids are
-decoded by the inverse map.
+by the vocabulary's pattern, each match is encoded on its own (equal matches of
+a batch once), and ids are decoded by the inverse map.
 
 Defined results: a null text counts as empty and gives no ids and no bytes;
 characters without a UTF-8 form (lone surrogates cannot come out of Spark)
@@ -19,12 +19,13 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +62,13 @@ def as_chars(token: bytes) -> str:
     return token.decode("latin-1").translate(_latin_to_chars())
 
 
+def all_as_chars(texts: list[str]) -> list[str]:
+    """``as_chars`` of the UTF-8 bytes of several texts, at once: the byte
+    0xFF, which UTF-8 never holds, is between them."""
+    joined = np.frombuffer(b"\xff".join(map(str.encode, texts)), np.uint8).astype("<u2") + np.uint16(0x100)
+    return joined.astype("<u2").tobytes().decode("utf-16-le").split(byte_chars()[0xFF])
+
+
 def _varint(n: int) -> bytes:
     n &= (1 << 64) - 1
     out = bytearray()
@@ -122,21 +130,43 @@ class Codec:
         import sentencepiece
 
         self.tokens = tokens
+        self.token_bytes = pa.array(tokens, pa.binary())
         self.find = regex.compile(pattern).findall
         self.model = sentencepiece.SentencePieceProcessor()
         self.model.load_from_serialized_proto(serialise_model(tokens))
         self.memo: dict[str, list[int]] = {}
 
-    def encode(self, text: str) -> np.ndarray:
-        found = self.find(text)
+    def _look_up(self, matches: list[str]) -> pa.ListArray:
+        """The ids of each of some different matches."""
         memo = self.memo
-        new = list({t for t in found if t not in memo})
+        new = [t for t in matches if t not in memo]
         if new:
             if len(memo) + len(new) > MEMO_TOKENS:
                 memo.clear()
-                new = list(set(found))
-            memo.update(zip(new, self.model.encode([as_chars(t.encode()) for t in new], num_threads=1), strict=True))
-        return np.fromiter(chain.from_iterable(map(memo.__getitem__, found)), np.int32)
+                new = matches
+            memo.update(zip(new, self.model.encode(all_as_chars(new), num_threads=1), strict=True))
+        ids = [memo[t] for t in matches]
+        ends = np.fromiter(accumulate(map(len, ids), initial=0), np.int32, len(ids) + 1)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])))
+
+    def encode_all(self, texts: Iterable[str]) -> pa.ListArray:
+        """The ids of each text. A different match of all the texts is looked
+        up once; what is done for every match is done on arrays."""
+        found = [pa.array(self.find(text), pa.string()) for text in texts]
+        ends = np.cumsum([0] + [len(x) for x in found])
+        coded = pa.concat_arrays([*found, pa.array([], pa.string())]).dictionary_encode()
+        by_match = self._look_up(coded.dictionary.to_pylist()).take(coded.indices)
+        return pa.ListArray.from_arrays(pa.array(by_match.offsets.to_numpy()[ends]), by_match.values)
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text]).values.to_numpy()
+
+    def decode_all(self, ids: pa.ListArray) -> pa.BinaryArray:
+        """The bytes of each list of ids."""
+        pieces = self.token_bytes.take(ids.values)
+        ends = np.cumsum(np.concatenate([[0], pc.binary_length(pieces).to_numpy()]), dtype=np.int32)
+        starts = ends[ids.offsets.to_numpy()]
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(starts), pieces.buffers()[2] or pa.py_buffer(b"")])
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -166,17 +196,8 @@ def encode_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(vocabulary, shipped.value, pattern)
         for batch in batches:
-            coded = [codec.encode(text or "") for text in batch["text"].to_pylist()]
-            ends = np.cumsum([0] + [len(x) for x in coded], dtype=np.int32)
-            flat = np.concatenate(coded) if coded else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["id"],
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    pa.array([codec.decode(x.tolist()) for x in coded], pa.binary()),
-                ],
-                ["id", "ids", "decoded"],
-            )
+            ids = codec.encode_all(text or "" for text in batch["text"].to_pylist())
+            yield pa.RecordBatch.from_arrays([batch["id"], ids, codec.decode_all(ids)], ["id", "ids", "decoded"])
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = slim.schema["id"].dataType.simpleString()

@@ -66,3 +66,18 @@ def test_odd_rows(spark, odd_documents):
     assert len(coded) == odd_documents.count()
     assert [r.ids for r in coded if r.id in (3, 4)] == [[], []]
     assert byte_bpe.encode_documents(odd_documents.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_a_batch_looks_each_different_match_up_once(tokens, reference, monkeypatch):
+    texts = ["one two one", "", "two\n\n three é\x00ÿ", " two one 日本語 🙂", "one"] * 3
+    codec = byte_bpe.Codec(tokens, public_tokenizers.PATTERN)
+    asked = []
+    encode = codec.model.encode
+    monkeypatch.setattr(codec, "model", type("Model", (), {"encode": lambda self, x, **k: asked.append(x) or encode(x, **k)})())
+    coded = codec.encode_all(texts)
+    matches = {m for t in texts for m in codec.find(t)}
+    assert [sorted(x) for x in asked] == [sorted(byte_bpe.as_chars(m.encode()) for m in matches)]
+    assert coded.to_pylist() == [reference.encode_ordinary(t) for t in texts]
+    assert codec.decode_all(coded).to_pylist() == [t.encode() for t in texts]
+    for none in ([], ["", ""]):
+        assert codec.decode_all(codec.encode_all(none)).to_pylist() == [b""] * len(none)
